@@ -1 +1,171 @@
-"""Registered queries (queries_quality)."""
+"""Row-rule, quarantine and column-quality queries over the loan view."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lendscope.constants import REDUNDANT_DROP_STEP1, SPARSE_DROP_STEP1
+from lendscope.operators import columns, quality
+from lendscope.plans.catalog import register
+from lendscope.sources.fixtures import LOANS_SCHEMA, loans_view, sql_is_missing, with_loans
+
+_NUMERIC = ("bigint", "double", "int")
+_CATEGORY_COLS = ("loan_status", "grade", "sub_grade", "emp_length", "term", "purpose", "addr_state")
+
+
+@register("keep_valid_rows", with_loans("""
+SELECT id, dti, delinq_2yrs, addr_state FROM loans
+WHERE regexp_matches(dti, '[0-9]+') AND regexp_matches(delinq_2yrs, '[0-9]+')
+  AND regexp_matches(addr_state, '^[A-Z]{0,3}$')
+"""))
+def keep_valid_rows(spark, sf_dir):
+    return quality.keep_matching(loans_view(spark, sf_dir)).select("id", "dti", "delinq_2yrs", "addr_state")
+
+
+@register("reject_view_dti", with_loans("""
+SELECT * FROM loans WHERE NOT regexp_matches(dti, '[0-9]+')
+"""))
+def reject_view_dti(spark, sf_dir):
+    return quality.keep_matching(loans_view(spark, sf_dir), [("dti", "[0-9]+")], negate=True)
+
+
+@register("quarantine_rows", with_loans("""
+SELECT id, CASE
+  WHEN dti IS NULL THEN 'dti:null' WHEN NOT regexp_matches(dti, '[0-9]+') THEN 'dti:pattern'
+  WHEN delinq_2yrs IS NULL THEN 'delinq_2yrs:null'
+  WHEN NOT regexp_matches(delinq_2yrs, '[0-9]+') THEN 'delinq_2yrs:pattern'
+  WHEN addr_state IS NULL THEN 'addr_state:null'
+  WHEN NOT regexp_matches(addr_state, '^[A-Z]{0,3}$') THEN 'addr_state:pattern' END AS reject_reason
+FROM loans
+WHERE NOT (coalesce(regexp_matches(dti, '[0-9]+'), false) AND coalesce(regexp_matches(delinq_2yrs, '[0-9]+'), false)
+           AND coalesce(regexp_matches(addr_state, '^[A-Z]{0,3}$'), false))
+"""))
+def quarantine_rows(spark, sf_dir):
+    return quality.quarantine(loans_view(spark, sf_dir)).select("id", "reject_reason")
+
+
+@register("charged_off_rows", with_loans("""
+SELECT * FROM loans WHERE loan_status = 'Charged Off'
+"""))
+def charged_off_rows(spark, sf_dir):
+    return loans_view(spark, sf_dir).where(F.col("loan_status") == "Charged Off")
+
+
+@register("sparsity_within", with_loans("""
+SELECT count(loan_status) AS n_rows,
+       count(*) FILTER (WHERE settlement_status IS NULL AND loan_status IS NOT NULL) AS n_missing,
+       round(1.0 - count(*) FILTER (WHERE settlement_status IS NULL AND loan_status IS NOT NULL)
+             / count(loan_status), 6) AS filled_share
+FROM loans WHERE loan_status = 'Charged Off'
+"""))
+def sparsity_within(spark, sf_dir):
+    return quality.sparsity_within(loans_view(spark, sf_dir), F.col("loan_status") == "Charged Off",
+                                   "settlement_status", "loan_status")
+
+
+def _census_sql():
+    parts = [f"SELECT {i} AS position, '{n}' AS column_name, "
+             f"count(*) FILTER (WHERE {sql_is_missing(n, t)}) AS n_missing FROM loans"
+             for i, (n, t) in enumerate(LOANS_SCHEMA)]
+    return with_loans("\nUNION ALL\n".join(parts))
+
+
+@register("missing_census", _census_sql())
+def missing_census(spark, sf_dir):
+    return quality.missing_census(loans_view(spark, sf_dir))
+
+
+def _profile_sql():
+    parts = []
+    for i, (n, t) in enumerate(LOANS_SCHEMA):
+        miss = f"count(*) FILTER (WHERE {sql_is_missing(n, t)})"
+        if t in _NUMERIC:
+            x = f"(CASE WHEN isnan(CAST({n} AS DOUBLE)) THEN NULL ELSE CAST({n} AS DOUBLE) END)"
+            num = (f"count(*) FILTER (WHERE {x} = 0) AS n_zeros, min({x}) AS min_value, "
+                   f"max({x}) AS max_value, round(avg({x}), 6) AS mean, "
+                   f"round(stddev_samp({x}), 6) AS stddev")
+        else:
+            num = ("CAST(NULL AS BIGINT) AS n_zeros, CAST(NULL AS DOUBLE) AS min_value, "
+                   "CAST(NULL AS DOUBLE) AS max_value, CAST(NULL AS DOUBLE) AS mean, "
+                   "CAST(NULL AS DOUBLE) AS stddev")
+        parts.append(f"SELECT {i} AS position, '{n}' AS column_name, '{t}' AS data_type, "
+                     f"count(*) AS n, {miss} AS n_missing, round({miss} / count(*), 6) AS p_missing, "
+                     f"{num} FROM loans")
+    return with_loans("\nUNION ALL\n".join(parts))
+
+
+@register("profile_columns", _profile_sql())
+def profile_columns(spark, sf_dir):
+    return quality.profile(loans_view(spark, sf_dir))
+
+
+def _sparse_sql():
+    parts = [f"SELECT {i} AS position, '{n}' AS column_name, "
+             f"round(count(*) FILTER (WHERE {sql_is_missing(n, t)}) / count(*), 6) AS p_missing FROM loans"
+             for i, (n, t) in enumerate(LOANS_SCHEMA)]
+    return with_loans("SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") WHERE p_missing > 0.1")
+
+
+@register("sparse_columns", _sparse_sql())
+def sparse_columns(spark, sf_dir):
+    return quality.sparse_columns(loans_view(spark, sf_dir))
+
+
+def _describe_sql():
+    parts = []
+    for n, t in LOANS_SCHEMA:
+        if t == "string":
+            x = f"TRY_CAST({n} AS DOUBLE)"
+            lo = f"CAST(NULL AS DOUBLE), min({n})"
+            hi = f"CAST(NULL AS DOUBLE), max({n})"
+        else:
+            x = f"CAST({n} AS DOUBLE)"
+            lo = f"min({x}), CAST(NULL AS VARCHAR)"
+            hi = f"max({x}), CAST(NULL AS VARCHAR)"
+        parts.append(
+            f"SELECT '{n}' AS column_name, unnest(['count', 'mean', 'stddev', 'min', 'max']) AS summary, "
+            f"unnest([CAST(count({n}) AS DOUBLE), round(avg({x}), 6), round(stddev_samp({x}), 6), "
+            f"{lo.split(', ')[0]}, {hi.split(', ')[0]}]) AS value, "
+            f"unnest([CAST(NULL AS VARCHAR), NULL, NULL, {lo.split(', ')[1]}, {hi.split(', ')[1]}]) AS text_value "
+            f"FROM loans")
+    return with_loans("\nUNION ALL\n".join(parts))
+
+
+@register("describe_long", _describe_sql())
+def describe_long(spark, sf_dir):
+    return quality.describe_long(loans_view(spark, sf_dir))
+
+
+@register("category_values", with_loans("SELECT column_name, value, count(*) AS n FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM loans" for c in _CATEGORY_COLS)
+    + "\n) GROUP BY 1, 2 ORDER BY 1, 2"))
+def category_values(spark, sf_dir):
+    return quality.category_values(loans_view(spark, sf_dir), _CATEGORY_COLS)
+
+
+_DROPPED = set(SPARSE_DROP_STEP1) | set(REDUNDANT_DROP_STEP1)
+
+
+@register("drop_columns", with_loans(
+    "SELECT " + ", ".join(n for n, _ in LOANS_SCHEMA if n not in _DROPPED) + " FROM loans"))
+def drop_columns(spark, sf_dir):
+    df = loans_view(spark, sf_dir)
+    df = columns.drop_columns(df, SPARSE_DROP_STEP1)
+    return columns.drop_columns(df, REDUNDANT_DROP_STEP1)
+
+
+def _redundant_sql():
+    parts = [f"SELECT {i} AS position, '{n}' AS column_name, CASE WHEN count({n}) = 0 THEN 'empty' "
+             f"WHEN min({n}) = max({n}) THEN 'constant' END AS reason FROM loans"
+             for i, (n, _) in enumerate(LOANS_SCHEMA)]
+    return with_loans("SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") WHERE reason IS NOT NULL")
+
+
+@register("redundant_columns", _redundant_sql())
+def redundant_columns(spark, sf_dir):
+    return columns.redundant_columns(loans_view(spark, sf_dir))
+
+
+@register("distinct_estimates")
+def distinct_estimates(spark, sf_dir):
+    return quality.distinct_estimates(loans_view(spark, sf_dir))

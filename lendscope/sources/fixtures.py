@@ -129,3 +129,24 @@ def with_loans(body: str, *ctes: str) -> str:
     """Prefix a DuckDB query with the loans CTE (and any further CTEs)."""
     extra = "".join(f",\n{c}" for c in ctes)
     return f"WITH {LOANS_SQL}{extra}\n{body}"
+
+
+# Column names and Spark types of the loan view, in order (used to generate oracle SQL).
+LOANS_SCHEMA = (
+    ("id", "bigint"), ("loan_amnt", "double"), ("int_rate", "double"), ("issue_d", "string"),
+    ("term", "string"), ("emp_length", "string"), ("loan_status", "string"), ("grade", "string"),
+    ("sub_grade", "string"), ("addr_state", "string"), ("dti", "string"),
+    ("delinq_2yrs", "string"), ("annual_inc", "double"), ("tot_coll_amt", "string"),
+    ("tot_cur_bal", "string"), ("settlement_status", "string"), ("member_id", "string"),
+    ("desc_text", "string"), ("purpose", "string"),
+)
+
+
+def sql_is_missing(name: str, dtype: str) -> str:
+    """DuckDB form of :func:`lendscope.functions.missing.is_missing`."""
+    if dtype == "string":
+        return (f"({name} IS NULL OR {name} = '' OR contains({name}, 'None') "
+                f"OR contains({name}, 'NULL'))")
+    if dtype in ("double", "float"):
+        return f"({name} IS NULL OR isnan({name}))"
+    return f"({name} IS NULL)"
