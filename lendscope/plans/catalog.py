@@ -34,3 +34,4 @@ def load_all() -> None:
     from lendscope.plans import queries_quality  # noqa: F401
     from lendscope.plans import queries_io  # noqa: F401
     from lendscope.plans import queries_ml  # noqa: F401
+    from lendscope.plans import queries_dist  # noqa: F401
