@@ -1 +1,84 @@
-"""Registered queries (queries_io)."""
+"""I/O queries: text scrub, CSV round trip, development subset, curated layer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lendscope.functions.text import scrub_ascii
+from lendscope.operators.rows import dev_subset
+from lendscope.plans import curate
+from lendscope.plans.catalog import register
+from lendscope.session import scratch_path
+from lendscope.sources import loans_csv
+from lendscope.sources.fixtures import LOANS_SCHEMA, loans_view, with_loans
+from lendscope.sources.tables import read_table
+
+_BLANKS = ("[\\x{09}\\x{0B}\\x{0C}\\x{1C}-\\x{1F}\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+           "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+")
+
+
+@register("scrub_ascii", f"""
+SELECT doc_id, array_to_string(list_transform(string_split_regex(text, '\\r\\n|\\r|\\n'),
+         lambda l: regexp_replace(trim(regexp_replace(l, '{_BLANKS}', ' ', 'g')), '[^\\x{{00}}-\\x{{7F}}]', '', 'g')),
+         chr(10)) AS clean_text
+FROM documents
+""")
+def scrub_ascii_q(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", scrub_ascii("text").alias("clean_text"))
+
+
+@register("csv_round_trip", with_loans("SELECT * FROM loans"))
+def csv_round_trip(spark, sf_dir):
+    """Write the loan view as CSV (parallel, header) and read it back with a declared schema."""
+    path = scratch_path(spark, "csv_round_trip")
+    loans_csv.write_layer(loans_view(spark, sf_dir), path, fmt="csv")
+    schema = loans_csv.typed_schema(LOANS_SCHEMA)
+    return loans_csv.read_loans(spark, path, schema=schema)
+
+
+@register("dev_subset", with_loans("""
+SELECT * FROM loans
+WHERE CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':0'), 1, 8)) AS BIGINT) % 100 < 10
+"""))
+def dev_subset_q(spark, sf_dir):
+    return dev_subset(loans_view(spark, sf_dir), "id", percent=10, seed=0)
+
+
+_CURATED_SQL = """
+SELECT id, coalesce(CASE WHEN isnan(loan_amnt) THEN NULL ELSE loan_amnt END, 0.0) AS loan_amnt,
+       coalesce(CASE WHEN isnan(int_rate) THEN NULL ELSE int_rate END, 0.0) AS int_rate,
+       grade, sub_grade, addr_state, dti, delinq_2yrs,
+       coalesce(CASE WHEN isnan(annual_inc) THEN NULL ELSE annual_inc END, 0.0) AS annual_inc,
+       desc_text, purpose,
+       coalesce(TRY_CAST(string_split(issue_d, '-')[2] AS INTEGER), 0) AS issue_d_year,
+       coalesce(TRY_CAST(trim(regexp_replace(emp_length, 'years|year|\\+|\\<', '', 'g')) AS INTEGER), 0)
+         AS emplength_clean,
+       coalesce(TRY_CAST(regexp_extract(term, '\\d+', 0) AS INTEGER), 0) AS term_clean,
+       coalesce(CASE WHEN tot_coll_amt IS NULL AND loan_status IN ('Fully Paid', 'Charged Off',
+                  'Does not meet the credit policy. Status:Fully Paid') THEN 0.0
+            ELSE TRY_CAST(tot_coll_amt AS DOUBLE) END, 0.0) AS tot_coll_amt_clean,
+       coalesce(CASE WHEN tot_cur_bal IS NULL AND loan_status IN ('Fully Paid', 'Charged Off') THEN 0.0
+            ELSE TRY_CAST(tot_cur_bal AS DOUBLE) END, 0.0) AS tot_cur_bal_clean,
+       CASE WHEN loan_status IN ('Default', 'Charged Off', 'Late (31-120 days)', 'Late (16-30 days)',
+            'Does not meet the credit policy. Status:Charged Off', 'In Grace Period') THEN 1 ELSE 0 END AS target
+FROM loans
+WHERE regexp_matches(dti, '[0-9]+') AND regexp_matches(delinq_2yrs, '[0-9]+')
+  AND regexp_matches(addr_state, '^[A-Z]{0,3}$')
+"""
+
+
+@register("curated_loans", with_loans(_CURATED_SQL))
+def curated_loans(spark, sf_dir):
+    return curate.curate(loans_view(spark, sf_dir))
+
+
+@register("curated_layer_round_trip", with_loans(_CURATED_SQL))
+def curated_layer_round_trip(spark, sf_dir):
+    """Write the curated layer as Parquet partitioned by issue year and read it back.
+
+    A later filter on ``issue_d_year`` reads only that year's folder (partition pruning).
+    """
+    path = scratch_path(spark, "curated")
+    loans_csv.write_layer(curate.curate(loans_view(spark, sf_dir)), path, partition_by=["issue_d_year"])
+    return spark.read.parquet(path)
