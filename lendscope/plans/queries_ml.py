@@ -1 +1,209 @@
-"""Registered queries (queries_ml)."""
+"""Feature, clustering and model queries over the curated loan frame."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lendscope.constants import (
+    ELBOW_KS, LR_REG_PARAMS, SPLIT_TRAIN_TEST, SPLIT_TRAIN_TEST_VALIDATION,
+)
+from lendscope.functions.parse import cast_columns
+from lendscope.operators import cluster, features, metrics, models
+from lendscope.operators.rows import split_frames, stable_split
+from lendscope.plans import curate
+from lendscope.plans.catalog import register
+from lendscope.plans.queries_io import _CURATED_SQL
+from lendscope.session import scratch_path
+from lendscope.sources.fixtures import loans_view, with_loans
+
+CATS = ("grade", "sub_grade", "purpose", "addr_state", "issue_d_year")
+NUMERIC = ("loan_amnt", "int_rate", "annual_inc", "dti", "delinq_2yrs", "emplength_clean",
+           "term_clean", "tot_coll_amt_clean", "tot_cur_bal_clean")
+SCALE_COLS = ("loan_amnt", "int_rate", "annual_inc")
+_CUR = "cur AS (" + _CURATED_SQL + ")"
+
+
+def model_frame(spark, sf_dir):
+    """Curated loans with the remaining numeric text typed (P9) and categories as text."""
+    df = curate.curate(loans_view(spark, sf_dir))
+    df = cast_columns(df, ["dti", "delinq_2yrs"], "double").na.fill(0, ["dti", "delinq_2yrs"])
+    return features.as_text(df, ["issue_d_year"])
+
+
+def _label_sql(cols):
+    lab = " UNION ALL ".join(f"SELECT '{c}' AS c, CAST({c} AS VARCHAR) AS v FROM cur" for c in cols)
+    return (f"lab AS ({lab})",
+            "cnt AS (SELECT c, v, count(*) AS n FROM lab WHERE v IS NOT NULL GROUP BY c, v)",
+            "idx AS (SELECT c, v, CAST(row_number() OVER (PARTITION BY c ORDER BY n DESC, v) - 1 AS DOUBLE) AS i, "
+            "count(*) OVER (PARTITION BY c) AS k FROM cnt)")
+
+
+def _index_sql(cols, select):
+    joins = " ".join(f"JOIN idx j_{c} ON j_{c}.c = '{c}' AND j_{c}.v = CAST(cur.{c} AS VARCHAR)" for c in cols)
+    return with_loans(f"SELECT {select} FROM cur {joins}", _CUR, *_label_sql(cols))
+
+
+@register("index_categories", _index_sql(CATS, "cur.id, " + ", ".join(f"j_{c}.i AS {c}_index" for c in CATS)))
+def index_categories(spark, sf_dir):
+    _, out = features.index_categories(model_frame(spark, sf_dir), CATS)
+    return out.select("id", *[c + "_index" for c in CATS])
+
+
+_HOT = ("grade", "purpose")
+
+
+@register("one_hot", _index_sql(_HOT, "cur.id, " + ", ".join(
+    f"CAST(CASE WHEN j_{c}.i < j_{c}.k - 1 THEN j_{c}.i ELSE -1 END AS INTEGER) AS {c}_hot, "
+    f"CAST(j_{c}.k - 1 AS INTEGER) AS {c}_width" for c in _HOT)))
+def one_hot(spark, sf_dir):
+    _, idx = features.index_categories(model_frame(spark, sf_dir), _HOT)
+    _, hot = features.one_hot(idx, [c + "_index" for c in _HOT])
+    return hot.select("id", *[x for c in _HOT for x in (
+        features.hot_position(c + "_index_onehot").alias(c + "_hot"),
+        features.vector_width(c + "_index_onehot").alias(c + "_width"))])
+
+
+@register("assemble_scale", with_loans(
+    "SELECT id, " + ", ".join(f"round({c} / stddev_samp({c}) OVER (), 6) AS {c}_scaled" for c in SCALE_COLS)
+    + " FROM cur", _CUR))
+def assemble_scale(spark, sf_dir):
+    _, out = features.assemble_scale(model_frame(spark, sf_dir), SCALE_COLS)
+    return features.unpack(out, "features_scaled", [c + "_scaled" for c in SCALE_COLS]).select(
+        "id", *[c + "_scaled" for c in SCALE_COLS])
+
+
+_BUCKET = "CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':21'), 1, 8)) AS BIGINT) % 100"
+
+
+@register("stable_split", with_loans(
+    f"SELECT id, CASE WHEN {_BUCKET} < 70 THEN 'train' ELSE 'test' END AS split FROM cur", _CUR))
+def stable_split_q(spark, sf_dir):
+    return stable_split(model_frame(spark, sf_dir), SPLIT_TRAIN_TEST, "id", 21, ["train", "test"]).select("id", "split")
+
+
+@register("class_balance", with_loans(
+    f"SELECT CASE WHEN {_BUCKET} < 70 THEN 'train' ELSE 'test' END AS split, target, count(*) AS n "
+    "FROM cur GROUP BY 1, 2 ORDER BY 1, 2", _CUR))
+def class_balance(spark, sf_dir):
+    df = stable_split(model_frame(spark, sf_dir), SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
+    return df.groupBy("split", "target").agg(F.count(F.lit(1)).alias("n")).orderBy("split", "target")
+
+
+def _scaled(spark, sf_dir, cols=NUMERIC):
+    _, out = features.assemble_scale(model_frame(spark, sf_dir), cols)
+    return out
+
+
+@register("elbow")
+def elbow(spark, sf_dir):
+    return cluster.elbow(spark, _scaled(spark, sf_dir), ELBOW_KS)
+
+
+@register("kmeans_assign")
+def kmeans_assign(spark, sf_dir):
+    data = _scaled(spark, sf_dir)
+    model = cluster.fit_kmeans(data, 3, seed=2)
+    return model.transform(data).select("id", "cluster")
+
+
+@register("pca_project")
+def pca_project(spark, sf_dir):
+    data = _scaled(spark, sf_dir)
+    return cluster.project(cluster.fit_pca(data, 2), data)
+
+
+@register("explained_variance", with_loans("""
+SELECT 1 AS component, round((1 + abs(r)) / 2, 6) AS ratio, round((1 + abs(r)) / 2, 6) AS cumulative FROM rr
+UNION ALL
+SELECT 2 AS component, round((1 - abs(r)) / 2, 6) AS ratio, 1.0 AS cumulative FROM rr
+""", _CUR, "rr AS (SELECT corr(loan_amnt, int_rate) AS r FROM cur)"))
+def explained_variance(spark, sf_dir):
+    data = _scaled(spark, sf_dir, ("loan_amnt", "int_rate"))
+    return cluster.explained_variance(spark, cluster.fit_pca(data, 2))
+
+
+def _gbt(spark, sf_dir):
+    df = models.with_balance_weight(model_frame(spark, sf_dir))
+    train, test = split_frames(df, SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
+    model = models.gbt_pipeline(NUMERIC, CATS).fit(train)
+    return model, test
+
+
+@register("gbt_scores")
+def gbt_scores(spark, sf_dir):
+    model, test = _gbt(spark, sf_dir)
+    return models.score_column(model.transform(test)).select("id", "target", "prediction", "score")
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    model, _ = _gbt(spark, sf_dir)
+    return models.feature_importance(spark, model)
+
+
+@register("model_round_trip")
+def model_round_trip(spark, sf_dir):
+    """Save the fitted pipeline to shared storage, load it, score the test part."""
+    model, test = _gbt(spark, sf_dir)
+    path = models.save_model(model, scratch_path(spark, "gbt_model"))
+    loaded = models.load_model(path)
+    return models.score_column(loaded.transform(test)).select("id", "target", "prediction", "score")
+
+
+@register("classification_report", with_loans("""
+SELECT n, tp, fp, tn, fn,
+       round((tp + tn) / n, 6) AS accuracy,
+       round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 6) AS recall,
+       round(CASE WHEN tp > 0 THEN 2.0 * tp / (2 * tp + fp + fn) END, 6) AS f1,
+       (SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) FROM ranked) AS auc
+FROM (SELECT count(*) AS n,
+             count(*) FILTER (WHERE target = 1 AND prediction = 1) AS tp,
+             count(*) FILTER (WHERE target = 0 AND prediction = 1) AS fp,
+             count(*) FILTER (WHERE target = 0 AND prediction = 0) AS tn,
+             count(*) FILTER (WHERE target = 1 AND prediction = 0) AS fn FROM scored)
+""", _CUR,
+    "scored AS (SELECT target, int_rate / 30.0 AS score, CASE WHEN int_rate >= 15 THEN 1.0 ELSE 0.0 END AS prediction FROM cur)",
+    "per AS (SELECT score, sum(target) AS pos, sum(1 - target) AS neg FROM scored GROUP BY score)",
+    "ranked AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM per)"))
+def classification_report_q(spark, sf_dir):
+    """A rule score (interest rate / 30, flag at 15%) graded against the default label."""
+    df = model_frame(spark, sf_dir).select(
+        "target", (F.col("int_rate") / F.lit(30.0)).alias("score"),
+        F.when(F.col("int_rate") >= 15, F.lit(1.0)).otherwise(F.lit(0.0)).alias("prediction"))
+    return metrics.classification_report(df, "target", "prediction", "score")
+
+
+def _lr_parts(spark, sf_dir):
+    df = model_frame(spark, sf_dir)
+    return split_frames(df, SPLIT_TRAIN_TEST_VALIDATION, "id", 123, ["train", "test", "validation"])
+
+
+_LR_INPUTS = NUMERIC + CATS
+
+
+@register("lr_grid_leaderboard")
+def lr_grid_leaderboard(spark, sf_dir):
+    train, test, _ = _lr_parts(spark, sf_dir)
+    fitted = models.train_lr_grid(train, _LR_INPUTS, LR_REG_PARAMS)
+    _, board = models.pick_best(spark, fitted, test)
+    return board
+
+
+@register("best_model_validation")
+def best_model_validation(spark, sf_dir):
+    train, test, validation = _lr_parts(spark, sf_dir)
+    fitted = models.train_lr_grid(train, _LR_INPUTS, LR_REG_PARAMS)
+    best, _ = models.pick_best(spark, fitted, test)
+    scored = models.score_column(best.transform(validation))
+    return metrics.classification_report(scored, "target", "prediction", "score")
+
+
+@register("leakage_guard_auc")
+def leakage_guard_auc(spark, sf_dir):
+    """Logistic model on columns that carry no trace of the label: AUC should be near 0.5."""
+    train, test, _ = _lr_parts(spark, sf_dir)
+    cols = ("loan_amnt", "grade", "sub_grade", "addr_state", "purpose")
+    fitted = models.train_lr_grid(train, cols, [0.1])
+    _, board = models.pick_best(spark, fitted, test)
+    return board
