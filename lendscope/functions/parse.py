@@ -67,3 +67,17 @@ def fill_when(c: str | Column, value, predicate: Column) -> Column:
 def cast_columns(df, names: Iterable[str], new_type: str | DataType):
     """Bulk cast in one projection (``try_cast``; unknown names are an error)."""
     return df.withColumns({name: F.col(name).try_cast(new_type) for name in names})
+
+
+# Text that can be a double: decimal / exponent forms, NaN and infinities (any case).
+_NUMBER_TEXT = r"^\s*[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|(?i:nan|inf|infinity))\s*$"
+
+
+def parse_double(c: str | Column) -> Column:
+    """``try_cast(double)`` behind a cheap shape test.
+
+    For columns that are mostly words (e.g. profiling every text column) a failed
+    cast costs far more than a regex test, so only number-shaped text is cast.
+    """
+    col = _col(c)
+    return F.when(col.rlike(_NUMBER_TEXT), col.try_cast("double"))

@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType
 
 from lendscope.constants import MAX_MISSING_SHARE, ROW_RULES
 from lendscope.functions.missing import is_missing, is_numeric_type
+from lendscope.functions.parse import parse_double
 
 # --------------------------------------------------------------------------- row rules
 
@@ -157,7 +158,7 @@ def describe_long(df: DataFrame, cols: Iterable[str] | None = None, digits: int
     aggs = []
     for i, f in fields:
         is_text = isinstance(f.dataType, StringType)
-        x = F.col(f.name).try_cast("double") if is_text else F.col(f.name).cast("double")
+        x = parse_double(f.name) if is_text else F.col(f.name).cast("double")
         aggs += [F.count(F.col(f.name)).alias(f"c{i}"), F.avg(x).alias(f"mu{i}"),
                  F.stddev_samp(x).alias(f"sd{i}")]
         if is_text:

@@ -82,3 +82,26 @@ def curated_layer_round_trip(spark, sf_dir):
     path = scratch_path(spark, "curated")
     loans_csv.write_layer(curate.curate(loans_view(spark, sf_dir)), path, partition_by=["issue_d_year"])
     return spark.read.parquet(path)
+
+
+@register("stream_valid_rows", with_loans("""
+SELECT id, dti, delinq_2yrs, addr_state FROM loans
+WHERE regexp_matches(dti, '[0-9]+') AND regexp_matches(delinq_2yrs, '[0-9]+')
+  AND regexp_matches(addr_state, '^[A-Z]{0,3}$')
+"""))
+def stream_valid_rows(spark, sf_dir):
+    """The orders table read as a file stream, joined to customer (stream-static),
+    tagged by the row rules and split into valid / quarantined sinks; returns the
+    valid sink read back."""
+    from lendscope.sources.fixtures import loans_from
+    from lendscope.streaming.clean_stream import tag_rows, write_valid_and_rejects
+
+    orders_schema = read_table(spark, sf_dir, "orders").schema
+    # A file stream source watches a folder; the glob picks the orders file in it.
+    orders = (spark.readStream.schema(orders_schema).option("pathGlobFilter", "orders.parquet")
+              .parquet(sf_dir))
+    tagged = tag_rows(loans_from(orders, read_table(spark, sf_dir, "customer")))
+    base = scratch_path(spark, "stream")
+    q = write_valid_and_rejects(tagged, f"{base}/valid", f"{base}/rejects", f"{base}/_checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/valid").select("id", "dti", "delinq_2yrs", "addr_state")
