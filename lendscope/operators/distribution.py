@@ -46,8 +46,8 @@ def histogram(df: DataFrame, col: str, bins: int = 20, lo: float | None = None,
     bin_of = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counts = (df.where(x.isNotNull() & ~F.isnan(x) & (x >= lo) & (x <= hi))
               .groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
-    # Both sides hold at most ``bins`` rows.
-    return (edges.join(counts, "bin", "left")
+    # Both sides hold at most ``bins`` rows (a parameter), so the counts are broadcast.
+    return (edges.join(F.broadcast(counts), "bin", "left")
             .select("bin",
                     F.round(F.lit(lo) + F.col("bin") * F.lit(width), digits).alias("bin_lo"),
                     F.round(F.lit(lo) + (F.col("bin") + 1) * F.lit(width), digits).alias("bin_hi"),

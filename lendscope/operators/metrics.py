@@ -10,7 +10,7 @@ distinct score into one task, so the running sum is taken in two levels: the
 distinct scores are cut into ``buckets`` ranges at approximate quantiles of the
 scores (one row per distinct score, so a hot score is one row), a window runs
 per range, and each range's offset comes from the range totals - ``buckets``
-numbers, read on the driver and sent back as one literal array.
+numbers, read on the driver and joined back as a broadcast table of that size.
 """
 
 from __future__ import annotations
@@ -35,21 +35,29 @@ def confusion_counts(df: DataFrame, label: str = "target", prediction: str = "pr
     )
 
 
-def auc(df: DataFrame, label: str = "target", score: str = "score", buckets: int = 256,
-        digits: int | None = 6) -> float | None:
-    """Exact area under the ROC curve (ties count one half); ``None`` if a class is absent."""
+def auc(df: DataFrame, label: str = "target", score: str = "score", buckets: int | None = None,
+        rows_per_bucket: int = 1_000_000, digits: int | None = 6) -> float | None:
+    """Exact area under the ROC curve (ties count one half); ``None`` if a class is absent.
+
+    ``buckets`` (default: one per ``rows_per_bucket`` distinct scores, at least 64)
+    bounds the rows any one window task sorts; the per-range offsets are a table of
+    ``buckets`` rows, broadcast back.
+    """
+    spark = df.sparkSession
     per_score = (df.select(F.col(score).cast("double").alias("s"), F.col(label).cast("double").alias("y"))
-                 .where(F.col("s").isNotNull() & F.col("y").isNotNull())
+                 .where(F.col("s").isNotNull() & F.col("y").isNotNull() & ~F.isnan(F.col("s")))
                  .groupBy("s")
                  .agg(F.sum("y").alias("pos"), F.sum(F.lit(1.0) - F.col("y")).alias("neg")))
     per_score = per_score.persist()
     try:
+        if buckets is None:
+            n_scores = per_score.count()
+            buckets = max(64, -(-n_scores // rows_per_bucket))
         qs = [i / buckets for i in range(1, buckets)]
         cuts = per_score.agg(F.percentile_approx("s", qs, 10000).alias("c")).first()["c"]
         if cuts is None:
             return None
-        splits = sorted(set(float(c) for c in cuts))
-        splits = [-float("inf")] + splits + [float("inf")]
+        splits = [-float("inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
         bz = Bucketizer(splits=splits, inputCol="s", outputCol="b", handleInvalid="keep")
         tagged = bz.transform(per_score).withColumn("b", F.col("b").cast("int"))
         totals = {r["b"]: (r["p"], r["q"]) for r in
@@ -58,15 +66,16 @@ def auc(df: DataFrame, label: str = "target", score: str = "score", buckets: int
         n_neg = sum(v[1] for v in totals.values())
         if n_pos == 0 or n_neg == 0:
             return None
-        nb = len(splits) - 1
         offsets, acc = [], 0.0
-        for b in range(nb):
-            offsets.append(acc)
+        for b in range(len(splits) - 1):
+            offsets.append((b, acc))
             acc += totals.get(b, (0.0, 0.0))[1]
-        offset = F.element_at(F.array(*[F.lit(float(o)) for o in offsets]), F.col("b") + 1)
+        offset_df = F.broadcast(spark.createDataFrame(offsets, "b int, offset double"))
         w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-        below = F.coalesce(F.sum("neg").over(w), F.lit(0.0)) + offset
-        num = tagged.select((F.col("pos") * (below + F.col("neg") / 2.0)).alias("t")).agg(F.sum("t")).first()[0]
+        below = F.coalesce(F.sum("neg").over(w), F.lit(0.0)) + F.col("offset")
+        num = (tagged.join(offset_df, "b")
+               .select((F.col("pos") * (below + F.col("neg") / 2.0)).alias("t"))
+               .agg(F.sum("t")).first()[0])
         value = float(num) / (n_pos * n_neg)
         return round(value, digits) if digits is not None else value
     finally:
