@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendscope.operators.features import persist_for_fit
+
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features_scaled", seed: int = 2,
                max_iter: int = 20, prediction: str = "cluster") -> KMeansModel:
@@ -28,7 +29,7 @@ def elbow(spark: SparkSession, df: DataFrame, ks: Sequence[int], features: str =
     """Within-cluster sum of squares per k: rows (k, wcss). The feature column is
     persisted for the sweep; each fit is a distributed job; only k and one number
     per fit reach the driver."""
-    data = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    data = persist_for_fit(df.select(features))
     try:
         rows = []
         for k in ks:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -27,6 +28,25 @@ def guard_features(features: Sequence[str], label: str = "target",
     return list(features)
 
 
+def persist_for_fit(df: DataFrame, min_partitions: int | None = None,
+                    level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """Persist the input of an iterative fit, spread so that every core has work.
+
+    Iterative estimators (k-means, trees, logistic regression, PCA) pass over
+    their input many times, one task per partition. A frame read from a few
+    large row groups can sit in fewer partitions than there are cores, and then
+    every pass runs on those few cores; such a frame is round-robin
+    repartitioned to ``min_partitions`` (default: the cluster's cores) before it
+    is cached. A frame that already has that many partitions - any large input -
+    is persisted as it is, without a shuffle. Lost cached blocks are recomputed
+    from the plan.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
+    return df.persist(level)
+
+
 def as_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Category columns as text (a year is a category, not a magnitude)."""
     return df.withColumns({c: F.col(c).cast("string") for c in cols})

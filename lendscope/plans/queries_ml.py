@@ -89,27 +89,49 @@ def class_balance(spark, sf_dir):
     return df.groupBy("split", "target").agg(F.count(F.lit(1)).alias("n")).orderBy("split", "target")
 
 
-def _scaled(spark, sf_dir, cols=NUMERIC):
-    _, out = features.assemble_scale(model_frame(spark, sf_dir), cols)
+def _fit_frame(spark, sf_dir):
+    """The model frame persisted (and spread over the cores) for iterative fits.
+
+    Callers fit on it, then unpersist it; the frame they return is lazy and reads
+    from the plan again, so no cache has to outlive the query.
+    """
+    return features.persist_for_fit(model_frame(spark, sf_dir))
+
+
+def _scaled(frame, cols=NUMERIC):
+    _, out = features.assemble_scale(frame, cols)
     return out
 
 
 @register("elbow")
 def elbow(spark, sf_dir):
-    return cluster.elbow(spark, _scaled(spark, sf_dir), ELBOW_KS)
+    frame = _fit_frame(spark, sf_dir)
+    try:
+        return cluster.elbow(spark, _scaled(frame), ELBOW_KS)
+    finally:
+        frame.unpersist()
 
 
 @register("kmeans_assign")
 def kmeans_assign(spark, sf_dir):
-    data = _scaled(spark, sf_dir)
-    model = cluster.fit_kmeans(data, 3, seed=2)
+    frame = _fit_frame(spark, sf_dir)
+    try:
+        data = _scaled(frame)
+        model = cluster.fit_kmeans(data, 3, seed=2)
+    finally:
+        frame.unpersist()
     return model.transform(data).select("id", "cluster")
 
 
 @register("pca_project")
 def pca_project(spark, sf_dir):
-    data = _scaled(spark, sf_dir)
-    return cluster.project(cluster.fit_pca(data, 2), data)
+    frame = _fit_frame(spark, sf_dir)
+    try:
+        data = _scaled(frame)
+        model = cluster.fit_pca(data, 2)
+    finally:
+        frame.unpersist()
+    return cluster.project(model, data)
 
 
 @register("explained_variance", with_loans("""
@@ -118,14 +140,22 @@ UNION ALL
 SELECT 2 AS component, round((1 - abs(r)) / 2, 6) AS ratio, 1.0 AS cumulative FROM rr
 """, _CUR, "rr AS (SELECT corr(loan_amnt, int_rate) AS r FROM cur)"))
 def explained_variance(spark, sf_dir):
-    data = _scaled(spark, sf_dir, ("loan_amnt", "int_rate"))
-    return cluster.explained_variance(spark, cluster.fit_pca(data, 2))
+    frame = _fit_frame(spark, sf_dir)
+    try:
+        model = cluster.fit_pca(_scaled(frame, ("loan_amnt", "int_rate")), 2)
+    finally:
+        frame.unpersist()
+    return cluster.explained_variance(spark, model)
 
 
 def _gbt(spark, sf_dir):
-    df = models.with_balance_weight(model_frame(spark, sf_dir))
-    train, test = split_frames(df, SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
-    model = models.gbt_pipeline(NUMERIC, CATS).fit(train)
+    frame = _fit_frame(spark, sf_dir)
+    try:
+        df = models.with_balance_weight(frame)
+        train, test = split_frames(df, SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
+        model = models.gbt_pipeline(NUMERIC, CATS).fit(train)
+    finally:
+        frame.unpersist()
     return model, test
 
 
@@ -174,9 +204,8 @@ def classification_report_q(spark, sf_dir):
     return metrics.classification_report(df, "target", "prediction", "score")
 
 
-def _lr_parts(spark, sf_dir):
-    df = model_frame(spark, sf_dir)
-    return split_frames(df, SPLIT_TRAIN_TEST_VALIDATION, "id", 123, ["train", "test", "validation"])
+def _lr_parts(frame):
+    return split_frames(frame, SPLIT_TRAIN_TEST_VALIDATION, "id", 123, ["train", "test", "validation"])
 
 
 _LR_INPUTS = NUMERIC + CATS
@@ -184,26 +213,38 @@ _LR_INPUTS = NUMERIC + CATS
 
 @register("lr_grid_leaderboard")
 def lr_grid_leaderboard(spark, sf_dir):
-    train, test, _ = _lr_parts(spark, sf_dir)
-    fitted = models.train_lr_grid(train, _LR_INPUTS, LR_REG_PARAMS)
-    _, board = models.pick_best(spark, fitted, test)
+    frame = _fit_frame(spark, sf_dir)
+    try:
+        train, test, _ = _lr_parts(frame)
+        fitted = models.train_lr_grid(train, _LR_INPUTS, LR_REG_PARAMS)
+        _, board = models.pick_best(spark, fitted, test)
+    finally:
+        frame.unpersist()
     return board
 
 
 @register("best_model_validation")
 def best_model_validation(spark, sf_dir):
-    train, test, validation = _lr_parts(spark, sf_dir)
-    fitted = models.train_lr_grid(train, _LR_INPUTS, LR_REG_PARAMS)
-    best, _ = models.pick_best(spark, fitted, test)
-    scored = models.score_column(best.transform(validation))
-    return metrics.classification_report(scored, "target", "prediction", "score")
+    frame = _fit_frame(spark, sf_dir)
+    try:
+        train, test, validation = _lr_parts(frame)
+        fitted = models.train_lr_grid(train, _LR_INPUTS, LR_REG_PARAMS)
+        best, _ = models.pick_best(spark, fitted, test)
+        scored = models.score_column(best.transform(validation))
+        return metrics.classification_report(scored, "target", "prediction", "score")
+    finally:
+        frame.unpersist()
 
 
 @register("leakage_guard_auc")
 def leakage_guard_auc(spark, sf_dir):
     """Logistic model on columns that carry no trace of the label: AUC should be near 0.5."""
-    train, test, _ = _lr_parts(spark, sf_dir)
-    cols = ("loan_amnt", "grade", "sub_grade", "addr_state", "purpose")
-    fitted = models.train_lr_grid(train, cols, [0.1])
-    _, board = models.pick_best(spark, fitted, test)
+    frame = _fit_frame(spark, sf_dir)
+    try:
+        train, test, _ = _lr_parts(frame)
+        cols = ("loan_amnt", "grade", "sub_grade", "addr_state", "purpose")
+        fitted = models.train_lr_grid(train, cols, [0.1])
+        _, board = models.pick_best(spark, fitted, test)
+    finally:
+        frame.unpersist()
     return board
