@@ -70,7 +70,7 @@ def cast_columns(df, names: Iterable[str], new_type: str | DataType):
 
 
 # Text that can be a double: decimal / exponent forms, NaN and infinities (any case).
-_NUMBER_TEXT = r"^\s*[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|(?i:nan|inf|infinity))\s*$"
+NUMBER_TEXT = r"^\s*[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|(?i:nan|inf|infinity))\s*$"
 
 
 def parse_double(c: str | Column) -> Column:
@@ -80,4 +80,4 @@ def parse_double(c: str | Column) -> Column:
     cast costs far more than a regex test, so only number-shaped text is cast.
     """
     col = _col(c)
-    return F.when(col.rlike(_NUMBER_TEXT), col.try_cast("double"))
+    return F.when(col.rlike(NUMBER_TEXT), col.try_cast("double"))

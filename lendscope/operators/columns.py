@@ -11,6 +11,7 @@ from pyspark.sql.types import (
 )
 
 from lendscope.functions.missing import is_numeric_type
+from lendscope.operators.quality import per_column_rows, sql_name, sql_text
 
 
 def drop_columns(df: DataFrame, cols: Iterable[str], strict: bool = False) -> DataFrame:
@@ -35,21 +36,24 @@ def _orderable(dtype: DataType) -> bool:
 def redundant_columns(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Columns that carry no information: all NULL ('empty') or one value ('constant').
 
-    One scan: count / min / max per column. Free-text columns with nearly as
-    many values as rows are found with :func:`~lendscope.operators.quality.distinct_estimates`.
+    count / min / max per column (see :func:`~lendscope.operators.quality.per_column_rows`).
+    Free-text columns with nearly as many values as rows are found with
+    :func:`~lendscope.operators.quality.distinct_estimates`.
     """
-    fields = [f for f in df.schema.fields if cols is None or f.name in set(cols)]
-    fields = [f for f in fields if _orderable(f.dataType)]
-    aggs = []
-    for i, f in enumerate(fields):
-        aggs += [F.count(f.name).alias(f"c{i}"),
-                 (F.min(f.name) == F.max(f.name)).alias(f"k{i}")]
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-                        F.when(F.col(f"c{i}") == 0, F.lit("empty"))
-                        .when(F.col(f"k{i}"), F.lit("constant")).alias("reason"))
-               for i, f in enumerate(fields)]
-    return wide.select(F.inline(F.array(*structs))).where(F.col("reason").isNotNull())
+    wanted = None if cols is None else set(cols)
+    fields = [f for f in df.schema.fields if (wanted is None or f.name in wanted) and _orderable(f.dataType)]
+
+    def row(i, f):
+        return [f"named_struct('position', {i}, 'column_name', {sql_text(f.name)}, 'reason', "
+                f"CASE WHEN c{i} = 0 THEN 'empty' WHEN k{i} THEN 'constant' END)"]
+
+    out = per_column_rows(
+        df, list(enumerate(fields)),
+        inputs=lambda i, f: [f"{sql_name(f.name)} AS v{i}"],
+        aggs=lambda i, f: [f"count(v{i}) AS c{i}", f"min(v{i}) = max(v{i}) AS k{i}"],
+        rows=row, width=lambda f: 3,
+        schema="position int, column_name string, reason string")
+    return out.where(F.col("reason").isNotNull())
 
 
 def feature_columns(df: DataFrame, label: str, ids: Sequence[str] = ("id",),

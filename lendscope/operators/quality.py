@@ -1,22 +1,23 @@
 """Row and column quality: regex row rules, quarantine, missing-value census, profiles.
 
-Column-wise statistics are computed as ONE aggregate over the table (one scan,
-map-side partial aggregation, a single tiny shuffle), then turned into tidy
-rows with a generator over that single result row. Nothing row-level goes to
-the driver.
+Column-wise statistics are global aggregates over groups of columns (map-side
+partial aggregation, one row per task in the shuffle), turned into tidy rows
+with a generator over each single result row. Nothing row-level goes to the
+driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, DoubleType, FloatType, StringType, StructField
 
 from lendscope.constants import MAX_MISSING_SHARE, ROW_RULES
-from lendscope.functions.missing import is_missing, is_numeric_type
-from lendscope.functions.parse import parse_double
+from lendscope.functions.missing import is_numeric_type
+from lendscope.functions.parse import NUMBER_TEXT
 
 # --------------------------------------------------------------------------- row rules
 
@@ -73,6 +74,36 @@ def split_valid(df: DataFrame, rules: Sequence[tuple[str, str]] = ROW_RULES,
 
 
 # --------------------------------------------------------------------------- census / profile
+#
+# Column-wise statistics are built as Spark SQL expression text (one call into
+# the JVM per pass, however many columns) and evaluated as global aggregates,
+# one pass per group of columns. A group is kept under ``MAX_BUFFER_FIELDS``
+# aggregation-buffer fields, so the heavy per-row stage stays in whole-stage
+# code generation: one aggregate over all 149 columns of a raw loan file
+# fails to compile and runs interpreted, several times slower per row. Over
+# Parquet each pass reads only its own columns, so together the passes read
+# about one copy of the table; over a derived frame, persist it first.
+
+MAX_BUFFER_FIELDS = 96
+
+def sql_name(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """A Python string as a Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_is_missing(name: str, dtype: DataType) -> str:
+    """SQL form of :func:`lendscope.functions.missing.is_missing`."""
+    c = sql_name(name)
+    if isinstance(dtype, (DoubleType, FloatType)):
+        return f"({c} IS NULL OR isnan({c}))"
+    if isinstance(dtype, StringType):
+        return f"({c} IS NULL OR {c} = '' OR contains({c}, 'None') OR contains({c}, 'NULL'))"
+    return f"({c} IS NULL)"
 
 
 def _columns(df: DataFrame, cols: Iterable[str] | None):
@@ -81,70 +112,116 @@ def _columns(df: DataFrame, cols: Iterable[str] | None):
     return [(i, fields[n]) for i, n in enumerate(names)]
 
 
+def _groups(fields, width: Callable[[StructField], int], budget: int):
+    group, used = [], 0
+    for i, f in fields:
+        w = width(f)
+        if group and used + w > budget:
+            yield group
+            group, used = [], 0
+        group.append((i, f))
+        used += w
+    if group:
+        yield group
+
+
+def per_column_rows(df: DataFrame, fields, *, inputs, aggs, rows, width, schema: str,
+                    budget: int = MAX_BUFFER_FIELDS) -> DataFrame:
+    """Tidy rows of per-column statistics, one global aggregate per group of columns.
+
+    For each ``(position, field)``: ``inputs`` gives the SQL projections computed
+    once per row (``expr AS name``), ``aggs`` the aggregate expressions over them,
+    ``rows`` the ``named_struct`` output rows over the aggregates, and ``width``
+    the aggregation-buffer fields the column needs. The result of each pass is a
+    single row before it is unpacked, so only one row per task crosses the shuffle.
+    """
+    parts = []
+    for group in _groups(fields, width, budget):
+        projected = df.selectExpr(*[e for i, f in group for e in inputs(i, f)])
+        one_row = projected.selectExpr(*[a for i, f in group for a in aggs(i, f)])
+        structs = ", ".join(r for i, f in group for r in rows(i, f))
+        parts.append(one_row.selectExpr(f"inline(array({structs}))"))
+    if not parts:
+        return df.sparkSession.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def missing_census(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """Missing values per column (type-aware), one scan: (position, column_name, n_missing)."""
-    fields = _columns(df, cols)
-    aggs = [F.count_if(is_missing(f.name, f.dataType)).alias(f"m{i}") for i, f in fields]
-    wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-                              F.col(f"m{i}").alias("n_missing")) for i, f in fields])
-    return wide.select(F.inline(rows))
+    """Missing values per column (type-aware): (position, column_name, n_missing)."""
+    return per_column_rows(
+        df, _columns(df, cols),
+        inputs=lambda i, f: [f"{sql_is_missing(f.name, f.dataType)} AS m{i}"],
+        aggs=lambda i, f: [f"count_if(m{i}) AS m{i}"],
+        rows=lambda i, f: [f"named_struct('position', {i}, 'column_name', {sql_text(f.name)}, "
+                           f"'n_missing', m{i})"],
+        width=lambda f: 1,
+        schema="position int, column_name string, n_missing bigint")
 
 
 def missing_census_wide(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """The notebook's form: one row, one count per column, named like the column."""
     fields = _columns(df, cols)
-    return df.agg(*[F.count_if(is_missing(f.name, f.dataType)).alias(f.name) for _, f in fields])
+    return df.selectExpr(*[f"count_if({sql_is_missing(f.name, f.dataType)}) AS {sql_name(f.name)}"
+                           for _, f in fields])
+
+
+def _as_double(f: StructField) -> str:
+    c = sql_name(f.name)
+    return f"CAST({c} AS DOUBLE)" if is_numeric_type(f.dataType) else f"try_cast({c} AS DOUBLE)"
 
 
 def profile(df: DataFrame, cols: Iterable[str] | None = None, digits: int = 6) -> DataFrame:
-    """Per-column profile in one scan.
+    """Per-column profile.
 
     Columns: position, column_name, data_type, n, n_missing, p_missing, n_zeros,
-    min_value, max_value, mean, stddev (numeric statistics are NULL for text).
+    min_value, max_value, mean, stddev (numeric statistics are NULL for text;
+    NaN is left out of them).
     """
-    fields = _columns(df, cols)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, f in fields:
-        aggs.append(F.count_if(is_missing(f.name, f.dataType)).alias(f"m{i}"))
+    def inputs(i, f):
+        out = [f"{sql_is_missing(f.name, f.dataType)} AS m{i}"]
         if is_numeric_type(f.dataType):
-            x = F.col(f.name).cast("double")
-            x = F.when(~F.isnan(x), x)
-            aggs += [F.count_if(x == 0).alias(f"z{i}"), F.min(x).alias(f"lo{i}"),
-                     F.max(x).alias(f"hi{i}"), F.avg(x).alias(f"mu{i}"),
-                     F.stddev_samp(x).alias(f"sd{i}")]
-    wide = df.agg(*aggs)
-    null_d = F.lit(None).cast("double")
-    structs = []
-    for i, f in fields:
-        numeric = is_numeric_type(f.dataType)
-        structs.append(F.struct(
-            F.lit(i).alias("position"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.col("n").alias("n"),
-            F.col(f"m{i}").alias("n_missing"),
-            F.round(F.col(f"m{i}") / F.col("n"), digits).alias("p_missing"),
-            (F.col(f"z{i}") if numeric else F.lit(None).cast("bigint")).alias("n_zeros"),
-            (F.col(f"lo{i}") if numeric else null_d).alias("min_value"),
-            (F.col(f"hi{i}") if numeric else null_d).alias("max_value"),
-            (F.round(F.col(f"mu{i}"), digits) if numeric else null_d).alias("mean"),
-            (F.round(F.col(f"sd{i}"), digits) if numeric else null_d).alias("stddev"),
-        ))
-    return wide.select(F.inline(F.array(*structs)))
+            x = _as_double(f)
+            out.append(f"CASE WHEN NOT isnan({x}) THEN {x} END AS x{i}")
+        return out
+
+    def aggs(i, f):
+        out = [f"count(1) AS n{i}", f"count_if(m{i}) AS m{i}"]
+        if is_numeric_type(f.dataType):
+            out += [f"count_if(x{i} = 0) AS z{i}", f"min(x{i}) AS lo{i}", f"max(x{i}) AS hi{i}",
+                    f"avg(x{i}) AS mu{i}", f"stddev_samp(x{i}) AS sd{i}"]
+        return out
+
+    def rows(i, f):
+        if is_numeric_type(f.dataType):
+            num = (f"z{i}, 'min_value', lo{i}, 'max_value', hi{i}, 'mean', round(mu{i}, {digits}), "
+                   f"'stddev', round(sd{i}, {digits})")
+        else:
+            num = ("CAST(NULL AS BIGINT), 'min_value', CAST(NULL AS DOUBLE), 'max_value', "
+                   "CAST(NULL AS DOUBLE), 'mean', CAST(NULL AS DOUBLE), 'stddev', CAST(NULL AS DOUBLE)")
+        return [f"named_struct('position', {i}, 'column_name', {sql_text(f.name)}, "
+                f"'data_type', {sql_text(f.dataType.simpleString())}, 'n', n{i}, 'n_missing', m{i}, "
+                f"'p_missing', round(try_divide(m{i}, n{i}), {digits}), 'n_zeros', {num})"]
+
+    return per_column_rows(
+        df, _columns(df, cols), inputs=inputs, aggs=aggs, rows=rows,
+        width=lambda f: 11 if is_numeric_type(f.dataType) else 2,
+        schema=("position int, column_name string, data_type string, n bigint, n_missing bigint, "
+                "p_missing double, n_zeros bigint, min_value double, max_value double, "
+                "mean double, stddev double"))
 
 
 def sparse_columns(df: DataFrame, max_missing: float = MAX_MISSING_SHARE,
                    cols: Iterable[str] | None = None, digits: int = 6) -> DataFrame:
     """Columns whose missing share is above ``max_missing`` (default 10%)."""
-    fields = _columns(df, cols)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.count_if(is_missing(f.name, f.dataType)).alias(f"m{i}") for i, f in fields]
-    wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-                              F.round(F.col(f"m{i}") / F.col("n"), digits).alias("p_missing"))
-                     for i, f in fields])
-    return wide.select(F.inline(rows)).where(F.col("p_missing") > max_missing)
+    shares = per_column_rows(
+        df, _columns(df, cols),
+        inputs=lambda i, f: [f"{sql_is_missing(f.name, f.dataType)} AS m{i}"],
+        aggs=lambda i, f: [f"count(1) AS n{i}", f"count_if(m{i}) AS m{i}"],
+        rows=lambda i, f: [f"named_struct('position', {i}, 'column_name', {sql_text(f.name)}, "
+                           f"'p_missing', round(try_divide(m{i}, n{i}), {digits}))"],
+        width=lambda f: 2,
+        schema="position int, column_name string, p_missing double")
+    return shares.where(F.col("p_missing") > max_missing)
 
 
 def describe_long(df: DataFrame, cols: Iterable[str] | None = None, digits: int = 6) -> DataFrame:
@@ -153,37 +230,39 @@ def describe_long(df: DataFrame, cols: Iterable[str] | None = None, digits: int
     count / mean / stddev / min / max per column. Text columns get mean and
     stddev of the values that parse as numbers (as ``describe`` does) and min / max
     as text in ``text_value``; numeric columns carry everything in ``value``.
+    A text value is tested and parsed once per row (a cheap shape test first: a
+    failed cast costs far more than the regex).
     """
-    fields = _columns(df, cols)
-    aggs = []
-    for i, f in fields:
-        is_text = isinstance(f.dataType, StringType)
-        x = parse_double(f.name) if is_text else F.col(f.name).cast("double")
-        aggs += [F.count(F.col(f.name)).alias(f"c{i}"), F.avg(x).alias(f"mu{i}"),
-                 F.stddev_samp(x).alias(f"sd{i}")]
-        if is_text:
-            aggs += [F.min(f.name).alias(f"lo{i}"), F.max(f.name).alias(f"hi{i}")]
+    def inputs(i, f):
+        c = sql_name(f.name)
+        if isinstance(f.dataType, StringType):
+            return [f"{c} AS s{i}",
+                    f"CASE WHEN {c} RLIKE {sql_text(NUMBER_TEXT)} THEN try_cast({c} AS DOUBLE) END AS x{i}"]
+        return [f"{c} AS s{i}", f"{_as_double(f)} AS x{i}"]
+
+    def aggs(i, f):
+        text = isinstance(f.dataType, StringType)
+        lo, hi = (f"min(s{i})", f"max(s{i})") if text else (f"min(x{i})", f"max(x{i})")
+        return [f"count(s{i}) AS c{i}", f"avg(x{i}) AS mu{i}", f"stddev_samp(x{i}) AS sd{i}",
+                f"{lo} AS lo{i}", f"{hi} AS hi{i}"]
+
+    def rows(i, f):
+        name = sql_text(f.name)
+
+        def row(stat, value, text="CAST(NULL AS STRING)"):
+            return (f"named_struct('column_name', {name}, 'summary', '{stat}', 'value', {value}, "
+                    f"'text_value', {text})")
+        out = [row("count", f"CAST(c{i} AS DOUBLE)"), row("mean", f"round(mu{i}, {digits})"),
+               row("stddev", f"round(sd{i}, {digits})")]
+        if isinstance(f.dataType, StringType):
+            out += [row("min", "CAST(NULL AS DOUBLE)", f"lo{i}"), row("max", "CAST(NULL AS DOUBLE)", f"hi{i}")]
         else:
-            aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
-    structs = []
-    for i, f in fields:
-        is_text = isinstance(f.dataType, StringType)
-
-        def row(stat, value, text=null_s, name=f.name):
-            return F.struct(F.lit(name).alias("column_name"), F.lit(stat).alias("summary"),
-                            value.alias("value"), text.alias("text_value"))
-        structs += [
-            row("count", F.col(f"c{i}").cast("double")),
-            row("mean", F.round(F.col(f"mu{i}"), digits)),
-            row("stddev", F.round(F.col(f"sd{i}"), digits)),
-        ]
-        if is_text:
-            structs += [row("min", null_d, F.col(f"lo{i}")), row("max", null_d, F.col(f"hi{i}"))]
-        else:
-            structs += [row("min", F.col(f"lo{i}")), row("max", F.col(f"hi{i}"))]
-    return wide.select(F.inline(F.array(*structs)))
+            out += [row("min", f"lo{i}"), row("max", f"hi{i}")]
+        return out
+
+    return per_column_rows(
+        df, _columns(df, cols), inputs=inputs, aggs=aggs, rows=rows, width=lambda f: 8,
+        schema="column_name string, summary string, value double, text_value string")
 
 
 def category_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -215,13 +294,25 @@ def sparsity_within(df: DataFrame, where: Column, col: str, count_col: str) -> D
 
 def distinct_estimates(df: DataFrame, cols: Iterable[str] | None = None,
                        rsd: float = 0.02) -> DataFrame:
-    """Approximate distinct count per column (HyperLogLog++), one scan.
-
-    Exact distinct counts of every column at once would shuffle rows x columns;
-    the sketch keeps each column to a few KB of state.
+    """Approximate distinct count per column (HyperLogLog++): (position, column_name, approx_distinct).
+
+    Each row is unpivoted to one (position, 64-bit hash of the value) pair per
+    column and one keyed aggregate keeps a sketch per column: the per-row stage
+    updates a single sketch per pair, and partial aggregation sends one sketch
+    per column per task across the shuffle. (One sketch holds hundreds of
+    buffer fields, so a wide one-row aggregate of all sketches cannot be
+    compiled.) Exact distinct counts of every column at once would shuffle
+    rows x columns.
     """
     fields = _columns(df, cols)
-    wide = df.agg(*[F.approx_count_distinct(f.name, rsd).alias(f"d{i}") for i, f in fields])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-                 F.col(f"d{i}").alias("approx_distinct")) for i, f in fields])))
+    if not fields:
+        return df.sparkSession.createDataFrame([], "position int, column_name string, approx_distinct bigint")
+    pairs = ", ".join(
+        f"named_struct('position', {i}, 'h', CASE WHEN {sql_name(f.name)} IS NOT NULL "
+        f"THEN xxhash64({sql_name(f.name)}) END)" for i, f in fields)
+    names = ", ".join(f"{i}, {sql_text(f.name)}" for i, f in fields)
+    return (df.selectExpr(f"inline(array({pairs}))")
+            .groupBy("position").agg(F.approx_count_distinct("h", rsd).alias("approx_distinct"))
+            .selectExpr("position", f"element_at(map({names}), position) AS column_name",
+                        "approx_distinct")
+            .orderBy("position"))

@@ -70,3 +70,59 @@ def test_describe_matches_builtin_counts(spark):
     assert mine[("loan_amnt", "count")].value == float(builtin["count"].loan_amnt)
     assert abs(mine[("loan_amnt", "mean")].value - float(builtin["mean"].loan_amnt)) < 1e-3
     assert mine[("dti", "max")].text_value == "debt consolidation"
+
+
+def _wide_frame(spark, n_cols=120):
+    base = spark.range(0, 500)
+    cols = {}
+    for j in range(n_cols):
+        if j % 3 == 0:
+            cols[f"s{j}"] = F.when(F.col("id") % (j + 2) == 0, F.lit(None)).otherwise(
+                F.concat(F.lit("v"), (F.col("id") % (j + 5)).cast("string")))
+        elif j % 3 == 1:
+            cols[f"d{j}"] = F.when(F.col("id") % (j + 3) == 0, F.lit(float("nan"))).otherwise(
+                (F.col("id") % (j + 7)).cast("double"))
+        else:
+            cols[f"i{j}"] = F.when(F.col("id") % (j + 4) == 0, F.lit(None)).otherwise(F.col("id") % 11)
+    return base.withColumns(cols).drop("id")
+
+
+def test_wide_census_and_profile_span_several_passes(spark):
+    df = _wide_frame(spark).persist()
+    fields = df.schema.fields
+    brute = df.agg(*[F.count_if(F.col(f.name).isNull() | (F.isnan(f.name) if f.name.startswith("d") else F.lit(False)))
+                     .alias(f.name) for f in fields]).first().asDict()
+    census = {r.column_name: (r.position, r.n_missing) for r in quality.missing_census(df).collect()}
+    assert census == {f.name: (i, brute[f.name]) for i, f in enumerate(fields)}
+    prof = {r.column_name: r for r in quality.profile(df).collect()}
+    assert len(prof) == len(fields)
+    for f in fields:
+        assert prof[f.name].n == 500 and prof[f.name].n_missing == brute[f.name]
+    d = df.where(~F.isnan("d1")).agg(F.min("d1"), F.max("d1")).first()
+    assert (prof["d1"].min_value, prof["d1"].max_value) == (d[0], d[1])
+    desc = quality.describe_long(df)
+    assert desc.count() == 5 * len(fields)
+    df.unpersist()
+
+
+def test_odd_column_names_and_empty_selection(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, float("nan")), ("", 2.0)], "a string, b double") \
+        .toDF("we`ird' na\\me", "x y")
+    got = {r.column_name: r.n_missing for r in quality.missing_census(df).collect()}
+    assert got == {df.columns[0]: 2, "x y": 1}
+    assert {r.column_name for r in quality.describe_long(df).collect()} == set(df.columns)
+    assert quality.missing_census(df, []).count() == 0
+    assert quality.distinct_estimates(df, []).count() == 0
+
+
+def test_persist_for_fit_spreads_a_narrow_frame(spark):
+    from lendscope.operators.features import persist_for_fit
+    one = spark.range(0, 1000).coalesce(1)
+    spread = persist_for_fit(one)
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert spread.count() == 1000
+    spread.unpersist()
+    wide = spark.range(0, 1000, numPartitions=16)
+    kept = persist_for_fit(wide)
+    assert kept.rdd.getNumPartitions() == 16
+    kept.unpersist()
