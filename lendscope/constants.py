@@ -85,6 +85,7 @@ CATEGORICAL_COLUMNS = (
 )
 # Grades run A..G; each has five sub-grades 1..5 (A1 < A2 < ... < G5).
 GRADES = ("A", "B", "C", "D", "E", "F", "G")
+SUB_GRADES = tuple(f"{g}{n}" for g in GRADES for n in range(1, 6))
 
 # --- fixed values: exploration and modelling parameters -------------------------------------
 ELBOW_KS = (2, 3, 4, 5, 6, 7, 9, 10, 11, 12, 16, 20)

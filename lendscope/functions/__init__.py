@@ -11,10 +11,11 @@ from lendscope.functions.parse import (
     term_months,
     to_double,
 )
+from lendscope.functions.order import ordinal
 from lendscope.functions.text import scrub_ascii, scrub_line
 
 __all__ = [
     "cast_columns", "default_flag", "emp_length_years", "fill_when", "is_missing",
-    "is_numeric_type", "issue_date", "issue_year", "scrub_ascii", "scrub_line", "term_months",
+    "is_numeric_type", "issue_date", "issue_year", "ordinal", "scrub_ascii", "scrub_line", "term_months",
     "to_double",
 ]

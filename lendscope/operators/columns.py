@@ -28,6 +28,13 @@ def drop_columns(df: DataFrame, cols: Iterable[str], strict: bool = False) -> Da
     return df.drop(*cols)
 
 
+def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Give the columns new names by position (the notebook's ``frame.columns = [...]``)."""
+    if len(names) != len(df.columns):
+        raise ValueError(f"{len(names)} names for {len(df.columns)} columns")
+    return df.toDF(*names)
+
+
 def _orderable(dtype: DataType) -> bool:
     return (is_numeric_type(dtype) or isinstance(dtype, (StringType, BooleanType, DateType,
             TimestampType, TimestampNTZType, BinaryType)))

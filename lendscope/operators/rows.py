@@ -48,3 +48,11 @@ def split_frames(df: DataFrame, weights: Sequence[float], key: str = "id", seed:
     tagged = stable_split(df, weights, key, seed, names, "_split")
     names = list(names or [f"part{i}" for i in range(len(weights))])
     return [tagged.where(F.col("_split") == n).drop("_split") for n in names]
+
+
+def preview(df: DataFrame, n: int = 20, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` rows (by ``order_by`` when given: a top-n, one partial sort per task).
+
+    A preview is where a limit is the feature; it never stands in for a whole result.
+    """
+    return (df.orderBy(*order_by) if order_by else df).limit(n)

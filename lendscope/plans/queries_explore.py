@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lendscope.constants import GRADES
+from lendscope.constants import GRADES, SUB_GRADES
+from lendscope.functions.order import ordinal
 from lendscope.functions.parse import default_flag
 from lendscope.operators import explore
 from lendscope.plans.catalog import register
@@ -58,3 +59,20 @@ FROM loans GROUP BY 1 ORDER BY 1
 """))
 def status_grade_crosstab(spark, sf_dir):
     return explore.crosstab(loans_view(spark, sf_dir), "loan_status", "grade", values=GRADES)
+
+
+_SUB_GRADE_LIST = ", ".join(f"'{g}'" for g in SUB_GRADES)
+
+
+@register("sub_grade_order", with_loans(f"""
+SELECT sub_grade, CAST(nullif(list_position([{_SUB_GRADE_LIST}], sub_grade), 0) AS INTEGER) AS sub_grade_rank,
+       count(*) AS n_loans, round(avg(int_rate), 6) AS mean_int_rate
+FROM loans GROUP BY sub_grade ORDER BY sub_grade_rank
+"""))
+def sub_grade_order(spark, sf_dir):
+    """Loans and mean rate per sub-grade with its place in the fixed A1..G5 order (the plot axis)."""
+    return (loans_view(spark, sf_dir).groupBy("sub_grade")
+            .agg(F.count(F.lit(1)).alias("n_loans"), F.round(F.avg("int_rate"), 6).alias("mean_int_rate"))
+            .select("sub_grade", ordinal("sub_grade", SUB_GRADES).alias("sub_grade_rank"),
+                    "n_loans", "mean_int_rate")
+            .orderBy("sub_grade_rank"))

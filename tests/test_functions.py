@@ -83,3 +83,23 @@ def test_parse_double_matches_try_cast_on_numbers(spark):
     assert got[:4] == [1.0, 2.5, -300.0, 0.5]
     assert math.isnan(got[4]) and got[5] == float("inf")
     assert got[6:] == [None, None, None, None]
+
+
+def test_ordinal_custom_order(spark):
+    from lendscope.constants import SUB_GRADES
+    from lendscope.functions.order import ordinal
+    df = spark.createDataFrame([("B2",), ("A1",), ("G5",), ("Z9",), (None,)], "g string")
+    got = {r.g: r.rank for r in df.select("g", ordinal("g", SUB_GRADES).alias("rank")).collect()}
+    assert got == {"B2": 7, "A1": 1, "G5": 35, "Z9": None, None: None}
+    assert len(SUB_GRADES) == 35 and SUB_GRADES[:6] == ("A1", "A2", "A3", "A4", "A5", "B1")
+
+
+def test_rename_positional_and_preview(spark):
+    import pytest
+    from lendscope.operators.columns import rename_positional
+    from lendscope.operators.rows import preview
+    df = spark.createDataFrame([(2016, 3.0), (2015, 1.0), (2017, 2.0)], "y int, v double")
+    assert rename_positional(df, ["Year", "Median"]).columns == ["Year", "Median"]
+    with pytest.raises(ValueError):
+        rename_positional(df, ["Year"])
+    assert [r.y for r in preview(df, 2, ["y"]).collect()] == [2015, 2016]
