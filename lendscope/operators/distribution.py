@@ -95,9 +95,9 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float
 
     Pass 1 computes quartiles per group (sketches). Pass 2 needs each row's group
     fences: with no grouping they are three literals; with grouping the per-group
-    table is read back (it has one row per group, checked against
-    ``MAX_BROADCAST_GROUPS``) and broadcast; past that bound it is joined by a
-    shuffle on the group keys instead (AQE splits a skewed group).
+    table (one row per group) is checkpointed to the shared folder, counted, and
+    broadcast when it has at most ``MAX_BROADCAST_GROUPS`` rows; past that bound it
+    is joined by a shuffle on the group keys instead (AQE splits a skewed group).
     """
     by = list(by)
     x = F.col(value).cast("double")
@@ -121,11 +121,10 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float
                            F.lit(iqr).alias("iqr"), "whisker_lo", "whisker_hi", "n_outliers",
                            F.lit(r["min_value"]).alias("min_value"),
                            F.lit(r["max_value"]).alias("max_value"))
-    rows = quart.limit(MAX_BROADCAST_GROUPS + 1).collect()
-    if len(rows) <= MAX_BROADCAST_GROUPS:
-        groups = F.broadcast(df.sparkSession.createDataFrame(rows, quart.schema))
-    else:
-        groups = quart
+    # The per-group table is written once to the shared checkpoint folder (lineage
+    # cut, survives a lost executor), counted there, and broadcast only under the bound.
+    quart = quart.checkpoint(eager=True)
+    groups = F.broadcast(quart) if quart.count() <= MAX_BROADCAST_GROUPS else quart
     g = groups.withColumn("_lf", F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))) \
               .withColumn("_uf", F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1")))
     cond = [base[k].eqNullSafe(g[k]) for k in by]

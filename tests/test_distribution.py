@@ -40,3 +40,19 @@ def test_mean_ci_contains_mean(spark):
     df = loans_view(spark, SF001)
     for r in distribution.mean_ci(df, "loan_amnt", ["grade"]).collect():
         assert r.ci_lo <= r.mean <= r.ci_hi
+
+
+def test_box_stats_same_past_the_broadcast_bound(spark, monkeypatch):
+    """Over the group bound the fences are joined by a shuffle; the numbers must not change."""
+    df = loans_view(spark, SF001)
+    small = sorted(distribution.box_stats(df, "int_rate", ["grade"]).collect())
+    monkeypatch.setattr(distribution, "MAX_BROADCAST_GROUPS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = distribution.box_stats(df, "int_rate", ["grade"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        big = sorted(out.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in plan
+    assert small == big
