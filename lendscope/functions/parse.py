@@ -31,7 +31,7 @@ def issue_year(c: str | Column = "issue_d") -> Column:
 
 def issue_date(c: str | Column = "issue_d") -> Column:
     """First day of the issue month as a DATE, NULL if it does not parse."""
-    return F.try_to_date(_col(c), F.lit("MMM-yyyy"))
+    return F.try_to_date(_col(c), "MMM-yyyy")
 
 
 def emp_length_years(c: str | Column = "emp_length", under_one: int | None = None) -> Column:

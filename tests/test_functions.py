@@ -103,3 +103,12 @@ def test_rename_positional_and_preview(spark):
     with pytest.raises(ValueError):
         rename_positional(df, ["Year"])
     assert [r.y for r in preview(df, 2, ["y"]).collect()] == [2015, 2016]
+
+
+def test_issue_date(spark):
+    import datetime
+
+    from lendscope.functions import issue_date
+    df = spark.createDataFrame([(0, "Dec-2015"), (1, "bad"), (2, None)], "i int, issue_d string")
+    assert _vals(df.select("i", issue_date("issue_d").alias("d")), "d") == [
+        datetime.date(2015, 12, 1), None, None]

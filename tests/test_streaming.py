@@ -32,3 +32,32 @@ def test_file_stream_split(spark, tmp_dir):
         "2": "dti:pattern", "3": "delinq_2yrs:pattern", "4": "addr_state:null"}
     row1 = [r for r in valid.collect() if r.id == "1"][0]
     assert (row1.target, row1.emplength_clean, row1.tot_coll_amt_clean) == (1, 10, 0.0)
+
+
+def test_defaults_by_event_time_window(spark, tmp_dir):
+    """Loans and defaults per 30-day issue window on a file stream (memory sink, complete mode)."""
+    from pyspark.sql import functions as F
+
+    from lendscope.functions.parse import issue_date
+    from lendscope.streaming.clean_stream import defaults_by_window
+
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    header = "id,dti,delinq_2yrs,addr_state,issue_d,emp_length,term,loan_status,tot_coll_amt,tot_cur_bal\n"
+    rows = ["1,1,0,CA,Jan-2016,1 year, 36 months,Charged Off,1,1",
+            "2,1,0,CA,Jan-2016,1 year, 36 months,Current,1,1",
+            "3,1,0,CA,Jun-2016,1 year, 36 months,Default,1,1"]
+    with open(os.path.join(src, "part0.csv"), "w") as fh:
+        fh.write(header + "\n".join(rows) + "\n")
+    schema = text_schema(header.strip().split(","), corrupt_col=None)
+    tagged = tag_rows(loan_stream(spark, src, schema)).withColumn(
+        "issued", issue_date("issue_d").cast("timestamp"))
+    q = (defaults_by_window(tagged, "issued").writeStream.outputMode("complete").format("memory")
+         .queryName("defaults_by_window_test")
+         .option("checkpointLocation", os.path.join(tmp_dir, "ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r.window_start.month, r.n_loans, r.n_defaults)
+           for r in spark.table("defaults_by_window_test").where(F.col("n_loans") > 0).collect()}
+    assert sum(n for _, n, _ in got) == 3
+    assert sum(d for _, _, d in got) == 2
