@@ -95,12 +95,11 @@ SPLIT_TRAIN_TEST = (0.70, 0.30)
 SPLIT_TRAIN_TEST_VALIDATION = (0.60, 0.20, 0.20)
 MAX_MISSING_SHARE = 0.10
 
-# Characters Python's str.split() treats as blanks (str.isspace), besides line breaks;
-# Java's \s does not know most of them.
-PY_BLANKS_CLASS = (
-    "[\\x{09}\\x{0B}\\x{0C}\\x{1C}-\\x{1F}\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
-    "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+# Characters Python's str.split() treats as blanks (str.isspace), besides the line breaks
+# \n and \r; Java's \s does not know most of them.
+PY_BLANK_CHARS = (
+    "\t\x0b\x0c\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
-# Python's text-mode line iteration breaks on these.
-LINE_BREAKS = "\\r\\n|\\r|\\n"
-NON_ASCII_CLASS = "[^\\x{00}-\\x{7F}]"
+NON_ASCII_CLASS = "[^\\x{00}-\\x{7F}]+"

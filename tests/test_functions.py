@@ -136,3 +136,24 @@ def test_small_helpers(spark):
     assert spark.sql("SELECT count(*) AS n FROM loans_helper_view WHERE target = 1").first().n == 1
     dens = gamma_pdf_points(2.0, 3.0, [0.0, 3.0])
     assert dens[0] == 0.0 and abs(dens[1] - 3.0 * m.exp(-1.0) / 9.0) < 1e-12
+
+
+def test_blank_set_is_pythons():
+    from lendscope.constants import PY_BLANK_CHARS
+    expected = "".join(chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in "\n\r")
+    assert PY_BLANK_CHARS == expected
+
+
+def test_scrub_matches_python_on_random_text(spark):
+    """Brute force: Python's own per-line split/join and ASCII/ignore encode on random texts."""
+    import random
+
+    rnd = random.Random(11)
+    alphabet = ["a", "b", "é", "\U0001F600", " ", "  ", "\t", "\n", "\r", "\r\n", "\x0b", "\x1c",
+                "\x85", "\xa0", " ", "　", "z", "."]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = _vals(df.select("i", scrub_ascii("t").alias("c")), "c")
+    for text, out in zip(texts, got):
+        lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+        assert out == "\n".join(" ".join(l.split()).encode("ascii", "ignore").decode() for l in lines)
