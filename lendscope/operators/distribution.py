@@ -5,10 +5,11 @@
 - :func:`box_stats`  quartiles, whiskers and outlier counts, optionally by group
 - :func:`mean_ci`    mean with a normal 95% interval per group
 
-Quartiles use ``percentile_approx``: a mergeable sketch with partial
-aggregation, so a group holding a third of all rows is summarised per task and
-only sketches cross the shuffle (the exact ``percentile`` keeps every value of
-a group in one task's memory). Rank error is at most n / accuracy.
+Quartiles come from KLL sketches merged in two levels
+(:mod:`lendscope.operators.quantiles`): a group holding a third of all rows is
+summarised per task, and the task that finishes it merges a bounded number of
+sketches (the exact ``percentile`` keeps every value of a group in one task's
+memory). Exact while a group has at most k values.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100000
+from lendscope.operators import quantiles
+
 # Largest number of groups whose quartiles are shipped to the tasks as a small table.
 MAX_BROADCAST_GROUPS = 100000
 
@@ -78,18 +80,23 @@ def fit_gamma(df: DataFrame, col: str, by: Sequence[str] = (), digits: int = 6)
     )
 
 
-def _quartiles(df: DataFrame, value: str, by: Sequence[str], accuracy: int) -> DataFrame:
+def _quartiles(df: DataFrame, value: str, by: Sequence[str], k: int) -> DataFrame:
     x = F.col(value).cast("double")
-    q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-    return (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*by)
-            .agg(F.count(F.lit(1)).alias("n"), q.alias("_q"), F.min(x).alias("min_value"),
-                 F.max(x).alias("max_value"))
-            .select(*by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                    F.col("_q")[2].alias("q3"), "min_value", "max_value"))
+    rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
+    q = quantiles.two_level(
+        rows, by,
+        partial=[F.count(F.lit(1)).alias("n"), quantiles.kll("_x", k).alias("_k"),
+                 F.min("_x").alias("min_value"), F.max("_x").alias("max_value")],
+        final=[F.sum("n").alias("n"), quantiles.kll_merge("_k").alias("_k"),
+               F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value")])
+    return q.select(*by, "n", quantiles.kll_quantiles("_k", [0.25, 0.5, 0.75]).alias("_q"),
+                    "min_value", "max_value") \
+        .select(*by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                F.col("_q")[2].alias("q3"), "min_value", "max_value")
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float = 1.5,
-              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+              k: int = quantiles.DEFAULT_K) -> DataFrame:
     """Box-plot numbers per group: n, q1, median, q3, iqr, whisker_lo, whisker_hi, n_outliers,
     min_value, max_value.
 
@@ -102,7 +109,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float
     by = list(by)
     x = F.col(value).cast("double")
     base = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
-    quart = _quartiles(df, value, by, accuracy)
+    quart = _quartiles(df, value, by, k)
     if not by:
         r = quart.first()
         if r is None or r["n"] == 0:

@@ -8,7 +8,8 @@ The AUC is exact (Mann-Whitney with half credit for ties):
 ``neg(< s)`` is a running sum in score order. A global window would pull every
 distinct score into one task, so the running sum is taken in two levels: the
 distinct scores are cut into ``buckets`` ranges at approximate quantiles of the
-scores (one row per distinct score, so a hot score is one row), a window runs
+scores (one row per distinct score, so a hot score is one row; the cut points
+come from sketches merged in two levels, never from all scores in one task), a window runs
 per range, and each range's offset comes from the range totals - ``buckets``
 numbers, read on the driver and joined back as a broadcast table of that size.
 """
@@ -19,6 +20,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendscope.operators import quantiles
+
 
 def _safe_ratio(num, den):
     return F.when(den > 0, num / den)
@@ -54,7 +57,9 @@ def auc(df: DataFrame, label: str = "target", score: str = "score", buckets: int
             n_scores = per_score.count()
             buckets = max(64, -(-n_scores // rows_per_bucket))
         qs = [i / buckets for i in range(1, buckets)]
-        cuts = per_score.agg(F.percentile_approx("s", qs, 10000).alias("c")).first()["c"]
+        cuts = quantiles.two_level(per_score, [], [quantiles.kll("s", 4096).alias("k")],
+                                   [quantiles.kll_merge("k").alias("k")]) \
+            .select(quantiles.kll_quantiles("k", qs).alias("c")).first()["c"]
         if cuts is None:
             return None
         splits = [-float("inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]

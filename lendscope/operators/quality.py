@@ -18,6 +18,7 @@ from pyspark.sql.types import DataType, DoubleType, FloatType, StringType, Struc
 from lendscope.constants import MAX_MISSING_SHARE, ROW_RULES
 from lendscope.functions.missing import is_numeric_type
 from lendscope.functions.parse import NUMBER_TEXT
+from lendscope.operators import quantiles
 
 # --------------------------------------------------------------------------- row rules
 
@@ -293,16 +294,15 @@ def sparsity_within(df: DataFrame, where: Column, col: str, count_col: str) -> D
 
 
 def distinct_estimates(df: DataFrame, cols: Iterable[str] | None = None,
-                       rsd: float = 0.02) -> DataFrame:
-    """Approximate distinct count per column (HyperLogLog++): (position, column_name, approx_distinct).
+                       lg_k: int = 12) -> DataFrame:
+    """Approximate distinct count per column (HyperLogLog): (position, column_name, approx_distinct).
 
     Each row is unpivoted to one (position, 64-bit hash of the value) pair per
-    column and one keyed aggregate keeps a sketch per column: the per-row stage
-    updates a single sketch per pair, and partial aggregation sends one sketch
-    per column per task across the shuffle. (One sketch holds hundreds of
-    buffer fields, so a wide one-row aggregate of all sketches cannot be
-    compiled.) Exact distinct counts of every column at once would shuffle
-    rows x columns.
+    column; a mergeable HLL sketch per column is built on the map side and merged
+    in two levels (see :mod:`lendscope.operators.quantiles`), so the task that
+    finishes a column merges a bounded number of ~2 KB sketches. ``lg_k`` = 12
+    gives about 1.6% relative error; small counts are exact. Exact distinct counts
+    of every column at once would shuffle rows x columns.
     """
     fields = _columns(df, cols)
     if not fields:
@@ -311,8 +311,11 @@ def distinct_estimates(df: DataFrame, cols: Iterable[str] | None = None,
         f"named_struct('position', {i}, 'h', CASE WHEN {sql_name(f.name)} IS NOT NULL "
         f"THEN xxhash64({sql_name(f.name)}) END)" for i, f in fields)
     names = ", ".join(f"{i}, {sql_text(f.name)}" for i, f in fields)
-    return (df.selectExpr(f"inline(array({pairs}))")
-            .groupBy("position").agg(F.approx_count_distinct("h", rsd).alias("approx_distinct"))
+    sketches = quantiles.two_level(
+        df.selectExpr(f"inline(array({pairs}))"), ["position"],
+        partial=[F.hll_sketch_agg("h", lg_k).alias("s")],
+        final=[F.hll_union_agg("s").alias("s")])
+    return (sketches
             .selectExpr("position", f"element_at(map({names}), position) AS column_name",
-                        "approx_distinct")
+                        "hll_sketch_estimate(s) AS approx_distinct")
             .orderBy("position"))

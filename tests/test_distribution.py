@@ -56,3 +56,36 @@ def test_box_stats_same_past_the_broadcast_bound(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in plan
     assert small == big
+
+
+def _brute_quantile(values, p):
+    """Smallest value whose share of values at or below it is at least p."""
+    xs = sorted(values)
+    return xs[max(0, int(np.ceil(p * len(xs))) - 1)]
+
+
+def test_two_level_quantiles_exact_below_k(spark):
+    from lendscope.operators import quantiles
+    rng = np.random.default_rng(5)
+    rows = [(0, float(v)) for v in rng.integers(0, 1000, 6000)]          # hot group
+    rows += [(g, float(v)) for g in range(1, 6) for v in rng.normal(50, 10, 300)]
+    rows += [(9, None), (9, None)]                                       # no values
+    df = spark.createDataFrame(rows, "g int, x double").repartition(16)
+    out = quantiles.two_level(
+        df, ["g"], partial=[quantiles.kll("x").alias("k")], final=[quantiles.kll_merge("k").alias("k")],
+        salts=3).select("g", quantiles.kll_quantiles("k", [0.25, 0.5, 0.75]).alias("q")).collect()
+    got = {r.g: r.q for r in out}
+    assert got[9] is None
+    for g in range(6):
+        vals = [x for gg, x in rows if gg == g]
+        assert got[g] == [_brute_quantile(vals, p) for p in (0.25, 0.5, 0.75)]
+
+
+def test_two_level_quantiles_bounded_error_above_k(spark):
+    from lendscope.operators import quantiles
+    n = 50000
+    df = spark.range(0, n, numPartitions=12).select(((F.col("id") * 7919) % n).cast("double").alias("x"))
+    r = quantiles.two_level(df, [], [quantiles.kll("x", 256).alias("k")],
+                            [quantiles.kll_merge("k").alias("k")], salts=4) \
+        .select(quantiles.kll_quantile("k", 0.5).alias("m")).first()
+    assert abs(r.m / n - 0.5) < 0.02
