@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.operators.features import persist_for_fit
+from lendscope.operators.features import fit_concurrently, persist_for_fit
 
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features_scaled", seed: int = 2,
@@ -25,19 +25,18 @@ def fit_kmeans(df: DataFrame, k: int, features: str = "features_scaled", seed: i
 
 
 def elbow(spark: SparkSession, df: DataFrame, ks: Sequence[int], features: str = "features_scaled",
-          seed: int = 2, max_iter: int = 20) -> DataFrame:
+          seed: int = 2, max_iter: int = 20, parallelism: int = 4) -> DataFrame:
     """Within-cluster sum of squares per k: rows (k, wcss). The feature column is
-    persisted for the sweep; each fit is a distributed job; only k and one number
-    per fit reach the driver."""
+    persisted for the sweep; the fits are distributed jobs, ``parallelism`` of them
+    at a time; only k and one number per fit reach the driver."""
     data = persist_for_fit(df.select(features))
     try:
-        rows = []
-        for k in ks:
-            model = fit_kmeans(data, k, features, seed, max_iter)
-            rows.append((int(k), float(model.summary.trainingCost)))
+        costs = fit_concurrently(spark, [
+            (lambda k=k: float(fit_kmeans(data, k, features, seed, max_iter).summary.trainingCost))
+            for k in ks], parallelism)
     finally:
         data.unpersist()
-    return spark.createDataFrame(rows, "k int, wcss double")
+    return spark.createDataFrame([(int(k), c) for k, c in zip(ks, costs)], "k int, wcss double")
 
 
 def assign_clusters(model: KMeansModel, df: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ Label columns never enter a feature list (see :func:`guard_features`).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -47,6 +48,25 @@ def persist_for_fit(df: DataFrame, min_partitions: int | None = None,
     return df.persist(level)
 
 
+def fit_concurrently(spark, tasks: Sequence[Callable], parallelism: int = 4) -> list:
+    """Run independent fits from a thread pool and return their results in order.
+
+    Each fit is a chain of small distributed jobs whose time is mostly per-job
+    overhead, so several fits at once keep the executors busy; this is what
+    ``CrossValidator(parallelism=n)`` does. Fits must not depend on each other
+    (seeded estimators give the same models in any order).
+    """
+    tasks = list(tasks)
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    wrap = inheritable_thread_target(spark)
+    pool = ThreadPool(processes=min(parallelism, len(tasks)))
+    try:
+        return pool.map(lambda t: t(), [wrap(t) for t in tasks])
+    finally:
+        pool.close()
+
+
 def as_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Category columns as text (a year is a category, not a magnitude)."""
     return df.withColumns({c: F.col(c).cast("string") for c in cols})

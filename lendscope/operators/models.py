@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.constants import HASHED_FEATURES
-from lendscope.operators.features import guard_features
+from lendscope.operators.features import fit_concurrently, guard_features
 from lendscope.operators.metrics import auc
 
 
@@ -75,16 +75,22 @@ def hashed_lr_pipeline(input_cols: Sequence[str], reg_param: float, label: str =
 
 
 def train_lr_grid(train: DataFrame, input_cols: Sequence[str], reg_params: Sequence[float],
-                  label: str = "target") -> list[tuple[float, PipelineModel]]:
-    return [(rp, hashed_lr_pipeline(input_cols, rp, label).fit(train)) for rp in reg_params]
+                  label: str = "target", parallelism: int = 4) -> list[tuple[float, PipelineModel]]:
+    """One hashed logistic model per ``regParam``, ``parallelism`` fits at a time."""
+    fitted = fit_concurrently(train.sparkSession, [
+        (lambda rp=rp: hashed_lr_pipeline(input_cols, rp, label).fit(train)) for rp in reg_params],
+        parallelism)
+    return list(zip(reg_params, fitted))
 
 
 def pick_best(spark: SparkSession, models: Sequence[tuple[float, PipelineModel]], test: DataFrame,
-              label: str = "target") -> tuple[PipelineModel, DataFrame]:
+              label: str = "target", parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
     """Score each model on ``test``; return the best by AUC and the leaderboard."""
+    aucs = fit_concurrently(spark, [
+        (lambda m=m: auc(score_column(m.transform(test)), label, "score")) for _, m in models],
+        parallelism)
     rows, best, best_auc = [], None, -1.0
-    for rp, m in models:
-        a = auc(score_column(m.transform(test)), label, "score")
+    for (rp, m), a in zip(models, aucs):
         rows.append((float(rp), a))
         if a is not None and a > best_auc:
             best, best_auc = m, a

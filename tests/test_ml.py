@@ -112,3 +112,18 @@ def test_shuffled_label_auc_near_half(spark):
     fitted = models.train_lr_grid(train, ["loan_amnt", "int_rate", "grade", "purpose"], [0.1])
     _, board = models.pick_best(spark, fitted, test)
     assert abs(board.first().auc - 0.5) < 0.06
+
+
+def test_concurrent_fits_equal_sequential(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from lendscope.operators import cluster
+    df = spark.range(0, 600).select((F.col("id") % 17).cast("double").alias("a"),
+                                    ((F.col("id") * 7) % 23).cast("double").alias("b"))
+    feats = VectorAssembler(inputCols=["a", "b"], outputCol="features_scaled").transform(df)
+    seq = [tuple(r) for r in cluster.elbow(spark, feats, [2, 3, 4, 5], parallelism=1).collect()]
+    par = [tuple(r) for r in cluster.elbow(spark, feats, [2, 3, 4, 5], parallelism=4).collect()]
+    # The cost is a floating-point sum combined in task-completion order, so it can
+    # differ in the last bit between any two runs; the fits themselves are the same.
+    assert [k for k, _ in seq] == [k for k, _ in par] == [2, 3, 4, 5]
+    assert all(abs(a - b) <= 1e-9 * abs(a) for (_, a), (_, b) in zip(seq, par))
