@@ -57,7 +57,7 @@ def auc(df: DataFrame, label: str = "target", score: str = "score", buckets: int
             n_scores = per_score.count()
             buckets = max(64, -(-n_scores // rows_per_bucket))
         qs = [i / buckets for i in range(1, buckets)]
-        cuts = quantiles.two_level(per_score, [], [quantiles.kll("s", 4096).alias("k")],
+        cuts = quantiles.two_level(per_score, [], [quantiles.kll("s").alias("k")],
                                    [quantiles.kll_merge("k").alias("k")]) \
             .select(quantiles.kll_quantiles("k", qs).alias("c")).first()["c"]
         if cuts is None:

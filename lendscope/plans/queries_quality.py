@@ -169,3 +169,21 @@ def redundant_columns(spark, sf_dir):
 @register("distinct_estimates")
 def distinct_estimates(spark, sf_dir):
     return quality.distinct_estimates(loans_view(spark, sf_dir))
+
+
+def _quartiles_sql():
+    parts = []
+    for i, (n, t) in enumerate(LOANS_SCHEMA):
+        if t not in _NUMERIC:
+            continue
+        x = f"CAST({n} AS DOUBLE)"
+        parts.append(
+            f"SELECT {i} AS position, '{n}' AS column_name, count(x) AS n, quantile_disc(x, 0.25) AS q1, "
+            f"quantile_disc(x, 0.5) AS median, quantile_disc(x, 0.75) AS q3 "
+            f"FROM (SELECT CASE WHEN isnan({x}) THEN NULL ELSE {x} END AS x FROM loans)")
+    return with_loans("\nUNION ALL\n".join(parts))
+
+
+@register("column_quartiles", _quartiles_sql())
+def column_quartiles(spark, sf_dir):
+    return quality.column_quartiles(loans_view(spark, sf_dir))

@@ -126,3 +126,21 @@ def test_persist_for_fit_spreads_a_narrow_frame(spark):
     kept = persist_for_fit(wide)
     assert kept.rdd.getNumPartitions() == 16
     kept.unpersist()
+
+
+def test_column_quartiles_brute_force(spark):
+    import math
+    rows = [(i, float(i % 37) if i % 5 else float("nan"), None, "t", i % 7 if i % 3 else None)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "a int, b double, c double, s string, d int")
+    got = {r.column_name: r for r in quality.column_quartiles(df).collect()}
+    assert set(got) == {"a", "b", "c", "d"} and got["d"].position == 4
+
+    def brute(vals, p):
+        xs = sorted(vals)
+        return float(xs[max(0, math.ceil(p * len(xs)) - 1)])
+    for j, name in [(0, "a"), (1, "b"), (4, "d")]:
+        vals = [r[j] for r in rows if r[j] is not None and not (isinstance(r[j], float) and math.isnan(r[j]))]
+        assert got[name].n == len(vals)
+        assert (got[name].q1, got[name].median, got[name].q3) == tuple(brute(vals, p) for p in (0.25, 0.5, 0.75))
+    assert got["c"].n == 0 and got["c"].median is None
