@@ -45,7 +45,8 @@ def test_no_python_in_plan(spark, key):
         assert node not in plan
 
 
-@pytest.mark.parametrize("key", ["loan_book_by_year", "defaults_by_state", "box_stats_by", "category_values"])
+@pytest.mark.parametrize("key", ["loan_book_by_year", "defaults_by_state", "box_stats_by", "category_values",
+                                 "column_quartiles", "distinct_estimates", "sub_grade_order"])
 def test_same_result_any_partition_count(spark, key):
     results = []
     old = spark.conf.get("spark.sql.shuffle.partitions")
