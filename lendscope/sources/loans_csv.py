@@ -71,8 +71,14 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
 
     Parquet is the internal format (columnar: pruning, pushdown, vectorised reads);
     partitioning by a low-cardinality key (e.g. issue year) lets later filters
-    skip whole folders.
+    skip whole folders. A partitioned write is rebalanced on its partition columns
+    first: without it every task would write one file per key it holds (tasks x
+    keys small files); a plain repartition by key would put a year holding a third
+    of the rows into one task. AQE's rebalance splits such a key into chunks of the
+    advisory partition size and merges small ones.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         # Keep blanks as they are (the writer trims them by default) and tell an

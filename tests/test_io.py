@@ -78,3 +78,18 @@ def test_partitioned_layer_prunes(spark, tmp_dir):
     plan = sub._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2012" in plan
     assert sub.count() == 200
+
+
+def test_partitioned_write_is_rebalanced(spark, tmp_dir):
+    """Many input partitions, one hot year: few files per year folder, every row written."""
+    import glob
+
+    n = 20000
+    df = spark.range(0, n, numPartitions=40).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(2016)).otherwise(2010 + F.col("id") % 5).alias("year"))
+    path = os.path.join(tmp_dir, "rebalanced")
+    loans_csv.write_layer(df, path, partition_by=["year"])
+    back = spark.read.parquet(path)
+    assert back.count() == n
+    for folder in glob.glob(os.path.join(path, "year=*")):
+        assert len(glob.glob(os.path.join(folder, "*.parquet"))) <= 2, folder
