@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.operators.features import fit_concurrently, persist_for_fit
+from lendscope.operators.rows import hash_bucket
 
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features_scaled", seed: int = 2,
@@ -59,7 +60,12 @@ def explained_variance(spark: SparkSession, model: PCAModel, digits: int = 6) ->
 
 
 def project(model: PCAModel, df: DataFrame, keep: Sequence[str] = ("id",),
-            names: Sequence[str] = ("pc1", "pc2")) -> DataFrame:
-    """Component scores as columns (for scatter plots: sample this, never collect it)."""
+            names: Sequence[str] = ("pc1", "pc2"), sample_percent: int | None = None,
+            key: str = "id", seed: int = 0) -> DataFrame:
+    """Component scores as columns. For a scatter plot pass ``sample_percent``: a
+    reproducible hash sample of the rows by ``key`` (no shuffle, the same rows on
+    every run), never a collect of all points."""
     arr = vector_to_array(F.col(model.getOutputCol()))
+    if sample_percent is not None:
+        df = df.where(hash_bucket(key, seed) < sample_percent)
     return model.transform(df).select(*keep, *[arr[i].alias(n) for i, n in enumerate(names)])

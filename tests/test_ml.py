@@ -127,3 +127,16 @@ def test_concurrent_fits_equal_sequential(spark):
     # differ in the last bit between any two runs; the fits themselves are the same.
     assert [k for k, _ in seq] == [k for k, _ in par] == [2, 3, 4, 5]
     assert all(abs(a - b) <= 1e-9 * abs(a) for (_, a), (_, b) in zip(seq, par))
+
+
+def test_pca_scatter_sample_is_stable_subset(spark):
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.range(0, 2000).select("id", (F.col("id") % 13).cast("double").alias("a"),
+                                     ((F.col("id") * 3) % 7).cast("double").alias("b"))
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features_scaled").transform(df)
+    model = cluster.fit_pca(data, 2)
+    full = {r.id: (r.pc1, r.pc2) for r in cluster.project(model, data).collect()}
+    s1 = {r.id: (r.pc1, r.pc2) for r in cluster.project(model, data, sample_percent=10).collect()}
+    s2 = {r.id for r in cluster.project(model, data, sample_percent=10).collect()}
+    assert set(s1) == s2 and 100 < len(s1) < 300
+    assert all(full[i] == v for i, v in s1.items())
