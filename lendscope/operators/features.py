@@ -8,6 +8,7 @@ Label columns never enter a feature list (see :func:`guard_features`).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+import warnings
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -59,14 +60,26 @@ def fit_concurrently(spark, tasks: Sequence[Callable], parallelism: int = 4) ->
     tasks = list(tasks)
     if parallelism <= 1 or len(tasks) <= 1:
         return [t() for t in tasks]
-    wrap = inheritable_thread_target(spark)
     pool = ThreadPool(processes=min(parallelism, len(tasks)))
     try:
-        return pool.map(lambda t: t(), [wrap(t) for t in tasks])
+        return pool.map(lambda t: t(), [_own_local_properties(t) for t in tasks])
     finally:
         pool.close()
 
 
+def _own_local_properties(task: Callable) -> Callable:
+    """Run ``task`` in a pool thread with its own copy of the caller's local properties.
+
+    Wrapping each task separately gives each its own copy; one copy shared by all
+    threads (what the session form of ``inheritable_thread_target`` installs) lets
+    one fit's SQL execution id change under another's. No job tags are set here,
+    so the warning that tags are not inherited does not apply.
+    """
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", UserWarning)
+        return inheritable_thread_target(task)
+
+
 def as_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Category columns as text (a year is a category, not a magnitude)."""
     return df.withColumns({c: F.col(c).cast("string") for c in cols})

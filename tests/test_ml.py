@@ -140,3 +140,14 @@ def test_pca_scatter_sample_is_stable_subset(spark):
     s2 = {r.id for r in cluster.project(model, data, sample_percent=10).collect()}
     assert set(s1) == s2 and 100 < len(s1) < 300
     assert all(full[i] == v for i, v in s1.items())
+
+
+def test_concurrent_fits_interleaved_with_sql(spark):
+    """Pool threads must not share one set of local properties (SQL execution ids)."""
+    from lendscope.operators.features import fit_concurrently
+    df = spark.range(0, 3000).select((F.col("id") % 10).alias("g"), F.col("id").cast("double").alias("x"))
+    for _ in range(3):
+        assert df.groupBy("g").count().count() == 10
+        got = fit_concurrently(spark, [
+            (lambda m=m: df.where(F.col("g") < m).groupBy("g").agg(F.sum("x")).count()) for m in range(1, 9)], 4)
+        assert got == list(range(1, 9))
