@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from lendscope.constants import ZERO_BAL_STATUSES, ZERO_COLL_STATUSES
 from lendscope.functions.parse import emp_length_years, issue_year, term_months

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from lendscope.functions.text import scrub_ascii
 from lendscope.operators.rows import dev_subset
