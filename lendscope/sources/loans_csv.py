@@ -51,6 +51,12 @@ def read_loans(spark: SparkSession, path: str, schema: StructType | None = None,
     ``keep_empty_strings``: an unquoted empty field is NULL and a quoted one
     (``""``) is the empty string, so NULL and '' survive a write/read round trip
     (by default both would come back as NULL).
+
+    Scale: with ``multiline=True`` (quoted fields may hold line breaks) a file
+    cannot be split, so each file is read by one task - fine for many files of
+    moderate size. For a few very large files pass ``multiline=False``: files
+    split at line boundaries across tasks, and a record broken by a line break
+    inside quotes lands in ``corrupt_col`` instead of being parsed.
     """
     reader = (spark.read.option("header", True).option("sep", sep).option("quote", '"')
               .option("escape", '"').option("multiLine", multiline).option("mode", "PERMISSIVE"))
