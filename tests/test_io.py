@@ -93,3 +93,19 @@ def test_partitioned_write_is_rebalanced(spark, tmp_dir):
     assert back.count() == n
     for folder in glob.glob(os.path.join(path, "year=*")):
         assert len(glob.glob(os.path.join(folder, "*.parquet"))) <= 2, folder
+
+
+def test_splittable_read_sends_broken_records_to_corrupt_column(spark, tmp_dir):
+    text = ('id,title,amount\n'
+            '1,"a, b",10\n'
+            '2,"line one\nline two",20\n'
+            '3,plain,30\n')
+    path = os.path.join(tmp_dir, "split", "part.csv")
+    _write(path, text)
+    schema = loans_csv.typed_schema([("id", "int"), ("title", "string"), ("amount", "int")],
+                                    corrupt_col=loans_csv.CORRUPT_COL)
+    rows = loans_csv.read_loans(spark, os.path.dirname(path), schema=schema, multiline=False).cache().collect()
+    good = {r.id: r.title for r in rows if r[loans_csv.CORRUPT_COL] is None}
+    broken = [r[loans_csv.CORRUPT_COL] for r in rows if r[loans_csv.CORRUPT_COL] is not None]
+    assert good == {1: "a, b", 3: "plain"}
+    assert len(broken) == 2 and any("line one" in b for b in broken)
