@@ -89,13 +89,17 @@ def class_balance(spark, sf_dir):
     return df.groupBy("split", "target").agg(F.count(F.lit(1)).alias("n")).orderBy("split", "target")
 
 
-def _fit_frame(spark, sf_dir):
-    """The model frame persisted (and spread over the cores) for iterative fits.
+_MODEL_COLS = ("id", "target") + NUMERIC + CATS
 
-    Callers fit on it, then unpersist it; the frame they return is lazy and reads
-    from the plan again, so no cache has to outlive the query.
+
+def _fit_frame(spark, sf_dir, cols=_MODEL_COLS):
+    """The columns a fit needs, persisted (and spread over the cores) for iterative fits.
+
+    Selecting before persisting lets Catalyst skip the other derived columns and
+    keeps the cache small. Callers fit on it, then unpersist it; the frame they
+    return is lazy and reads from the plan again, so no cache outlives the query.
     """
-    return features.persist_for_fit(model_frame(spark, sf_dir))
+    return features.persist_for_fit(model_frame(spark, sf_dir).select(*cols))
 
 
 def _scaled(frame, cols=NUMERIC):
@@ -103,9 +107,12 @@ def _scaled(frame, cols=NUMERIC):
     return out
 
 
+_CLUSTER_COLS = ("id",) + NUMERIC
+
+
 @register("elbow")
 def elbow(spark, sf_dir):
-    frame = _fit_frame(spark, sf_dir)
+    frame = _fit_frame(spark, sf_dir, _CLUSTER_COLS)
     try:
         return cluster.elbow(spark, _scaled(frame), ELBOW_KS)
     finally:
@@ -114,7 +121,7 @@ def elbow(spark, sf_dir):
 
 @register("kmeans_assign")
 def kmeans_assign(spark, sf_dir):
-    frame = _fit_frame(spark, sf_dir)
+    frame = _fit_frame(spark, sf_dir, _CLUSTER_COLS)
     try:
         data = _scaled(frame)
         model = cluster.fit_kmeans(data, 3, seed=2)
@@ -125,7 +132,7 @@ def kmeans_assign(spark, sf_dir):
 
 @register("pca_project")
 def pca_project(spark, sf_dir):
-    frame = _fit_frame(spark, sf_dir)
+    frame = _fit_frame(spark, sf_dir, _CLUSTER_COLS)
     try:
         data = _scaled(frame)
         model = cluster.fit_pca(data, 2)
@@ -140,7 +147,7 @@ UNION ALL
 SELECT 2 AS component, round((1 - abs(r)) / 2, 6) AS ratio, 1.0 AS cumulative FROM rr
 """, _CUR, "rr AS (SELECT corr(loan_amnt, int_rate) AS r FROM cur)"))
 def explained_variance(spark, sf_dir):
-    frame = _fit_frame(spark, sf_dir)
+    frame = _fit_frame(spark, sf_dir, ("loan_amnt", "int_rate"))
     try:
         model = cluster.fit_pca(_scaled(frame, ("loan_amnt", "int_rate")), 2)
     finally:
