@@ -38,13 +38,21 @@ def tag_rows(df: DataFrame, rules=ROW_RULES) -> DataFrame:
     return label(fill_balances(parse_strings(out)))
 
 
+def write_split_batch(batch: DataFrame, batch_id: int, valid_path: str, reject_path: str) -> None:
+    """Write one micro-batch's valid and quarantined rows under its own batch id.
+
+    Overwrite mode makes a retried batch replace what an earlier attempt wrote.
+    """
+    valid = batch.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    rejects = batch.where(F.col("reject_reason").isNotNull())
+    valid.write.mode("overwrite").parquet(f"{valid_path}/batch_id={batch_id}")
+    rejects.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+
+
 def write_valid_and_rejects(tagged: DataFrame, valid_path: str, reject_path: str,
                             checkpoint: str, available_now: bool = True) -> StreamingQuery:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        valid = batch.where(F.col("reject_reason").isNull()).drop("reject_reason")
-        rejects = batch.where(F.col("reject_reason").isNotNull())
-        valid.write.mode("overwrite").parquet(f"{valid_path}/batch_id={batch_id}")
-        rejects.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+        write_split_batch(batch, batch_id, valid_path, reject_path)
 
     writer = tagged.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -61,3 +61,15 @@ def test_defaults_by_event_time_window(spark, tmp_dir):
            for r in spark.table("defaults_by_window_test").where(F.col("n_loans") > 0).collect()}
     assert sum(n for _, n, _ in got) == 3
     assert sum(d for _, _, d in got) == 2
+
+
+def test_retried_batch_replaces_its_output(spark, tmp_dir):
+    from lendscope.streaming.clean_stream import write_split_batch
+    batch = spark.createDataFrame([("1", None), ("2", "dti:pattern"), ("3", None)], "id string, reject_reason string")
+    valid, rejects = os.path.join(tmp_dir, "v"), os.path.join(tmp_dir, "r")
+    for _ in range(2):                      # the same batch id written twice, as after a retry
+        write_split_batch(batch, 7, valid, rejects)
+    write_split_batch(batch.where("id = '3'"), 8, valid, rejects)
+    got = sorted((r.id, r.batch_id) for r in spark.read.parquet(valid).collect())
+    assert got == [("1", 7), ("3", 7), ("3", 8)]
+    assert [r.id for r in spark.read.parquet(rejects).collect()] == ["2"]
