@@ -57,3 +57,11 @@ def test_same_result_any_partition_count(spark, key):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2]
+
+
+def test_medians_merge_sketches_in_two_levels(spark):
+    plan = _plan(queries()["loan_book_by_year"](spark, SF001))
+    assert "percentile_approx" not in plan
+    assert "partial_kll_sketch_agg_double" in plan and "kll_merge_agg_double" in plan
+    # first level keyed by (year, map-task salt), second by year alone
+    assert "hashpartitioning(issue_d_year" in plan and "_groupingexpression" in plan
