@@ -76,7 +76,7 @@ def split_valid(df: DataFrame, rules: Sequence[tuple[str, str]] = ROW_RULES,
 
 # --------------------------------------------------------------------------- census / profile
 #
-# Column-wise statistics are built as Spark SQL expression text (one call into
+# Column-wise statistics are built as Spark SQL expression text (a few calls into
 # the JVM per pass, however many columns) and evaluated as global aggregates,
 # one pass per group of columns. A group is kept under ``MAX_BUFFER_FIELDS``
 # aggregation-buffer fields, so the heavy per-row stage stays in whole-stage
@@ -87,6 +87,7 @@ def split_valid(df: DataFrame, rules: Sequence[tuple[str, str]] = ROW_RULES,
 
 MAX_BUFFER_FIELDS = 96
 
+
 def sql_name(name: str) -> str:
     """A column name as a quoted SQL identifier."""
     return "`" + name.replace("`", "``") + "`"
