@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscope.llm import exact_dedup, mixing
+from lendscope.llm import exact_dedup, mixing, packing, simhash, tokens
 from lendscope.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,26 @@ def _register(key: str, sql: str | None = None):
     return wrap
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@_register("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@_register("op5_simhash_dedup")
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@_register("op6_pack")
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @_register("op8_mix_sources")
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
