@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscope.llm import exact_dedup, mixing, packing, simhash, tokens
+from lendscope.llm import exact_dedup, hnsw, mixing, packing, simhash, tokens, url_filter
 from lendscope.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,11 +43,21 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_register("op7_nearest_vectors")
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 @_register("op8_mix_sources")
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+@_register("op9_url_filter")
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
+
+
 @_register("op10_exact_dedup", exact_dedup.ORACLE)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
