@@ -66,12 +66,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, offsets: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end) byte positions of every word, and for each text the index of its first
-    word (one more entry than texts). A word ends where its text ends."""
+    word (one more entry than texts). A word ends where its text ends. ``between``: for each
+    byte value whether it separates words."""
     solid = np.empty(len(raw) + 2, dtype=np.int8)
     solid[0] = solid[-1] = 0
-    solid[1:-1] = ~_IS_SPACE[raw]
+    solid[1:-1] = ~between[raw]
     begins = (solid[1:] > solid[:-1])[:len(raw)]
     finishes = (solid[:-1] > solid[1:])
     inner = offsets[1:-1]
@@ -111,13 +112,17 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[size]
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes: a polynomial modulo 2^64 read off running sums,
-    shifted back by the inverse power, then mixed. Equal words get equal hashes anywhere."""
-    up, down = _power_tables(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+class SpanHasher:
+    """64-bit hashes of byte spans: a polynomial modulo 2^64 read off running sums, shifted back
+    by the inverse power, then mixed. Equal bytes get equal hashes wherever they lie."""
+
+    def __init__(self, raw: np.ndarray):
+        up, self.down = _power_tables(len(raw) + 1)
+        self.sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=self.sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
 
 def doc_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:

@@ -96,7 +96,7 @@ def word_count(text) -> F.Column:
 
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights=MIX_WEIGHTS, share: float = MIX_SHARE, max_repeat: int = MIX_MAX_REPEAT,
-                block_words: int = 64, shard_docs: int = 20000, seed: int = 8) -> DataFrame:
+                block_words: int = 64, shard_docs: int = 2048, seed: int = 8) -> DataFrame:
     """One row per input row: ``doc_id, source, size, source_size, target, taken``.
 
     ``size`` counts words (null text: 0); sources are ordered by code point, null last, and get

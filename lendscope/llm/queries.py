@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscope.llm import exact_dedup, hnsw, mixing, packing, simhash, tokens, url_filter
+from lendscope.llm import exact_dedup, hnsw, language_id, mixing, packing, simhash, substring_dedup, tokens, toxicity, url_filter
 from lendscope.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,28 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@_register("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@_register("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = language_id.fold("doc_id", 4) == 2
+    samples = language_id.training_samples(docs, ~held_out, "doc_id", "text", "lang")
+    found = language_id.identify(docs, samples)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_symbol")
+
+
+@_register("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = language_id.fold("doc_id", 5) == 0
+    model = toxicity.fit(*toxicity.training_documents(docs, labels, ~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
 @_register("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
