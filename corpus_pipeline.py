@@ -1,10 +1,60 @@
-"""The corpus pipeline over ``documents``."""
+"""The corpus pipeline over ``documents``: toxic documents go, then exact and near duplicates,
+the rest is mixed to target weights and packed into token windows.
+
+Each stage is ``f(spark, docs, sf_dir)`` and calls one operator of ``lendscope.llm``; its result is
+written as Parquet and read again as the next stage's ``docs``. All but the last return the
+columns of ``documents``. SQL can't express the stages (a trained model, XXH64 fingerprints, a
+seeded selection, a tokenizer); the tests hold them against brute force.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lendscope.llm import exact_dedup, language_id, mixing, packing, simhash, toxicity
+from lendscope.llm.common import materialize
+from lendscope.llm.queries import tokenizer_path
+from lendscope.sources.tables import read_table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted toxic, by a model of the labels outside the held-out fold."""
+    labels = read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(*toxicity.training_documents(docs, labels, language_id.fold("doc_id", 5) != 0))
+    return toxicity.reject(docs, model)
+
+
+def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal normalised text the row that exact dedup keeps."""
+    return exact_dedup.keep_first(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints link, the one with the smallest id."""
+    return simhash.keep_first(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often and as far as the mix takes them."""
+    return mixing.apply_mix(docs, mixing.mix_sources(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in the sequences."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_exact_duplicates), ("simhash_dedup", drop_near_duplicates),
+          ("mix_sources", mix), ("pack", pack)]
+
+#: SQL can't express the stages.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,6 +30,22 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows of their own in ``group_size``; exactly the first of them is ``kept``. An empty table
     gives no rows; other columns are not read.
     """
+    return decide(df, id_col, text_col, hot_share).drop("n_cp")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``df`` that ``exact_dedup`` keeps, with all their columns; of rows repeated in
+    id and text one."""
+    kept = (decide(df, id_col, text_col, **how).where("kept")
+            .select(F.col("doc_id").alias("_id"), F.col("n_cp").alias("_cp"), F.col("text_sha256").alias("_sha")))
+    rows = df.withColumns({"_sha": F.sha2(normalized(df[text_col]), 256), "_id": df[id_col].cast("long"),
+                           "_cp": F.char_length(F.coalesce(df[text_col].cast("string"), F.lit("")))})
+    same = (rows["_sha"] == kept["_sha"]) & rows["_id"].eqNullSafe(kept["_id"]) & (rows["_cp"] == kept["_cp"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["_sha", "_id", "_cp"]).select(*df.columns)
+
+
+def decide(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 1 / 1024) -> DataFrame:
+    """The rows of ``exact_dedup`` and ``n_cp``, the code points of the original text."""
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
     rows = (df.select(df[id_col].cast("long").alias("doc_id"), normalized(df[text_col]).alias("norm"),
                       F.char_length(text).alias("n_cp"))
@@ -46,7 +62,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     run = same_text.orderBy(F.desc("n_cp"), F.asc_nulls_last("doc_id"))
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     local = (keyed.repartitionByRange("lead", "h", "piece")
-             .select("doc_id", "hot", F.sha2("norm", 256).alias("text_sha256"),
+             .select("doc_id", "n_cp", "hot", F.sha2("norm", 256).alias("text_sha256"),
                      F.first("doc_id").over(whole).alias("keep_id"), F.first("n_cp").over(whole).alias("keep_cp"),
                      F.count(F.lit(1)).over(whole).alias("group_size"),
                      (F.row_number().over(run) == 1).alias("kept")))
@@ -62,7 +78,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return (local.join(F.broadcast(merged), "text_sha256", "left")
             .select("doc_id", F.when(F.col("hot"), F.col("best_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                     F.coalesce("size", "group_size").alias("group_size"),
-                    (F.col("kept") & (~F.col("hot") | wins)).alias("kept"), "text_sha256"))
+                    (F.col("kept") & (~F.col("hot") | wins)).alias("kept"), "text_sha256", "n_cp"))
 
 
 ORACLE = r"""

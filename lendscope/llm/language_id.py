@@ -92,10 +92,14 @@ class Model:
         self.tables, self.bits = [], []
         for lang in self.languages:
             edges = suffix_automaton(self.classes[parts[lang]].tolist())
-            # Entry: next state times width, and in the lowest bit whether a phrase ends before it.
-            root = np.zeros(self.width, dtype=np.int64)
-            root[list(edges[0])] = list(edges[0].values())
-            table = np.tile(root * self.width * 2 + 1, (len(edges), 1))
+            # Entry: next state times width, and in the lowest bit whether a phrase ends before the
+            # symbol. A symbol the root does not know is a phrase of its own: it leads to one more
+            # state, from which every symbol starts a phrase.
+            after_unknown = len(edges) * self.width * 2
+            root = np.full(self.width, after_unknown, dtype=np.int64)
+            root[list(edges[0])] = np.array(list(edges[0].values()), dtype=np.int64) * self.width * 2
+            table = np.tile(root + 1, (len(edges) + 1, 1))
+            table[0] = root
             for state, out in enumerate(edges):
                 for c, to in out.items():
                     table[state, c] = to * self.width * 2

@@ -27,7 +27,8 @@ FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                  seed: int = 42) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) of every row.
+    """``doc_id, key_text, fp`` of every row: a hash of the text that tells rows of one id apart,
+    and the fingerprint's 64 bits as a signed long.
 
     Words are runs of bytes other than ASCII space after lower-casing A-Z; a shingle is
     ``shingle`` of them joined by one space, repeats included; a shorter text is one shingle,
@@ -54,11 +55,11 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     hashes.extend([digest(joined[s:e], seed) for s, e in zip(heads, tails, strict=True)])
                     counts.append(len(tails))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(majority(np.array(hashes, dtype=np.uint64), np.array(counts)).view(np.int64))],
-                names=["doc_id", "fp"])
+                [batch.column(0), batch.column(2), pa.array(majority(np.array(hashes, dtype=np.uint64), np.array(counts)).view(np.int64))],
+                names=["doc_id", "key_text", "fp"])
 
-    return (df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    rows = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"))
+    return rows.withColumn("key_text", F.xxhash64("text")).mapInArrow(run, "doc_id long, key_text long, fp long")
 
 
 def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -298,7 +299,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                        radius: int = 4, seed: int = 42, bucket_rows: int = 1 << 15) -> DataFrame:
-    """One row per input row: ``doc_id, fp, component_id``, the smallest id among all rows that
+    """One row per input row: ``doc_id, key_text, fp, component_id``, the smallest id among all rows that
     links of at most ``radius`` differing bits reach (the row itself included).
 
     Equal fingerprints are one node, so copies cost nothing; null and empty texts share the
@@ -312,7 +313,20 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
              .select("fp", "low_id", F.coalesce("root", "fp").alias("root")))
     smallest = named.groupBy("root").agg(F.min("low_id").alias("component_id"))
     of_fp = named.join(smallest, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(of_fp, "fp").select("doc_id", "key_text", "fp", "component_id")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """One row of ``df`` per component, with all its columns: the one with the smallest id, then
+    the smallest text hash; of rows repeated in id and text one."""
+    rows = simhash_components(df, id_col, text_col, **how)
+    # Without any id a component is told by its fingerprints; they lie apart from all others.
+    first = (rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .groupBy(F.col("component_id").alias("_id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("_fp"))
+             .agg(F.min("key_text").alias("_text")).select("_id", "_text").distinct())
+    keyed = df.withColumns({"_id": df[id_col].cast("long"), "_text": F.xxhash64(df[text_col].cast("string"))})
+    same = keyed["_id"].eqNullSafe(first["_id"]) & (keyed["_text"] == first["_text"])
+    return keyed.join(first, same, "left_semi").dropDuplicates(["_id", "_text"]).select(*df.columns)
 
 
 def near_duplicates(df: DataFrame, **how) -> DataFrame:

@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from lendscope.llm.common import SpanHasher, mix64, slices, text_buffer, word_spans
 
 #: Bounds of the fit: documents per label, bytes of one document, and those for the chain.
-FIT_DOCS = 2000
+FIT_DOCS = 1500
 FIT_EXCERPT = 5000
-CHAIN_DOCS = 1000
+CHAIN_DOCS = 800
 PREFIXES = (4, 5, 6)
 SEGMENT = 64  # tokens of one chain; a longer document is several chains
 
@@ -128,27 +128,38 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 30, rate: float = 0.5)
     labels = np.array(toxic, dtype=bool)
     if labels.all() or not labels.any():
         return None
-    raw, offsets = text_buffer(pa.array(texts, pa.string()))
-    features, _, _, first = token_features(raw, offsets)
-    owner = np.repeat(np.arange(len(texts)), np.diff(first))
-    hashes, code = np.unique(features.ravel(), return_inverse=True)
-    code = code.reshape(features.shape)
-    # Documents of each label that hold a feature; near copies count as one document.
-    in_toxic = in_clean = np.full(len(hashes), len(texts))
-    for group in _copy_groups(features[:, 0], first):
-        pair = np.unique(code.ravel() * len(texts) + np.repeat(group[owner], features.shape[1]))
-        bad = labels[pair % len(texts)]
-        in_toxic = np.minimum(in_toxic, np.bincount(pair[bad] // len(texts), minlength=len(hashes)))
-        in_clean = np.minimum(in_clean, np.bincount(pair[~bad] // len(texts), minlength=len(hashes)))
-        share = labels[np.unique(group)].mean()
-    in_any = in_toxic + in_clean
-    with np.errstate(divide="ignore", invalid="ignore"):
-        surprise = (np.where(in_toxic > 0, in_toxic * np.log(in_toxic / (in_any * share)), 0.0)
-                    + np.where(in_any > in_toxic, (in_any - in_toxic) * np.log((in_any - in_toxic) / (in_any * (1 - share))), 0.0))
-    # Beyond chance: no more than about one feature would get there by luck.
-    bound = math.log(max(2, (in_toxic >= 3).sum())) + 1
-    tied = (surprise > bound) & (in_toxic > 0.9 * in_any)
-    token_label = tied[code].any(1) & labels[owner]
+    parts, counts = [], [np.zeros(1, dtype=np.int64)]
+    for at in range(0, len(texts), 256):  # the working arrays are many times the text
+        features, _, _, first = token_features(*text_buffer(pa.array(texts[at:at + 256], pa.string())))
+        parts.append(features)
+        counts.append(np.diff(first))
+    features, first = np.concatenate(parts), np.cumsum(np.concatenate(counts))
+    del parts
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(first))
+    names, codes, size = [], np.empty(features.shape, dtype=np.int32), 0
+    for c in range(features.shape[1]):  # the kinds of feature share no hashes
+        found, code = np.unique(features[:, c], return_inverse=True)
+        codes[:, c] = code + size
+        size += len(found)
+        names.append(found)
+    hashes = np.concatenate(names)
+    group = _copy_groups(features[:, 0], first)
+    # Features are tied to toxic documents in rounds, each on those no feature explains yet.
+    tied, in_any, open_toxic = np.zeros(size, dtype=bool), None, labels.copy()
+    for _ in range(4):
+        in_toxic, in_clean, share = _document_counts(codes, owner, group, size, open_toxic, ~labels)
+        if in_any is None:
+            in_any = in_toxic + in_clean
+        new = _beyond_chance(in_toxic, in_clean, share) & ~tied
+        if not new.any():
+            break
+        tied |= new
+        explained = np.zeros(len(texts), dtype=bool)
+        explained[owner[tied[codes].any(1)]] = True
+        open_toxic = labels & ~explained
+        if not open_toxic.any():
+            break
+    token_label = tied[codes].any(1) & labels[owner]
     # The chain learns from a bounded part of the documents, with features seen twice or tied.
     chosen = np.zeros(len(texts), dtype=bool)
     for side in (labels, ~labels):
@@ -156,8 +167,11 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 30, rate: float = 0.5)
     keep = (in_any >= 3) | tied
     position = np.cumsum(keep) - 1
     rows = chosen[owner]
-    known = np.where(keep[code[rows]], position[code[rows]], -1)
-    model = Field(hashes[keep], np.zeros(int(keep.sum())))
+    known = np.where(keep[codes[rows]], position[codes[rows]], -1)
+    order = np.argsort(hashes[keep], kind="stable")
+    known = np.append(np.argsort(order, kind="stable"), -1)[known]
+    model = Field(hashes[keep][order], np.zeros(len(order)))
+    del codes
     sub_first = np.r_[0, np.cumsum(np.bincount(owner[rows], minlength=len(texts)))]
     _train_chain(model, known, token_label[rows], segments_of(sub_first), rounds, rate)
     strong = np.abs(model.weights) > 0.05
@@ -166,21 +180,51 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 30, rate: float = 0.5)
     return model
 
 
-def _copy_groups(words: np.ndarray, first: np.ndarray, rounds: int = 3) -> list[np.ndarray]:
-    """Groupings of documents (each named by its first member) by the smallest hash of their runs
-    of four words: near copies mostly meet in each, other documents hardly ever."""
+def _document_counts(codes, owner, group, size, toxic, clean):
+    """Groups of toxic and of clean documents that hold each feature, and the share of toxic ones."""
+    counts = []
+    for side in (toxic, clean):
+        rows = side[owner]
+        of = group[owner[rows]].astype(np.int64)
+        count = np.zeros(size, dtype=np.int64)
+        for c in range(codes.shape[1]):
+            pair = np.unique(codes[rows, c] * np.int64(len(group)) + of)
+            count += np.bincount(pair // len(group), minlength=size)
+        counts.append(count)
+    n_toxic, n_clean = len(np.unique(group[toxic])), len(np.unique(group[clean]))
+    return *counts, n_toxic / max(1, n_toxic + n_clean)
+
+
+def _beyond_chance(in_toxic, in_clean, share):
+    """Features almost only in toxic documents whose counts no feature would reach by luck: the
+    exponential of minus the log-likelihood ratio bounds the chance of one feature's counts."""
+    total = np.maximum(in_toxic + in_clean, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        surprise = (np.where(in_toxic > 0, in_toxic * np.log(in_toxic / (total * share)), 0.0)
+                    + np.where(in_clean > 0, in_clean * np.log(in_clean / (total * (1 - share))), 0.0))
+    return (surprise > math.log(max(2, (in_toxic >= 2).sum())) + 1) & (in_toxic > 0.9 * total)
+
+
+def _copy_groups(words: np.ndarray, first: np.ndarray, rounds: int = 8) -> np.ndarray:
+    """The group of each document, named by a member: documents that share the smallest hash of
+    their runs of four words by one of several hashes, as near copies do and others hardly ever."""
     n = len(first) - 1
     padded = np.append(words, np.zeros(3, dtype=np.uint64))
     runs = mix64(padded[:-3] + mix64(padded[1:-2] + mix64(padded[2:-1] + mix64(padded[3:]))))
-    groups = []
+    group = np.arange(n)
     some = np.flatnonzero(np.diff(first))
-    for k in range(rounds):
-        least = np.arange(n, dtype=np.uint64)
-        if len(some):
-            least[some] = np.minimum.reduceat(mix64(runs + np.uint64(k)), first[some])
-        _, member, name = np.unique(least, return_index=True, return_inverse=True)
-        groups.append(member[name])
-    return groups
+    if not len(some):
+        return group
+    least = np.stack([np.minimum.reduceat(mix64(runs + np.uint64(k)), first[some]) for k in range(rounds)])
+    while True:
+        before = group.copy()
+        for row in least:
+            _, name = np.unique(row, return_inverse=True)
+            low = np.full(int(name.max()) + 1, n)
+            np.minimum.at(low, name, group[some])
+            group[some] = low[name]
+        if (group == before).all():
+            return group
 
 
 def _train_chain(model: Field, known, labels, segments, rounds, rate):
@@ -261,6 +305,39 @@ def training_documents(docs: DataFrame, labels: DataFrame, train: Column, id_col
     return [r.excerpt for r in rows], [int(r.label) for r in rows]
 
 
+def score_texts(texts: pa.Array, model: Field | None) -> tuple[np.ndarray, list[list[dict]]]:
+    """(score, spans) of each text; see ``score``."""
+    scores, spans = np.zeros(len(texts)), [[] for _ in range(len(texts))]
+    if model is None:
+        return scores, spans
+    raw, offsets = text_buffer(texts)
+    features, starts, ends, first = token_features(raw, offsets)
+    top, toxic, logits = model_document_values(model, features, first)
+    bias, w_top, w_toxic = model.layer
+    scores = 1 / (1 + np.exp(-(bias + w_top * top + w_toxic * toxic)))
+    hit = np.flatnonzero(logits > 0)
+    if len(hit):
+        owner = np.searchsorted(first, hit, side="right") - 1
+        chars = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
+        edge = np.flatnonzero(np.r_[True, (np.diff(hit) > 1) | (np.diff(owner) > 0)])
+        last = np.r_[edge[1:], len(hit)] - 1
+        for doc, b, e in zip(owner[edge].tolist(), starts[hit[edge]].tolist(), ends[hit[last]].tolist(), strict=True):
+            spans[doc].append({"start": int(chars[b] - chars[offsets[doc]]), "length": int(chars[e] - chars[b])})
+    return scores, spans
+
+
+def reject(df: DataFrame, model: Field | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that are not predicted toxic, with all their columns."""
+    place = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col):
+            scores, _ = score_texts(batch.column(place), model)
+            yield batch.filter(pa.array(scores < 0.5))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def score(df: DataFrame, model: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, score, predicted, spans``.
 
@@ -275,22 +352,7 @@ def score(df: DataFrame, model: Field | None, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            n = batch.num_rows
-            scores, spans = np.zeros(n), [[] for _ in range(n)]
-            if model is not None:
-                raw, offsets = text_buffer(batch.column(1))
-                features, starts, ends, first = token_features(raw, offsets)
-                top, toxic, logits = model_document_values(model, features, first)
-                bias, w_top, w_toxic = model.layer
-                scores = 1 / (1 + np.exp(-(bias + w_top * top + w_toxic * toxic)))
-                hit = np.flatnonzero(logits > 0)
-                if len(hit):
-                    owner = np.searchsorted(first, hit, side="right") - 1
-                    chars = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
-                    edge = np.flatnonzero(np.r_[True, (np.diff(hit) > 1) | (np.diff(owner) > 0)])
-                    last = np.r_[edge[1:], len(hit)] - 1
-                    for doc, b, e in zip(owner[edge].tolist(), starts[hit[edge]].tolist(), ends[hit[last]].tolist(), strict=True):
-                        spans[doc].append({"start": int(chars[b] - chars[offsets[doc]]), "length": int(chars[e] - chars[b])})
+            scores, spans = score_texts(batch.column(1), model)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)),
                                               pa.array(spans, schema.field("spans").type)], schema=schema)
 
