@@ -5,7 +5,6 @@ from lendscope.functions.parse import (
     cast_columns,
     default_flag,
     emp_length_years,
-    fill_when,
     issue_date,
     issue_year,
     term_months,
@@ -15,7 +14,7 @@ from lendscope.functions.order import ordinal
 from lendscope.functions.text import scrub_ascii, scrub_line
 
 __all__ = [
-    "cast_columns", "default_flag", "emp_length_years", "fill_when", "is_missing",
+    "cast_columns", "default_flag", "emp_length_years", "is_missing",
     "is_numeric_type", "issue_date", "issue_year", "ordinal", "scrub_ascii", "scrub_line", "term_months",
     "to_double",
 ]

@@ -58,12 +58,6 @@ def default_flag(c: str | Column = "loan_status",
     return F.when(_col(c).isin(*bad_statuses), F.lit(1)).otherwise(F.lit(0))
 
 
-def fill_when(c: str | Column, value, predicate: Column) -> Column:
-    """Replace NULL by ``value`` only on rows where ``predicate`` holds."""
-    col = _col(c)
-    return F.when(col.isNull() & predicate, F.lit(value)).otherwise(col)
-
-
 def cast_columns(df, names: Iterable[str], new_type: str | DataType):
     """Bulk cast in one projection (``try_cast``; unknown names are an error)."""
     return df.withColumns({name: F.col(name).try_cast(new_type) for name in names})

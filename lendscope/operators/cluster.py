@@ -40,10 +40,6 @@ def elbow(spark: SparkSession, df: DataFrame, ks: Sequence[int], features: str =
     return spark.createDataFrame([(int(k), c) for k, c in zip(ks, costs)], "k int, wcss double")
 
 
-def assign_clusters(model: KMeansModel, df: DataFrame) -> DataFrame:
-    return model.transform(df)
-
-
 def fit_pca(df: DataFrame, k: int, features: str = "features_scaled",
             output: str = "pca_features") -> PCAModel:
     return PCA(k=k, inputCol=features, outputCol=output).fit(df)

@@ -5,26 +5,19 @@
 - :func:`box_stats`  quartiles, whiskers and outlier counts, optionally by group
 - :func:`mean_ci`    mean with a normal 95% interval per group
 
-Quartiles come from KLL sketches merged in two levels
-(:mod:`lendscope.operators.quantiles`): a group holding a third of all rows is
-summarised per task, and the task that finishes it merges a bounded number of
-sketches (the exact ``percentile`` keeps every value of a group in one task's
-memory). Exact while a group has at most k values.
+Quartiles are exact and interpolated (:mod:`lendscope.operators.quantiles`), without ever
+keeping all values of a group in one task.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.operators import quantiles
-
-# Largest number of groups whose quartiles are shipped to the tasks as a small table.
-MAX_BROADCAST_GROUPS = 100000
-
+from lendscope.session import materialize
 
 def histogram(df: DataFrame, col: str, bins: int = 20, lo: float | None = None,
               hi: float | None = None, digits: int = 6) -> DataFrame:
@@ -62,14 +55,18 @@ def fit_gamma(df: DataFrame, col: str, by: Sequence[str] = (), digits: int = 6)
 
     s = ln(mean) - mean(ln x); shape = (3 - s + sqrt((s - 3)^2 + 24 s)) / (12 s)
     (the closed-form approximation to the maximum-likelihood shape); scale = mean / shape;
-    location fixed at 0.
+    location fixed at 0. A group whose values are all equal (or a single row) has no fit: its
+    shape and scale are NULL.
     """
     x = F.col(col).cast("double")
     pos = df.where(x > 0)
     stats = pos.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(x).alias("_m"),
                                  F.avg(F.ln(x)).alias("_ml"))
     s = F.ln(F.col("_m")) - F.col("_ml")
-    shape = (F.lit(3.0) - s + F.sqrt((s - F.lit(3.0)) * (s - F.lit(3.0)) + F.lit(24.0) * s)) / (F.lit(12.0) * s)
+    # Rounding leaves an s of about 1e-16 where all values are equal.
+    spread = F.when(s > 1e-12, s)
+    shape = (F.lit(3.0) - spread + F.sqrt((spread - F.lit(3.0)) * (spread - F.lit(3.0)) + F.lit(24.0) * spread)) / (
+        F.lit(12.0) * spread)
     return stats.select(
         *by, "n",
         F.round(F.col("_m"), digits).alias("mean"),
@@ -80,73 +77,37 @@ def fit_gamma(df: DataFrame, col: str, by: Sequence[str] = (), digits: int = 6)
     )
 
 
-def _quartiles(df: DataFrame, value: str, by: Sequence[str], k: int) -> DataFrame:
-    x = F.col(value).cast("double")
-    rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
-    q = quantiles.two_level(
-        rows, by,
-        partial=[F.count(F.lit(1)).alias("n"), quantiles.kll("_x", k).alias("_k"),
-                 F.min("_x").alias("min_value"), F.max("_x").alias("max_value")],
-        final=[F.sum("n").alias("n"), quantiles.kll_merge("_k").alias("_k"),
-               F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value")])
-    return q.select(*by, "n", quantiles.kll_quantiles("_k", [0.25, 0.5, 0.75]).alias("_q"),
-                    "min_value", "max_value") \
-        .select(*by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                F.col("_q")[2].alias("q3"), "min_value", "max_value")
-
-
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float = 1.5,
-              k: int = quantiles.DEFAULT_K) -> DataFrame:
+              **how) -> DataFrame:
     """Box-plot numbers per group: n, q1, median, q3, iqr, whisker_lo, whisker_hi, n_outliers,
     min_value, max_value.
 
-    Pass 1 computes quartiles per group (sketches). Pass 2 needs each row's group
-    fences: with no grouping they are three literals; with grouping the per-group
-    table (one row per group) is checkpointed to the shared folder, counted, and
-    broadcast when it has at most ``MAX_BROADCAST_GROUPS`` rows; past that bound it
-    is joined by a shuffle on the group keys instead (AQE splits a skewed group).
+    Exact interpolated quartiles first, then one pass for the whiskers: the furthest values
+    within ``whisker`` interquartile ranges, and the count beyond them. The per-group fences are
+    joined without a hint, so Spark broadcasts them if they are small and splits skewed groups
+    if not; without keys they are literals.
     """
     by = list(by)
     x = F.col(value).cast("double")
     base = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
-    quart = _quartiles(df, value, by, k)
-    if not by:
-        r = quart.first()
-        if r is None or r["n"] == 0:
-            return quart.select("n", "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
-                                F.lit(None).cast("double").alias("whisker_lo"),
-                                F.lit(None).cast("double").alias("whisker_hi"),
-                                F.lit(0).cast("bigint").alias("n_outliers"), "min_value", "max_value")
-        iqr = r["q3"] - r["q1"]
-        lf, uf = r["q1"] - whisker * iqr, r["q3"] + whisker * iqr
-        tail = base.agg(
-            F.min(F.when(F.col("_x") >= lf, F.col("_x"))).alias("whisker_lo"),
-            F.max(F.when(F.col("_x") <= uf, F.col("_x"))).alias("whisker_hi"),
-            F.count_if((F.col("_x") < lf) | (F.col("_x") > uf)).alias("n_outliers"))
-        return tail.select(F.lit(r["n"]).cast("bigint").alias("n"), F.lit(r["q1"]).alias("q1"),
-                           F.lit(r["median"]).alias("median"), F.lit(r["q3"]).alias("q3"),
-                           F.lit(iqr).alias("iqr"), "whisker_lo", "whisker_hi", "n_outliers",
-                           F.lit(r["min_value"]).alias("min_value"),
-                           F.lit(r["max_value"]).alias("max_value"))
-    # The per-group table is written once to the shared checkpoint folder (lineage
-    # cut, survives a lost executor), counted there, and broadcast only under the bound.
-    quart = quart.checkpoint(eager=True)
-    groups = F.broadcast(quart) if quart.count() <= MAX_BROADCAST_GROUPS else quart
-    g = groups.withColumn("_lf", F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))) \
-              .withColumn("_uf", F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1")))
-    cond = [base[k].eqNullSafe(g[k]) for k in by]
-    joined = base.join(g, cond, "inner").select(
-        *[base[k].alias(k) for k in by], "_x", "_lf", "_uf")
-    tail = joined.groupBy(*by).agg(
+    q = quantiles.exact_quantiles(df, value, by, [0.25, 0.5, 0.75], **how)
+    iqr = F.col("q")[2] - F.col("q")[0]
+    g = materialize(q.select(*by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
+                             iqr.alias("iqr"), (F.col("q")[0] - F.lit(whisker) * iqr).alias("_lf"),
+                             (F.col("q")[2] + F.lit(whisker) * iqr).alias("_uf"), "min_value", "max_value"), "box-fences")
+    tail = quantiles.with_group_columns(base, g, by, ["_lf", "_uf"]).groupBy(*by).agg(
         F.min(F.when(F.col("_x") >= F.col("_lf"), F.col("_x"))).alias("whisker_lo"),
         F.max(F.when(F.col("_x") <= F.col("_uf"), F.col("_x"))).alias("whisker_hi"),
         F.count_if((F.col("_x") < F.col("_lf")) | (F.col("_x") > F.col("_uf"))).alias("n_outliers"))
-    cond2 = [g[k].eqNullSafe(tail[k]) for k in by]
-    return (g.join(tail, cond2, "inner")
-            .select(*[g[k].alias(k) for k in by], "n", "q1", "median", "q3",
-                    (F.col("q3") - F.col("q1")).alias("iqr"), "whisker_lo", "whisker_hi",
-                    "n_outliers", "min_value", "max_value")
-            .orderBy(*by))
+    if not by:  # one row, also where there are no values
+        row = g.first()
+        known = {c: F.lit(None if row is None else row[c]).cast("double")
+                 for c in ("q1", "median", "q3", "iqr", "min_value", "max_value")}
+        out = tail.withColumns(known | {"n": F.lit(0 if row is None else row["n"]).cast("bigint")})
+    else:
+        out = quantiles.with_group_columns(tail, g, by, ["n", "q1", "median", "q3", "iqr", "min_value", "max_value"])
+    return out.select(*by, "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "n_outliers",
+                      "min_value", "max_value").orderBy(*(by or ["n"]))
 
 
 def mean_ci(df: DataFrame, value: str, by: Sequence[str], z: float = 1.96,
@@ -161,14 +122,3 @@ def mean_ci(df: DataFrame, value: str, by: Sequence[str], z: float = 1.96,
                      F.round(F.col("_m") - half, digits).alias("ci_lo"),
                      F.round(F.col("_m") + half, digits).alias("ci_hi")).orderBy(*by)
 
-
-def gamma_pdf_points(shape: float, scale: float, xs: Sequence[float]) -> list[float]:
-    """Density of the fitted gamma at a few points (for overlaying on a histogram)."""
-    out = []
-    for v in xs:
-        if v <= 0:
-            out.append(0.0)
-            continue
-        out.append(math.exp((shape - 1) * math.log(v) - v / scale - math.lgamma(shape)
-                            - shape * math.log(scale)))
-    return out

@@ -2,7 +2,7 @@
 
 Every operator here aggregates on the map side first (at most one row per group
 per task crosses the shuffle), so a hot group is collapsed before it crosses the
-network; medians merge their sketches in two levels.
+network; medians are exact.
 """
 
 from __future__ import annotations
@@ -16,29 +16,24 @@ from lendscope.functions.parse import default_flag, issue_year
 from lendscope.operators import quantiles
 
 def loan_book_by_year(df: DataFrame, amount: str = "loan_amnt", rate: str = "int_rate",
-                      issue: str = "issue_d", k: int = quantiles.DEFAULT_K) -> DataFrame:
+                      issue: str = "issue_d", **how) -> DataFrame:
     """Number of loans, total amount, median amount and median rate per issue year.
 
-    One pass for all four measures (the notebook ran four jobs). Medians come from
-    KLL sketches merged in two levels (:mod:`lendscope.operators.quantiles`), so a
-    year holding a third of the book is finished from a bounded number of sketches.
+    Both medians are exact: the smallest value that half of the year's values do not exceed.
+    Amount and rate are unpivoted, so one quantile pass serves both.
     """
-    year = issue_year(issue).alias("issue_d_year")
-    rows = df.select(year, F.col(amount).cast("double").alias("_amt"),
+    rows = df.select(issue_year(issue).alias("issue_d_year"), F.col(amount).cast("double").alias("_amt"),
                      F.col(rate).cast("double").alias("_rate"))
-    book = quantiles.two_level(
-        rows, ["issue_d_year"],
-        partial=[F.count(F.lit(1)).alias("n"), F.sum("_amt").alias("s"),
-                 quantiles.kll("_amt", k).alias("ka"), quantiles.kll("_rate", k).alias("kr")],
-        final=[F.sum("n").alias("n"), F.sum("s").alias("s"),
-               quantiles.kll_merge("ka").alias("ka"), quantiles.kll_merge("kr").alias("kr")])
-    return book.select(
-        "issue_d_year",
-        F.col("n").alias("n_loans"),
-        F.round("s", 2).alias("total_loan_amnt"),
-        quantiles.kll_quantile("ka", 0.5).alias("median_loan_amnt"),
-        quantiles.kll_quantile("kr", 0.5).alias("median_int_rate"),
-    ).orderBy("issue_d_year")
+    book = rows.groupBy("issue_d_year").agg(F.count(F.lit(1)).alias("n_loans"), F.round(F.sum("_amt"), 2).alias("total_loan_amnt"))
+    long = rows.select("issue_d_year", F.inline(F.array(
+        F.struct(F.lit("amt").alias("_of"), F.col("_amt").alias("_v")), F.struct(F.lit("rate").alias("_of"), F.col("_rate").alias("_v")))))
+    medians = quantiles.exact_quantiles(long, "_v", ["issue_d_year", "_of"], [0.5], kind="disc", **how)
+    median = lambda of: F.max(F.when(F.col("_of") == of, F.col("q")[0]))
+    wide = medians.groupBy(F.col("issue_d_year").alias("_year")).agg(
+        median("amt").alias("median_loan_amnt"), median("rate").alias("median_int_rate"))
+    return (book.join(wide, book["issue_d_year"].eqNullSafe(wide["_year"]), "left")
+            .select("issue_d_year", "n_loans", "total_loan_amnt", "median_loan_amnt", "median_int_rate")
+            .orderBy("issue_d_year"))
 
 
 def defaults_by(df: DataFrame, keys: Sequence[str], label: str = "target",
@@ -62,23 +57,30 @@ def with_default_label(df: DataFrame, status: str = "loan_status", label: str =
     return df.withColumn(label, default_flag(status))
 
 
-def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str] | None = None,
-             max_values: int = 10000) -> DataFrame:
-    """Contingency table like ``df.stat.crosstab`` but fully distributed.
+def crosstab_long(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Contingency counts in long form: one row per pair that occurs, (row, col, n); NULL keys
+    stay NULL. One aggregate with map-side combining, whatever the number of values."""
+    return (df.groupBy(F.col(row).cast("string").alias(row), F.col(col).cast("string").alias(col))
+            .agg(F.count(F.lit(1)).alias("n")))
 
-    ``df.stat.crosstab`` collects the distinct pairs on the driver. Here each
-    (row, col) cell is a conditional count in one aggregate, grouped by the row
-    key; only the list of column values (a bounded category domain) is needed up
-    front. If it is not given it is computed and its size checked.
-    The first column is ``<row>_<col>`` with NULL rendered as ``null``, as crosstab does.
+
+def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str] | None = None, other: str = "other") -> DataFrame:
+    """Contingency table in wide form, without losing a row: a column per value, one named ``null``
+    for NULL and, with a list of ``values``, one named ``other`` for all values outside it.
+
+    The first column is ``<row>_<col>`` with NULL rendered as ``null``. Without ``values`` the columns
+    are the values found (a schema needs their names on the driver); for a column with very many
+    values use :func:`crosstab_long`, which has the same counts.
     """
+    cells = crosstab_long(df, row, col)
     if values is None:
-        found = (df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull())
-                 .distinct().limit(max_values + 1).collect())
-        if len(found) > max_values:
-            raise ValueError(f"crosstab: more than {max_values} distinct values in {col}")
-        values = sorted(r.v for r in found)
-    key = F.coalesce(F.col(row).cast("string"), F.lit("null")).alias(f"{row}_{col}")
-    colv = F.col(col).cast("string")
-    cells = [F.count_if(colv == F.lit(v)).alias(str(v)) for v in values]
-    return df.groupBy(key).agg(*cells).orderBy(f"{row}_{col}")
+        values = sorted(r[0] for r in cells.where(F.col(col).isNotNull()).select(col).distinct().collect())
+        rest = []
+    else:
+        values = list(values)
+        outside = F.col(col).isNotNull() & ~F.col(col).isin(values)
+        rest = [F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias(other)]
+    count = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    key = F.coalesce(F.col(row), F.lit("null")).alias(f"{row}_{col}")
+    return (cells.groupBy(key).agg(*[count(F.col(col) == v).alias(str(v)) for v in values], *rest,
+                                   count(F.col(col).isNull()).alias("null")).orderBy(f"{row}_{col}"))

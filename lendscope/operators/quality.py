@@ -284,24 +284,22 @@ def sparsity_within(df: DataFrame, where: Column, col: str, count_col: str) -> D
     """Share of rows matching ``where`` that have ``col`` filled.
 
     E.g. how many charged-off loans carry settlement data. One row:
-    n_rows (COUNT(count_col) under the predicate), n_missing, filled_share.
+    n_rows (COUNT(count_col) under the predicate), n_missing, filled_share (NULL without rows).
     """
     sub = df.where(where)
     return sub.agg(
         F.count(F.col(count_col)).alias("n_rows"),
         F.count_if(F.col(col).isNull() & F.col(count_col).isNotNull()).alias("n_missing"),
     ).withColumn("filled_share",
-                 F.round(F.lit(1.0) - F.col("n_missing") / F.col("n_rows"), 6))
+                 F.round(F.lit(1.0) - F.try_divide("n_missing", "n_rows"), 6))
 
 
-def column_quartiles(df: DataFrame, cols: Iterable[str] | None = None,
-                     k: int = quantiles.DEFAULT_K) -> DataFrame:
+def column_quartiles(df: DataFrame, cols: Iterable[str] | None = None, **how) -> DataFrame:
     """Quartiles of every numeric column: (position, column_name, n, q1, median, q3).
 
-    Each row is unpivoted to one (position, value) pair per numeric column and one
-    keyed aggregate keeps a KLL sketch per column, merged in two levels (see
-    :mod:`lendscope.operators.quantiles`; exact up to ``k`` values). ``n`` counts
-    the values used: NULL and NaN are left out, and a column without values gets
+    Each row is unpivoted to one (position, value) pair per numeric column and the exact
+    interpolated quartiles are taken by position (see :mod:`lendscope.operators.quantiles`).
+    ``n`` counts the values used: NULL and NaN are left out, and a column without values gets
     NULL quartiles.
     """
     fields = [(i, f) for i, f in _columns(df, cols) if is_numeric_type(f.dataType)]
@@ -310,17 +308,12 @@ def column_quartiles(df: DataFrame, cols: Iterable[str] | None = None,
             [], "position int, column_name string, n bigint, q1 double, median double, q3 double")
     pairs = ", ".join(f"named_struct('position', {i}, 'x', CAST({sql_name(f.name)} AS DOUBLE))"
                       for i, f in fields)
-    names = ", ".join(f"{i}, {sql_text(f.name)}" for i, f in fields)
-    long = df.selectExpr(f"inline(array({pairs}))")
-    value = F.when(~F.isnan("x"), F.col("x"))
-    q = quantiles.two_level(
-        long, ["position"],
-        partial=[F.count(value).alias("n"), quantiles.kll("x", k).alias("sk")],
-        final=[F.sum("n").alias("n"), quantiles.kll_merge("sk").alias("sk")])
-    return (q.select("position", F.expr(f"element_at(map({names}), position)").alias("column_name"),
-                     "n", quantiles.kll_quantiles("sk", [0.25, 0.5, 0.75]).alias("_q"))
-            .select("position", "column_name", "n", F.col("_q")[0].alias("q1"),
-                    F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = quantiles.exact_quantiles(df.selectExpr(f"inline(array({pairs}))"), "x", ["position"], **how)
+    rows = ", ".join(f"named_struct('position', {i}, 'column_name', {sql_text(f.name)})" for i, f in fields)
+    names = df.sparkSession.range(1).selectExpr(f"inline(array({rows}))")
+    return (names.join(q, "position", "left")
+            .select("position", "column_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+                    F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
             .orderBy("position"))
 
 

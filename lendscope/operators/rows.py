@@ -15,11 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hash_bucket(key: str | Column, seed: int, buckets: int = 100) -> Column:
-    """0..buckets-1 from md5(key || ':' || seed) (first 32 bits)."""
+def hash_bits(key: str | Column, seed: int) -> Column:
+    """0..2^32-1: the first 32 bits of md5(key || ':' || seed)."""
     k = F.col(key) if isinstance(key, str) else key
     digest = F.md5(F.concat(k.cast("string"), F.lit(f":{seed}")))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
+def hash_bucket(key: str | Column, seed: int, buckets: int = 100) -> Column:
+    """0..buckets-1 from :func:`hash_bits`."""
+    return (hash_bits(key, seed) % buckets).cast("int")
 
 
 def dev_subset(df: DataFrame, key: str = "id", percent: int = 10, seed: int = 0) -> DataFrame:
@@ -29,14 +34,15 @@ def dev_subset(df: DataFrame, key: str = "id", percent: int = 10, seed: int = 0)
 
 def stable_split(df: DataFrame, weights: Sequence[float], key: str = "id", seed: int = 21,
                  names: Sequence[str] | None = None, split_col: str = "split") -> DataFrame:
-    """Tag each row with the name of its part; weights are normalised to 100 buckets."""
+    """Tag each row with the name of its part. The 2^32 hash values are cut at the running shares
+    of the weights, so a part with a positive weight, however small, is not rounded away."""
     names = list(names or [f"part{i}" for i in range(len(weights))])
     total = float(sum(weights))
     bounds, acc = [], 0.0
     for w in weights:
         acc += w
-        bounds.append(int(round(100 * acc / total)))
-    b = hash_bucket(key, seed)
+        bounds.append(int(round((1 << 32) * acc / total)))
+    b = hash_bits(key, seed)
     part = F.lit(names[-1])
     for name, hi in reversed(list(zip(names[:-1], bounds[:-1]))):
         part = F.when(b < hi, F.lit(name)).otherwise(part)

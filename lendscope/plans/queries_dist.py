@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from lendscope.constants import ZERO_BAL_STATUSES, ZERO_COLL_STATUSES
-from lendscope.functions.parse import emp_length_years, issue_year, term_months
 from lendscope.operators import distribution
 from lendscope.plans.catalog import register
+from lendscope.plans.curate import parse_strings
 from lendscope.sources.fixtures import loans_view, with_loans
 
 _PARSED_SQL = """parsed AS (
@@ -18,11 +19,7 @@ _PARSED_SQL = """parsed AS (
 
 
 def parsed_loans(spark, sf_dir):
-    return loans_view(spark, sf_dir).withColumns({
-        "issue_d_year": issue_year("issue_d"),
-        "emplength_clean": emp_length_years("emp_length"),
-        "term_clean": term_months("term"),
-    })
+    return parse_strings(loans_view(spark, sf_dir))
 
 
 @register("parse_loan_strings", with_loans(
@@ -89,35 +86,40 @@ def _box_sql(value, by, source="loans"):
     qsel = ", ".join(f"q.{k}" for k in by)
     qsel = (qsel + ", ") if by else ""
     return f"""
-SELECT {qsel}q.n, q.q1, q.median, q.q3, q.q3 - q.q1 AS iqr,
+SELECT {qsel}q.n, round(q.q1, 6) AS q1, round(q.median, 6) AS median, round(q.q3, 6) AS q3, round(q.q3 - q.q1, 6) AS iqr,
        min(CASE WHEN r.x >= q.q1 - 1.5 * (q.q3 - q.q1) THEN r.x END) AS whisker_lo,
        max(CASE WHEN r.x <= q.q3 + 1.5 * (q.q3 - q.q1) THEN r.x END) AS whisker_hi,
        count(*) FILTER (WHERE r.x < q.q1 - 1.5 * (q.q3 - q.q1) OR r.x > q.q3 + 1.5 * (q.q3 - q.q1)) AS n_outliers,
        q.min_value, q.max_value
 FROM (SELECT {kp}CAST({value} AS DOUBLE) AS x FROM {source}
       WHERE {value} IS NOT NULL AND NOT isnan(CAST({value} AS DOUBLE))) r
-JOIN (SELECT {kp}count(*) AS n, quantile_disc(x, 0.25) AS q1, quantile_disc(x, 0.5) AS median,
-             quantile_disc(x, 0.75) AS q3, min(x) AS min_value, max(x) AS max_value
+JOIN (SELECT {kp}count(*) AS n, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+             quantile_cont(x, 0.75) AS q3, min(x) AS min_value, max(x) AS max_value
       FROM (SELECT {kp}CAST({value} AS DOUBLE) AS x FROM {source}
             WHERE {value} IS NOT NULL AND NOT isnan(CAST({value} AS DOUBLE))) {grp}) q ON {on}
 GROUP BY {qsel}q.n, q.q1, q.median, q.q3, q.min_value, q.max_value
 """
 
 
+def _rounded(df):
+    """Interpolation differs in the last bit from engine to engine."""
+    return df.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3", "iqr")})
+
+
 @register("box_stats", with_loans(_box_sql("loan_amnt", [])))
 def box_stats(spark, sf_dir):
-    return distribution.box_stats(loans_view(spark, sf_dir), "loan_amnt")
+    return _rounded(distribution.box_stats(loans_view(spark, sf_dir), "loan_amnt"))
 
 
 @register("box_stats_by", with_loans(_box_sql("loan_amnt", ["emplength_clean", "term_clean"], "parsed"),
                                      _PARSED_SQL))
 def box_stats_by(spark, sf_dir):
-    return distribution.box_stats(parsed_loans(spark, sf_dir), "loan_amnt", ["emplength_clean", "term_clean"])
+    return _rounded(distribution.box_stats(parsed_loans(spark, sf_dir), "loan_amnt", ["emplength_clean", "term_clean"]))
 
 
 @register("box_stats_facet", with_loans(_box_sql("int_rate", ["sub_grade", "grade"])))
 def box_stats_facet(spark, sf_dir):
-    return distribution.box_stats(loans_view(spark, sf_dir), "int_rate", ["sub_grade", "grade"])
+    return _rounded(distribution.box_stats(loans_view(spark, sf_dir), "int_rate", ["sub_grade", "grade"]))
 
 
 @register("mean_ci", with_loans("""

@@ -72,17 +72,18 @@ def assemble_scale(spark, sf_dir):
         "id", *[c + "_scaled" for c in SCALE_COLS])
 
 
-_BUCKET = "CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':21'), 1, 8)) AS BIGINT) % 100"
+_BITS = "CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':21'), 1, 8)) AS BIGINT)"
+_TRAIN = f"{_BITS} < {round((1 << 32) * 0.7)}"
 
 
 @register("stable_split", with_loans(
-    f"SELECT id, CASE WHEN {_BUCKET} < 70 THEN 'train' ELSE 'test' END AS split FROM cur", _CUR))
+    f"SELECT id, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS split FROM cur", _CUR))
 def stable_split_q(spark, sf_dir):
     return stable_split(model_frame(spark, sf_dir), SPLIT_TRAIN_TEST, "id", 21, ["train", "test"]).select("id", "split")
 
 
 @register("class_balance", with_loans(
-    f"SELECT CASE WHEN {_BUCKET} < 70 THEN 'train' ELSE 'test' END AS split, target, count(*) AS n "
+    f"SELECT CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS split, target, count(*) AS n "
     "FROM cur GROUP BY 1, 2 ORDER BY 1, 2", _CUR))
 def class_balance(spark, sf_dir):
     df = stable_split(model_frame(spark, sf_dir), SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])

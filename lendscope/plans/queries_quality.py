@@ -178,12 +178,13 @@ def _quartiles_sql():
             continue
         x = f"CAST({n} AS DOUBLE)"
         parts.append(
-            f"SELECT {i} AS position, '{n}' AS column_name, count(x) AS n, quantile_disc(x, 0.25) AS q1, "
-            f"quantile_disc(x, 0.5) AS median, quantile_disc(x, 0.75) AS q3 "
+            f"SELECT {i} AS position, '{n}' AS column_name, count(x) AS n, round(quantile_cont(x, 0.25), 6) AS q1, "
+            f"round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.75), 6) AS q3 "
             f"FROM (SELECT CASE WHEN isnan({x}) THEN NULL ELSE {x} END AS x FROM loans)")
     return with_loans("\nUNION ALL\n".join(parts))
 
 
 @register("column_quartiles", _quartiles_sql())
 def column_quartiles(spark, sf_dir):
-    return quality.column_quartiles(loans_view(spark, sf_dir))
+    q = quality.column_quartiles(loans_view(spark, sf_dir))
+    return q.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster deployment is expected to keep; local runs add their own.
 _CLUSTER_DEFAULTS = {
@@ -64,12 +64,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lendscope-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+def layers_path(spark: SparkSession) -> str:
+    """The folder of this application's written layers, in the shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), "layers", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path in the shared checkpoint folder for written layers."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "layers", f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique path for one written layer."""
+    return os.path.join(layers_path(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a layer in the shared folder and read it back: cuts the lineage and
+    survives lost executors, unlike a local checkpoint."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_layers(spark: SparkSession) -> None:
+    """Delete the layers this application wrote. Results are lazy and may read them, so this is
+    for the end of an application, when nothing of it is used any more."""
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(layers_path(spark))
+    base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(base, True)

@@ -53,7 +53,8 @@ def loans_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
         .when(k13 == 12, F.lit(None).cast("string"))
         .otherwise(F.concat(k13.cast("string"), F.lit(" years"))).alias("emp_length"),
         status.alias("loan_status"),
-        grade.alias("grade"),
+        F.when(k % 71 == 0, F.lit(None).cast("string")).when(k % 73 == 0, F.lit("H"))
+        .otherwise(grade).alias("grade"),
         F.concat(grade, ((F.col("o_custkey") % 5) + 1).cast("string")).alias("sub_grade"),
         F.when(k % 101 == 0, F.lit(None).cast("string"))
         .when(k % 103 == 0, F.lit(""))
@@ -103,7 +104,8 @@ loans AS (
          WHEN 7 THEN 'Does not meet the credit policy. Status:Fully Paid'
          WHEN 8 THEN NULL WHEN 9 THEN 'Current' WHEN 10 THEN 'Current' WHEN 11 THEN 'Current'
          ELSE 'Fully Paid' END AS loan_status,
-    translate(substr(o.o_orderpriority, 1, 1), '12345', 'ABCDE') AS grade,
+    CASE WHEN o.o_orderkey % 71 = 0 THEN NULL WHEN o.o_orderkey % 73 = 0 THEN 'H'
+         ELSE translate(substr(o.o_orderpriority, 1, 1), '12345', 'ABCDE') END AS grade,
     translate(substr(o.o_orderpriority, 1, 1), '12345', 'ABCDE') || CAST(o.o_custkey % 5 + 1 AS VARCHAR) AS sub_grade,
     CASE WHEN o.o_orderkey % 101 = 0 THEN NULL WHEN o.o_orderkey % 103 = 0 THEN ''
          WHEN o.o_orderkey % 97 = 0 THEN 'car loan'
