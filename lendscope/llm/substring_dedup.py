@@ -215,7 +215,8 @@ def repeated_windows(docs: DataFrame, min_words: int, group_pieces: int = 2048,
                              "prefix long, content long, key_id long, key_text long, begin int, windows int")
     pieces = materialize(pieces, "substring-pieces")
     often = pieces.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select("prefix")
-    kept = pieces.join(often, "prefix")
+    # Written before it is grouped, so that the join's large partitions can be split.
+    kept = materialize(pieces.join(often, "prefix"), "substring-kept")
     different = kept.groupBy("prefix", "content").agg(
         F.count("*").alias("copies"), F.first("key_id").alias("key_id"), F.first("key_text").alias("key_text"),
         F.first("begin").alias("begin"), F.first("windows").alias("windows"))
