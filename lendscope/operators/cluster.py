@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.operators.features import fit_concurrently, persist_for_fit
+from lendscope.operators.features import fit_concurrently
 from lendscope.operators.rows import hash_bucket
 
 
@@ -30,7 +30,7 @@ def elbow(spark: SparkSession, df: DataFrame, ks: Sequence[int], features: str =
     """Within-cluster sum of squares per k: rows (k, wcss). The feature column is
     persisted for the sweep; the fits are distributed jobs, ``parallelism`` of them
     at a time; only k and one number per fit reach the driver."""
-    data = persist_for_fit(df.select(features))
+    data = df.select(features).persist()  # in the partitions the caller chose
     try:
         costs = fit_concurrently(spark, [
             (lambda k=k: float(fit_kmeans(data, k, features, seed, max_iter).summary.trainingCost))

@@ -30,23 +30,21 @@ def guard_features(features: Sequence[str], label: str = "target",
     return list(features)
 
 
-def persist_for_fit(df: DataFrame, min_partitions: int | None = None,
+#: Partitions of a fit's input. Part of the fit: more for larger data, never by the cluster's cores.
+FIT_PARTITIONS = 32
+
+
+def persist_for_fit(df: DataFrame, key: str = "id", partitions: int = FIT_PARTITIONS,
                     level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Persist the input of an iterative fit, spread so that every core has work.
-
-    Iterative estimators (k-means, trees, logistic regression, PCA) pass over
-    their input many times, one task per partition. A frame read from a few
-    large row groups can sit in fewer partitions than there are cores, and then
-    every pass runs on those few cores; such a frame is round-robin
-    repartitioned to ``min_partitions`` (default: the cluster's cores) before it
-    is cached. A frame that already has that many partitions - any large input -
-    is persisted as it is, without a shuffle. Lost cached blocks are recomputed
-    from the plan.
+    """Persist the input of an iterative fit in ``partitions`` parts by a hash of ``key``, each in
+    key order.
+
+    Iterative estimators pass over their input many times, one task per partition, and seeded
+    ones sample by partition and position. The explicit count and order make the model follow
+    from the data and this parameter alone, whatever the cluster. Nothing runs before the first
+    action; lost cached blocks are recomputed from the plan.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return df.persist(level)
+    return df.repartition(partitions, key).sortWithinPartitions(key).persist(level)
 
 
 def fit_concurrently(spark, tasks: Sequence[Callable], parallelism: int = 4) -> list:
@@ -141,3 +139,19 @@ def unpack(df: DataFrame, vec_col: str, names: Sequence[str], digits: int | None
         v = arr[i]
         cols[n] = F.round(v, digits) if digits is not None else v
     return df.withColumns(cols)
+
+
+def full_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], scaled_col: str = "features_scaled",
+                  raw_col: str = "features_raw") -> tuple[PipelineModel, DataFrame]:
+    """The whole feature vector: categories indexed and one-hot encoded, joined with the numeric
+    columns, scaled to unit deviation. Rows with a NULL category are dropped before the fit of
+    the later stages, as the indexer skips them."""
+    indexed = [c + "_index" for c in categorical]
+    hot = [c + "_onehot" for c in indexed]
+    indexer, known = index_categories(df, categorical)
+    pipe = Pipeline(stages=[
+        OneHotEncoder(inputCols=indexed, outputCols=hot),
+        VectorAssembler(inputCols=[*numeric, *hot], outputCol=raw_col),
+        StandardScaler(inputCol=raw_col, outputCol=scaled_col, withStd=True, withMean=False)])
+    model = pipe.fit(known)
+    return PipelineModel(stages=[indexer, *model.stages]), model.transform(known)

@@ -1,17 +1,14 @@
 """Classification statistics on a scored frame, fully distributed.
 
-Counts (tp, fp, tn, fn) and the derived rates are one conditional aggregate.
-The AUC is exact (Mann-Whitney with half credit for ties):
+The scored rows are grouped once by (score, prediction, label); confusion counts, the derived
+rates and the AUC all come from that table of counts. The AUC is exact (Mann-Whitney with half
+credit for ties):
 
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N)
 
-``neg(< s)`` is a running sum in score order. A global window would pull every
-distinct score into one task, so the running sum is taken in two levels: the
-distinct scores are cut into ``buckets`` ranges at approximate quantiles of the
-scores (one row per distinct score, so a hot score is one row; the cut points
-come from sketches merged in two levels, never from all scores in one task), a window runs
-per range, and each range's offset comes from the range totals - ``buckets``
-numbers, read on the driver and joined back as a broadcast table of that size.
+``neg(< s)`` is a running sum in score order, taken in two levels: the distinct scores are cut into
+``ranges`` at approximate quantiles (a hot score is one row; the cuts come from sketches merged in
+two levels), a window runs per range, and a window over the range totals gives the offsets.
 """
 
 from __future__ import annotations
@@ -21,86 +18,72 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendscope.operators import quantiles
+from lendscope.session import materialize
 
+RANGES = 256
 
-def _safe_ratio(num, den):
-    return F.when(den > 0, num / den)
 
+def score_counts(df: DataFrame, label: str = "target", prediction: str | None = "prediction",
+                 score: str | None = "score") -> DataFrame:
+    """(s, p, y, c): rows by score, prediction and label, written once; a NaN score is NULL."""
+    s = F.lit(None).cast("double") if score is None else F.col(score).cast("double")
+    p = F.lit(None).cast("double") if prediction is None else F.col(prediction).cast("double")
+    rows = df.select(F.when(~F.isnan(s), s).alias("s"), p.alias("p"), F.col(label).cast("double").alias("y"))
+    return materialize(rows.groupBy("s", "p", "y").agg(F.count(F.lit(1)).alias("c")), "scores")
 
-def confusion_counts(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
-    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((y == 1) & (p == 1)).alias("tp"),
-        F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 0) & (p == 0)).alias("tn"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"),
-    )
 
+def _auc_frame(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """One row: auc; NULL if a class is absent."""
+    per_score = (counts.where("s IS NOT NULL AND y IS NOT NULL").groupBy("s")
+                 .agg(F.sum(F.col("y") * F.col("c")).alias("pos"), F.sum((1.0 - F.col("y")) * F.col("c")).alias("neg")))
+    cuts = quantiles.two_level(per_score, [], [quantiles.kll("s").alias("k")], [quantiles.kll_merge("k").alias("k")]) \
+        .select(quantiles.kll_quantiles("k", [i / ranges for i in range(1, ranges)]).alias("c")).first()["c"]
+    splits = [-float("inf"), *sorted({float(c) for c in cuts or (0.0,)}), float("inf")]
+    tagged = Bucketizer(splits=splits, inputCol="s", outputCol="b", handleInvalid="keep").transform(per_score)
+    totals = tagged.groupBy("b").agg(F.sum("neg").alias("range_neg"))  # at most ``ranges`` rows
+    offsets = totals.select("b", (F.sum("range_neg").over(Window.orderBy("b")) - F.col("range_neg")).alias("offset"))
+    before = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("neg").over(before), F.lit(0.0)) + F.col("offset")
+    return (tagged.join(offsets, "b")
+            .select("pos", "neg", (F.col("pos") * (below + F.col("neg") / 2.0)).alias("t"))
+            .agg(F.sum("t").alias("t"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+            .select(F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("t") / (F.col("p") * F.col("n"))).alias("auc")))
 
-def auc(df: DataFrame, label: str = "target", score: str = "score", buckets: int | None = None,
-        rows_per_bucket: int = 1_000_000, digits: int | None = 6) -> float | None:
-    """Exact area under the ROC curve (ties count one half); ``None`` if a class is absent.
 
-    ``buckets`` (default: one per ``rows_per_bucket`` distinct scores, at least 64)
-    bounds the rows any one window task sorts; the per-range offsets are a table of
-    ``buckets`` rows, broadcast back.
-    """
-    spark = df.sparkSession
-    per_score = (df.select(F.col(score).cast("double").alias("s"), F.col(label).cast("double").alias("y"))
-                 .where(F.col("s").isNotNull() & F.col("y").isNotNull() & ~F.isnan(F.col("s")))
-                 .groupBy("s")
-                 .agg(F.sum("y").alias("pos"), F.sum(F.lit(1.0) - F.col("y")).alias("neg")))
-    per_score = per_score.persist()
-    try:
-        if buckets is None:
-            n_scores = per_score.count()
-            buckets = max(64, -(-n_scores // rows_per_bucket))
-        qs = [i / buckets for i in range(1, buckets)]
-        cuts = quantiles.two_level(per_score, [], [quantiles.kll("s").alias("k")],
-                                   [quantiles.kll_merge("k").alias("k")]) \
-            .select(quantiles.kll_quantiles("k", qs).alias("c")).first()["c"]
-        if cuts is None:
-            return None
-        splits = [-float("inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
-        bz = Bucketizer(splits=splits, inputCol="s", outputCol="b", handleInvalid="keep")
-        tagged = bz.transform(per_score).withColumn("b", F.col("b").cast("int"))
-        totals = {r["b"]: (r["p"], r["q"]) for r in
-                  tagged.groupBy("b").agg(F.sum("neg").alias("q"), F.sum("pos").alias("p")).collect()}
-        n_pos = sum(v[0] for v in totals.values())
-        n_neg = sum(v[1] for v in totals.values())
-        if n_pos == 0 or n_neg == 0:
-            return None
-        offsets, acc = [], 0.0
-        for b in range(len(splits) - 1):
-            offsets.append((b, acc))
-            acc += totals.get(b, (0.0, 0.0))[1]
-        offset_df = F.broadcast(spark.createDataFrame(offsets, "b int, offset double"))
-        w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-        below = F.coalesce(F.sum("neg").over(w), F.lit(0.0)) + F.col("offset")
-        num = (tagged.join(offset_df, "b")
-               .select((F.col("pos") * (below + F.col("neg") / 2.0)).alias("t"))
-               .agg(F.sum("t")).first()[0])
-        value = float(num) / (n_pos * n_neg)
-        return round(value, digits) if digits is not None else value
-    finally:
-        per_score.unpersist()
+def auc(df: DataFrame, label: str = "target", score: str = "score", ranges: int = RANGES,
+        digits: int | None = 6) -> float | None:
+    """Exact area under the ROC curve (ties count one half); ``None`` if a class is absent."""
+    value = _auc_frame(score_counts(df, label, None, score), ranges).first()["auc"]
+    return value if value is None or digits is None else round(value, digits)
+
+
+def _safe_ratio(num, den):
+    return F.when(den > 0, num / den)
 
 
 def classification_report(df: DataFrame, label: str = "target", prediction: str = "prediction",
                           score: str | None = "score", digits: int = 6) -> DataFrame:
-    """One row: n, tp, fp, tn, fn, accuracy, precision, recall, f1 (+ auc when a score is given)."""
-    c = confusion_counts(df, label, prediction)
+    """One row: n, n_skipped, tp, fp, tn, fn, accuracy, precision, recall, f1 (+ auc when a score is given).
+
+    ``n`` counts rows with both a label and a prediction; ``n_skipped`` counts the others.
+    """
+    counts = score_counts(df, label, prediction, score)
+    known = F.col("y").isNotNull() & F.col("p").isNotNull()
+    of = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("c"))), F.lit(0))
+    y, p = F.col("y"), F.col("p")
+    c = counts.agg(of(known).alias("n"), of(~known).alias("n_skipped"), of((y == 1) & (p == 1)).alias("tp"),
+                   of((y == 0) & (p == 1)).alias("fp"), of((y == 0) & (p == 0)).alias("tn"), of((y == 1) & (p == 0)).alias("fn"))
     tp, fp, tn, fn, n = (F.col(x).cast("double") for x in ("tp", "fp", "tn", "fn", "n"))
     precision = _safe_ratio(tp, tp + fp)
     recall = _safe_ratio(tp, tp + fn)
     out = c.select(
-        "n", "tp", "fp", "tn", "fn",
+        "n", "n_skipped", "tp", "fp", "tn", "fn",
         F.round(_safe_ratio(tp + tn, n), digits).alias("accuracy"),
         F.round(precision, digits).alias("precision"),
         F.round(recall, digits).alias("recall"),
         F.round(_safe_ratio(2 * precision * recall, precision + recall), digits).alias("f1"),
     )
     if score is not None:
-        out = out.withColumn("auc", F.lit(auc(df, label, score, digits=digits)).cast("double"))
+        area = _auc_frame(counts).first()["auc"]
+        out = out.withColumn("auc", F.round(F.lit(area).cast("double"), digits))
     return out

@@ -28,24 +28,25 @@ def with_balance_weight(df: DataFrame, label: str = "target", weight_col: str =
     return df.withColumn(weight_col, F.when(F.col(label) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0)))
 
 
-def gbt_pipeline(numeric: Sequence[str], categorical: Sequence[str] = (), label: str = "target",
-                 weight_col: str | None = "weight", max_iter: int = 20, max_depth: int = 5,
-                 seed: int = 21) -> Pipeline:
-    """Categories as integer codes (trees split on them directly) + numbers -> GBT."""
+def fit_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), label: str = "target",
+            weight_col: str | None = "weight", rounds: int = 100, max_depth: int = 5, seed: int = 21) -> PipelineModel:
+    """Categories as integer codes (trees split on them directly) + numbers -> boosted trees.
+
+    The indexer is fitted first; a split can tell apart every category it found, so ``maxBins``
+    follows the data.
+    """
     guard_features(list(numeric) + list(categorical), label)
-    stages = []
-    idx_out = [c + "_code" for c in categorical]
+    stages, bins = [], 32
+    codes = [c + "_code" for c in categorical]
     if categorical:
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx_out,
-                                    handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=list(numeric) + idx_out, outputCol="features",
-                                  handleInvalid="keep"))
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter,
-                        maxDepth=max_depth, seed=seed, maxBins=64)
+        indexer = StringIndexer(inputCols=list(categorical), outputCols=codes, handleInvalid="keep").fit(train)
+        bins = max([bins, *(len(labels) + 1 for labels in indexer.labelsArray)])
+        stages.append(indexer)
+    stages.append(VectorAssembler(inputCols=list(numeric) + codes, outputCol="features", handleInvalid="keep"))
+    gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=max_depth, seed=seed, maxBins=bins)
     if weight_col:
         gbt = gbt.setWeightCol(weight_col)
-    stages.append(gbt)
-    return Pipeline(stages=stages)
+    return Pipeline(stages=[*stages, gbt]).fit(train)
 
 
 def score_column(scored: DataFrame, prob_col: str = "probability", name: str = "score") -> DataFrame:
@@ -63,39 +64,43 @@ def feature_importance(spark: SparkSession, model: PipelineModel, digits: int =
     return spark.createDataFrame(rows, "feature string, importance double").orderBy("importance", "feature")
 
 
-def hashed_lr_pipeline(input_cols: Sequence[str], reg_param: float, label: str = "target",
-                       num_features: int = HASHED_FEATURES, max_iter: int = 50) -> Pipeline:
-    """Hash mixed-type columns (numbers as values, text as one-hot) into ``num_features``
-    slots, then logistic regression. NULL inputs hash to nothing."""
+def feature_hasher(input_cols: Sequence[str], label: str = "target", num_features: int = HASHED_FEATURES) -> FeatureHasher:
+    """Mixed-type columns (numbers as values, text as one-hot) into ``num_features`` slots; NULL
+    inputs hash to nothing. It has no state, so it needs no fit."""
     guard_features(input_cols, label)
-    return Pipeline(stages=[
-        FeatureHasher(inputCols=list(input_cols), outputCol="features", numFeatures=num_features),
-        LogisticRegression(featuresCol="features", labelCol=label, regParam=reg_param, maxIter=max_iter),
-    ])
+    return FeatureHasher(inputCols=list(input_cols), outputCol="features", numFeatures=num_features)
 
 
-def train_lr_grid(train: DataFrame, input_cols: Sequence[str], reg_params: Sequence[float],
-                  label: str = "target", parallelism: int = 4) -> list[tuple[float, PipelineModel]]:
-    """One hashed logistic model per ``regParam``, ``parallelism`` fits at a time."""
-    fitted = fit_concurrently(train.sparkSession, [
-        (lambda rp=rp: hashed_lr_pipeline(input_cols, rp, label).fit(train)) for rp in reg_params],
-        parallelism)
-    return list(zip(reg_params, fitted))
+def train_lr_grid(train: DataFrame, input_cols: Sequence[str], reg_params: Sequence[float], label: str = "target",
+                  max_iter: int = 100, parallelism: int = 4) -> list[tuple[float, PipelineModel]]:
+    """One hashed logistic model per ``regParam``, ``parallelism`` fits at a time. The training set
+    is hashed once for all of them; each model comes back with the hasher as its first stage."""
+    hasher = feature_hasher(input_cols, label)
+    hashed = hasher.transform(train).select(label, "features").persist()
+    try:
+        fitted = fit_concurrently(train.sparkSession, [
+            (lambda rp=rp: LogisticRegression(featuresCol="features", labelCol=label, regParam=rp, maxIter=max_iter).fit(hashed))
+            for rp in reg_params], parallelism)
+    finally:
+        hashed.unpersist()
+    return [(rp, PipelineModel(stages=[hasher, m])) for rp, m in zip(reg_params, fitted, strict=True)]
 
 
 def pick_best(spark: SparkSession, models: Sequence[tuple[float, PipelineModel]], test: DataFrame,
               label: str = "target", parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
-    """Score each model on ``test``; return the best by AUC and the leaderboard."""
-    aucs = fit_concurrently(spark, [
-        (lambda m=m: auc(score_column(m.transform(test)), label, "score")) for _, m in models],
-        parallelism)
+    """Score each model on ``test``, hashed once; return the best by AUC and the leaderboard."""
+    hashed = models[0][1].stages[0].transform(test).select(label, "features").persist()
+    try:
+        aucs = fit_concurrently(spark, [
+            (lambda m=m: auc(score_column(m.stages[-1].transform(hashed)), label, "score")) for _, m in models], parallelism)
+    finally:
+        hashed.unpersist()
     rows, best, best_auc = [], None, -1.0
-    for (rp, m), a in zip(models, aucs):
+    for (rp, m), a in zip(models, aucs, strict=True):
         rows.append((float(rp), a))
         if a is not None and a > best_auc:
             best, best_auc = m, a
-    board = spark.createDataFrame(rows, "reg_param double, auc double")
-    return best, board
+    return best, spark.createDataFrame(rows, "reg_param double, auc double")
 
 
 def save_model(model: PipelineModel, path: str) -> str:

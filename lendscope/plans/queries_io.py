@@ -10,7 +10,7 @@ from lendscope.plans.catalog import register
 from lendscope.session import scratch_path
 from lendscope.sources import loans_csv
 from lendscope.sources.fixtures import LOANS_SCHEMA, loans_view, with_loans
-from lendscope.sources.tables import read_table
+from lendscope.sources.tables import is_folder, read_table, table_path
 
 _BLANKS = ("[\\x{09}\\x{0B}\\x{0C}\\x{1C}-\\x{1F}\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
            "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+")
@@ -96,9 +96,13 @@ def stream_valid_rows(spark, sf_dir):
     from lendscope.streaming.clean_stream import tag_rows, write_valid_and_rejects
 
     orders_schema = read_table(spark, sf_dir, "orders").schema
-    # A file stream source watches a folder; the glob picks the orders file in it.
-    orders = (spark.readStream.schema(orders_schema).option("pathGlobFilter", "orders.parquet")
-              .parquet(sf_dir))
+    # A file stream source watches a folder: the table's own, or the one its single file lies in.
+    stream = spark.readStream.schema(orders_schema)
+    path = table_path(sf_dir, "orders")
+    if is_folder(spark, path):
+        orders = stream.parquet(path)
+    else:
+        orders = stream.option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
     tagged = tag_rows(loans_from(orders, read_table(spark, sf_dir, "customer")))
     base = scratch_path(spark, "stream")
     q = write_valid_and_rejects(tagged, f"{base}/valid", f"{base}/rejects", f"{base}/_checkpoint")

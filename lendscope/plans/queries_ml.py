@@ -94,13 +94,13 @@ _MODEL_COLS = ("id", "target") + NUMERIC + CATS
 
 
 def _fit_frame(spark, sf_dir, cols=_MODEL_COLS):
-    """The columns a fit needs, persisted (and spread over the cores) for iterative fits.
+    """The columns a fit needs, persisted for iterative fits.
 
     Selecting before persisting lets Catalyst skip the other derived columns and
     keeps the cache small. Callers fit on it, then unpersist it; the frame they
     return is lazy and reads from the plan again, so no cache outlives the query.
     """
-    return features.persist_for_fit(model_frame(spark, sf_dir).select(*cols))
+    return features.persist_for_fit(model_frame(spark, sf_dir).select(*{"id": 0} | dict.fromkeys(cols)))
 
 
 def _scaled(frame, cols=NUMERIC):
@@ -108,14 +108,56 @@ def _scaled(frame, cols=NUMERIC):
     return out
 
 
-_CLUSTER_COLS = ("id",) + NUMERIC
+#: Categories of the clustering vector; the wide ones (sub-grade, state) stay with the models.
+CLUSTER_CATS = ("grade", "purpose", "issue_d_year")
+_CLUSTER_COLS = ("id",) + NUMERIC + CLUSTER_CATS
+#: Boosting rounds the registered queries set; the operator's default is 100.
+GBT_ROUNDS = 20
+
+
+def _vectors(frame):
+    """The whole feature vector: one-hot categories and numbers, scaled."""
+    _, out = features.full_features(frame, NUMERIC, CLUSTER_CATS)
+    return out
+
+
+def _vector_sql():
+    hot = "".join(f" + CASE WHEN j_{c}.i < j_{c}.k - 1 THEN 1.0 / sqrt(CAST(h_{c}.n AS DOUBLE) * (tot.n - h_{c}.n) "
+                  f"/ (CAST(tot.n AS DOUBLE) * (tot.n - 1))) ELSE 0 END" for c in CLUSTER_CATS)
+    nonzero = " + ".join([f"CASE WHEN v.{c} <> 0 THEN 1 ELSE 0 END" for c in NUMERIC]
+                         + [f"CASE WHEN j_{c}.i < j_{c}.k - 1 THEN 1 ELSE 0 END" for c in CLUSTER_CATS])
+    joins = " ".join(f"JOIN idx j_{c} ON j_{c}.c = '{c}' AND j_{c}.v = CAST(v.{c} AS VARCHAR) "
+                     f"JOIN (SELECT CAST({c} AS VARCHAR) AS x, count(*) AS n FROM v GROUP BY 1) h_{c} "
+                     f"ON h_{c}.x = CAST(v.{c} AS VARCHAR)" for c in CLUSTER_CATS)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in CLUSTER_CATS)
+    typed = ", ".join(f"coalesce(TRY_CAST({c} AS DOUBLE), 0) AS {c}" if c in ("dti", "delinq_2yrs") else c
+                      for c in NUMERIC)
+    stds = ", ".join(f"stddev_samp({c}) AS {c}" for c in NUMERIC)
+    numbers = " + ".join(f"v.{c} / s.{c}" for c in NUMERIC)
+    width = f"{len(NUMERIC)} + " + " + ".join(f"j_{c}.k - 1" for c in CLUSTER_CATS)
+    return with_loans(
+        f"SELECT v.id, CAST({width} AS INTEGER) AS width, {nonzero} AS n_nonzero, round({numbers}{hot}, 4) AS checksum "
+        f"FROM v CROSS JOIN s CROSS JOIN tot {joins}",
+        _CUR, *_label_sql(CLUSTER_CATS), f"v AS (SELECT id, {typed}, {', '.join(CLUSTER_CATS)} FROM cur WHERE {known})",
+        f"s AS (SELECT {stds} FROM v)", "tot AS (SELECT count(*) AS n FROM v)")
+
+
+@register("feature_vectors", _vector_sql())
+def feature_vectors(spark, sf_dir):
+    """Width, non-zero entries and sum of each row's whole scaled vector."""
+    frame = model_frame(spark, sf_dir).select(*_CLUSTER_COLS)
+    values = F.col("_v")
+    out = _vectors(frame).withColumn("_v", features.vector_to_array("features_scaled"))
+    return out.select("id", F.size(values).cast("int").alias("width"),
+                      F.size(F.filter(values, lambda x: x != 0)).cast("int").alias("n_nonzero"),
+                      F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 4).alias("checksum"))
 
 
 @register("elbow")
 def elbow(spark, sf_dir):
     frame = _fit_frame(spark, sf_dir, _CLUSTER_COLS)
     try:
-        return cluster.elbow(spark, _scaled(frame), ELBOW_KS)
+        return cluster.elbow(spark, _vectors(frame), ELBOW_KS)
     finally:
         frame.unpersist()
 
@@ -124,18 +166,19 @@ def elbow(spark, sf_dir):
 def kmeans_assign(spark, sf_dir):
     frame = _fit_frame(spark, sf_dir, _CLUSTER_COLS)
     try:
-        data = _scaled(frame)
-        model = cluster.fit_kmeans(data, 3, seed=2)
+        data = _vectors(frame)
+        coarse = cluster.fit_kmeans(data, 3, seed=2)
+        fine = cluster.fit_kmeans(data, 20, seed=2, prediction="cluster_20")
     finally:
         frame.unpersist()
-    return model.transform(data).select("id", "cluster")
+    return fine.transform(coarse.transform(data)).select("id", "cluster", "cluster_20")
 
 
 @register("pca_project")
 def pca_project(spark, sf_dir):
     frame = _fit_frame(spark, sf_dir, _CLUSTER_COLS)
     try:
-        data = _scaled(frame)
+        data = _vectors(frame)
         model = cluster.fit_pca(data, 2)
     finally:
         frame.unpersist()
@@ -157,13 +200,15 @@ def explained_variance(spark, sf_dir):
 
 
 def _gbt(spark, sf_dir):
+    """The model of the training part, weighted by that part's balance, and the test part as a plan
+    of its own, without the fit's repartition."""
     frame = _fit_frame(spark, sf_dir)
     try:
-        df = models.with_balance_weight(frame)
-        train, test = split_frames(df, SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
-        model = models.gbt_pipeline(NUMERIC, CATS).fit(train)
+        train, _ = split_frames(frame, SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
+        model = models.fit_gbt(models.with_balance_weight(train), NUMERIC, CATS, rounds=GBT_ROUNDS)
     finally:
         frame.unpersist()
+    _, test = split_frames(model_frame(spark, sf_dir).select(*_MODEL_COLS), SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
     return model, test
 
 
@@ -179,17 +224,39 @@ def feature_importance(spark, sf_dir):
     return models.feature_importance(spark, model)
 
 
-@register("model_round_trip")
+@register("model_round_trip", with_loans(
+    f"SELECT count(*) AS n_scored, 0 AS n_differing FROM cur WHERE NOT ({_TRAIN})", _CUR))
 def model_round_trip(spark, sf_dir):
-    """Save the fitted pipeline to shared storage, load it, score the test part."""
+    """Save the fitted pipeline to shared storage, load it, score the test part with both; rows
+    scored and rows whose scores differ."""
     model, test = _gbt(spark, sf_dir)
-    path = models.save_model(model, scratch_path(spark, "gbt_model"))
-    loaded = models.load_model(path)
-    return models.score_column(loaded.transform(test)).select("id", "target", "prediction", "score")
+    loaded = models.load_model(models.save_model(model, scratch_path(spark, "gbt_model")))
+    once = models.score_column(model.transform(test), name="score").select(*_MODEL_COLS, "score")
+    both = models.score_column(loaded.transform(once), name="again")
+    return both.agg(F.count(F.lit(1)).alias("n_scored"),
+                    F.count_if(~F.col("score").eqNullSafe(F.col("again"))).cast("int").alias("n_differing"))
+
+
+@register("stable_split_3way", with_loans(
+    "SELECT id, CASE " + " ".join(
+        f"WHEN {_BITS.replace(':21', ':123')} < {round((1 << 32) * hi)} THEN '{name}'"
+        for name, hi in zip(("train", "test"), (SPLIT_TRAIN_TEST_VALIDATION[0] / sum(SPLIT_TRAIN_TEST_VALIDATION),
+                                                sum(SPLIT_TRAIN_TEST_VALIDATION[:2]) / sum(SPLIT_TRAIN_TEST_VALIDATION)), strict=True))
+    + " ELSE 'validation' END AS split FROM cur", _CUR))
+def stable_split_3way(spark, sf_dir):
+    return stable_split(model_frame(spark, sf_dir), SPLIT_TRAIN_TEST_VALIDATION, "id", 123,
+                        ["train", "test", "validation"]).select("id", "split")
+
+
+@register("cast_numbers", with_loans("""
+SELECT id, TRY_CAST(dti AS DOUBLE) AS dti, TRY_CAST(delinq_2yrs AS DOUBLE) AS delinq_2yrs FROM loans
+"""))
+def cast_numbers(spark, sf_dir):
+    return cast_columns(loans_view(spark, sf_dir), ["dti", "delinq_2yrs"], "double").select("id", "dti", "delinq_2yrs")
 
 
 @register("classification_report", with_loans("""
-SELECT n, tp, fp, tn, fn,
+SELECT n, 0 AS n_skipped, tp, fp, tn, fn,
        round((tp + tn) / n, 6) AS accuracy,
        round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 6) AS precision,
        round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 6) AS recall,

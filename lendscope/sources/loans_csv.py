@@ -40,7 +40,7 @@ def typed_schema(columns: Sequence[tuple[str, str]], corrupt_col: str | None = N
 
 
 def read_loans(spark: SparkSession, path: str, schema: StructType | None = None,
-               infer: bool = False, sep: str = ",", multiline: bool = True,
+               infer: bool = False, sep: str = ",", multiline: bool = False,
                corrupt_col: str = CORRUPT_COL, keep_empty_strings: bool = True) -> DataFrame:
     """Read loan CSV files (header line, RFC-4180 quoting, PERMISSIVE).
 
@@ -52,11 +52,10 @@ def read_loans(spark: SparkSession, path: str, schema: StructType | None = None,
     (``""``) is the empty string, so NULL and '' survive a write/read round trip
     (by default both would come back as NULL).
 
-    Scale: with ``multiline=True`` (quoted fields may hold line breaks) a file
-    cannot be split, so each file is read by one task - fine for many files of
-    moderate size. For a few very large files pass ``multiline=False``: files
-    split at line boundaries across tasks, and a record broken by a line break
-    inside quotes lands in ``corrupt_col`` instead of being parsed.
+    Scale: files split at line boundaries across tasks, and a record broken by a line break
+    inside quotes lands in ``corrupt_col``. With ``multiline=True`` quoted fields may hold line
+    breaks, but then a file cannot be split and is read by one task - for many files of
+    moderate size only.
     """
     reader = (spark.read.option("header", True).option("sep", sep).option("quote", '"')
               .option("escape", '"').option("multiLine", multiline).option("mode", "PERMISSIVE"))

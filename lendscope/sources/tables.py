@@ -16,3 +16,9 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; Parquet gives column pruning and filter pushdown for free."""
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a table is a folder of part files rather than one file, by Spark's own file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory()

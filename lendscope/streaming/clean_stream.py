@@ -41,12 +41,17 @@ def tag_rows(df: DataFrame, rules=ROW_RULES) -> DataFrame:
 def write_split_batch(batch: DataFrame, batch_id: int, valid_path: str, reject_path: str) -> None:
     """Write one micro-batch's valid and quarantined rows under its own batch id.
 
-    Overwrite mode makes a retried batch replace what an earlier attempt wrote.
+    Overwrite mode makes a retried batch replace what an earlier attempt wrote. The batch is
+    persisted for its two writes, so source, joins and rules run once.
     """
-    valid = batch.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    rejects = batch.where(F.col("reject_reason").isNotNull())
-    valid.write.mode("overwrite").parquet(f"{valid_path}/batch_id={batch_id}")
-    rejects.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+    batch = batch.persist()
+    try:
+        valid = batch.where(F.col("reject_reason").isNull()).drop("reject_reason")
+        rejects = batch.where(F.col("reject_reason").isNotNull())
+        valid.write.mode("overwrite").parquet(f"{valid_path}/batch_id={batch_id}")
+        rejects.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+    finally:
+        batch.unpersist()
 
 
 def write_valid_and_rejects(tagged: DataFrame, valid_path: str, reject_path: str,

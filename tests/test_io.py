@@ -26,7 +26,7 @@ def test_csv_quoting_and_corrupt_records(spark, tmp_dir):
     _write(path, text)
     schema = loans_csv.typed_schema([("id", "int"), ("title", "string"), ("amount", "int")],
                                     corrupt_col=loans_csv.CORRUPT_COL)
-    df = loans_csv.read_loans(spark, os.path.dirname(path), schema=schema).cache()
+    df = loans_csv.read_loans(spark, os.path.dirname(path), schema=schema, multiline=True).cache()
     rows = {r.id: r for r in df.collect()}
     assert rows[1].title == "a, b" and rows[1].amount == 10
     assert rows[2].title == "line one\nline two"

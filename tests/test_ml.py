@@ -25,7 +25,7 @@ def test_auc_exact_with_ties(spark):
     rnd = random.Random(3)
     pairs = [(round(rnd.random(), 2), rnd.randint(0, 1)) for _ in range(3000)]
     df = spark.createDataFrame(pairs, "score double, target int")
-    assert metrics.auc(df, "target", "score", buckets=16, digits=None) == pytest.approx(brute_auc(pairs), abs=1e-12)
+    assert metrics.auc(df, "target", "score", ranges=16, digits=None) == pytest.approx(brute_auc(pairs), abs=1e-12)
 
 
 def test_auc_constant_score_is_half(spark):
@@ -46,7 +46,7 @@ def test_leakage_guard():
     with pytest.raises(ValueError):
         features.guard_features(["loan_amnt", "target"])
     with pytest.raises(ValueError):
-        models.hashed_lr_pipeline(["indebt", "x"], 0.1)
+        models.feature_hasher(["indebt", "x"])
 
 
 def test_stable_split_disjoint_complete(spark):
@@ -151,3 +151,36 @@ def test_concurrent_fits_interleaved_with_sql(spark):
         got = fit_concurrently(spark, [
             (lambda m=m: df.where(F.col("g") < m).groupBy("g").agg(F.sum("x")).count()) for m in range(1, 9)], 4)
         assert got == list(range(1, 9))
+
+
+def test_report_skips_rows_without_label_or_prediction(spark):
+    rows = [(1, 1.0, 0.9), (0, 0.0, 0.1), (None, 1.0, 0.5), (1, None, 0.5), (0, 1.0, None), (1, 1.0, float("nan"))]
+    r = metrics.classification_report(spark.createDataFrame(rows, "target int, prediction double, score double")).first()
+    assert (r.n, r.n_skipped, r.tp, r.tn, r.fp, r.fn) == (4, 2, 2, 1, 1, 0)
+    assert r.accuracy == 0.75 and r.auc == 1.0
+    none = metrics.classification_report(spark.createDataFrame([], "target int, prediction double, score double")).first()
+    assert none.n == 0 and none.accuracy is None and none.auc is None
+
+
+def test_small_split_part_is_not_rounded_away(spark):
+    parts = split_frames(spark.range(20000), [0.995, 0.005], "id", 3, ["big", "small"])
+    n = [p.count() for p in parts]
+    assert sum(n) == 20000 and 50 <= n[1] <= 160
+
+
+def test_trees_take_more_categories_than_the_default_bins(spark):
+    df = spark.range(2000).select(F.concat(F.lit("c"), (F.col("id") % 80).cast("string")).alias("g"),
+                                  (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 80 < 40).cast("int").alias("target"))
+    model = models.fit_gbt(models.with_balance_weight(df), ["x"], ["g"], rounds=2)
+    assert model.transform(df).where("prediction = target").count() == 2000
+
+
+def test_kmeans_is_the_same_for_any_input_partitions(spark):
+    df = model_frame(spark, SF001).select("id", "loan_amnt", "int_rate")
+    costs = []
+    for parts in (2, 4, 8):
+        frame = features.persist_for_fit(df.repartition(parts))
+        _, scaled = features.assemble_scale(frame, ["loan_amnt", "int_rate"])
+        costs.append(cluster.fit_kmeans(scaled, 3, seed=2).summary.trainingCost)
+        frame.unpersist()
+    assert costs[1] == pytest.approx(costs[0], rel=1e-9) and costs[2] == pytest.approx(costs[0], rel=1e-9)

@@ -1,3 +1,4 @@
+import numpy as np
 """Property tests on the loan view (sf0.01) and small frames."""
 
 from pyspark.sql import functions as F
@@ -115,17 +116,23 @@ def test_odd_column_names_and_empty_selection(spark):
     assert quality.distinct_estimates(df, []).count() == 0
 
 
-def test_persist_for_fit_spreads_a_narrow_frame(spark):
-    from lendscope.operators.features import persist_for_fit
-    one = spark.range(0, 1000).coalesce(1)
-    spread = persist_for_fit(one)
-    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    assert spread.count() == 1000
-    spread.unpersist()
-    wide = spark.range(0, 1000, numPartitions=16)
-    kept = persist_for_fit(wide)
-    assert kept.rdd.getNumPartitions() == 16
-    kept.unpersist()
+def test_persist_for_fit_runs_nothing_and_ignores_the_partitions(spark):
+    from lendscope.operators.features import FIT_PARTITIONS, persist_for_fit
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("persist-test", "")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.range(1000, numPartitions=3).join(spark.range(1000).withColumnRenamed("id", "k"), F.col("id") == F.col("k"))
+        one = persist_for_fit(joined.drop("k"))
+        assert list(tracker.getJobIdsForGroup("persist-test")) == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext._jsc.clearJobGroup()
+    many = persist_for_fit(spark.range(0, 1000, numPartitions=16))
+    layout = [df.select("id", F.spark_partition_id().alias("p")).collect() for df in (one, many)]
+    assert layout[0] == layout[1] and len({r.p for r in layout[0]}) == FIT_PARTITIONS
+    one.unpersist()
+    many.unpersist()
 
 
 def test_column_quartiles_brute_force(spark):
@@ -137,8 +144,7 @@ def test_column_quartiles_brute_force(spark):
     assert set(got) == {"a", "b", "c", "d"} and got["d"].position == 4
 
     def brute(vals, p):
-        xs = sorted(vals)
-        return float(xs[max(0, math.ceil(p * len(xs)) - 1)])
+        return float(np.quantile(vals, p))
     for j, name in [(0, "a"), (1, "b"), (4, "d")]:
         vals = [r[j] for r in rows if r[j] is not None and not (isinstance(r[j], float) and math.isnan(r[j]))]
         assert got[name].n == len(vals)

@@ -73,3 +73,12 @@ def test_retried_batch_replaces_its_output(spark, tmp_dir):
     got = sorted((r.id, r.batch_id) for r in spark.read.parquet(valid).collect())
     assert got == [("1", 7), ("3", 7), ("3", 8)]
     assert [r.id for r in spark.read.parquet(rejects).collect()] == ["2"]
+
+
+def test_stream_reads_a_table_that_is_a_folder(spark, tmp_dir):
+    from __spark_entry__ import queries
+    from tests.conftest import SF001
+    for table in ("orders", "customer"):
+        spark.read.parquet(f"{SF001}/{table}.parquet").repartition(3).write.parquet(f"{tmp_dir}/sf/{table}.parquet")
+    query = queries()["stream_valid_rows"]
+    assert sorted(query(spark, f"{tmp_dir}/sf").collect()) == sorted(query(spark, SF001).collect())
