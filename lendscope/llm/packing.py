@@ -115,7 +115,7 @@ def cut_documents(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
 
 
 def pack(df: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
-         capacity: int = WINDOW_TOKENS, rank_rows: int = 20000) -> DataFrame:
+         capacity: int = WINDOW_TOKENS, rank_rows: int = 4096) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     Every document is its token ids and ``end_id``; each id lies in exactly one piece; the
