@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.llm.common import SpanHasher, mix64, slices, text_buffer, word_spans
@@ -291,13 +291,18 @@ def _fit_layer(top, toxic, _, labels, rounds: int = 500):
 
 def training_documents(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
                        label_col: str = "toxic", fit_docs: int = FIT_DOCS, seed: int = 3) -> tuple[list[str], list[int]]:
-    """Texts and labels of up to ``fit_docs`` documents per label, chosen by a hash of their ids
-    (a bounded list of ids, so it is broadcast), each at most ``FIT_EXCERPT`` characters from a
+    """Texts and labels of about ``fit_docs`` documents per label (all, if there are fewer), chosen by
+    a hash of their ids (a bounded list of ids, so it is broadcast), each at most ``FIT_EXCERPT`` characters from a
     seeded place. ``train`` is a condition on the label rows."""
     marked = labels.where(train & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     ids = marked.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).alias("label"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.lit(seed), "id"), "id"))
-    ids = ids.withColumn("rank", rank).where(F.col("rank") <= fit_docs).select("id", "label")
+    # A threshold on the hash for each label, from its count: no ranking of all labelled rows.
+    counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
+    steps = 1 << 30
+    limit = F.lit(0)
+    for label, n in counts.items():
+        limit = F.when(F.col("label") == label, F.lit(min(steps, steps * fit_docs // n))).otherwise(limit)
+    ids = ids.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(steps)) < limit)
     place = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.greatest(F.lit(1), F.char_length(text_col) - FIT_EXCERPT)).cast("int") + 1
     rows = (docs.join(F.broadcast(ids), docs[id_col].cast("long") == ids["id"])
             .groupBy("id", "label").agg(F.min(F.substr(F.coalesce(F.col(text_col), F.lit("")), place, F.lit(FIT_EXCERPT))).alias("excerpt"))
