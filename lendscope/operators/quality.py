@@ -19,6 +19,7 @@ from lendscope.constants import MAX_MISSING_SHARE, ROW_RULES
 from lendscope.functions.missing import is_numeric_type
 from lendscope.functions.parse import NUMBER_TEXT
 from lendscope.operators import quantiles
+from lendscope.session import materialize
 
 # --------------------------------------------------------------------------- row rules
 
@@ -81,9 +82,10 @@ def split_valid(df: DataFrame, rules: Sequence[tuple[str, str]] = ROW_RULES,
 # one pass per group of columns. A group is kept under ``MAX_BUFFER_FIELDS``
 # aggregation-buffer fields, so the heavy per-row stage stays in whole-stage
 # code generation: one aggregate over all 149 columns of a raw loan file
-# fails to compile and runs interpreted, several times slower per row. Over
-# Parquet each pass reads only its own columns, so together the passes read
-# about one copy of the table; over a derived frame, persist it first.
+# fails to compile and runs interpreted, several times slower per row. When
+# there is more than one pass, the frame is written once as a Parquet layer of the
+# needed columns, so its scan, joins and parsing run once; each pass then reads
+# only its own columns, together one copy of the layer.
 
 MAX_BUFFER_FIELDS = 96
 
@@ -137,8 +139,10 @@ def per_column_rows(df: DataFrame, fields, *, inputs, aggs, rows, width, schema:
     the aggregation-buffer fields the column needs. The result of each pass is a
     single row before it is unpacked, so only one row per task crosses the shuffle.
     """
-    parts = []
-    for group in _groups(fields, width, budget):
+    parts, groups = [], list(_groups(fields, width, budget))
+    if len(groups) > 1:  # the frame is computed once; the passes read disjoint columns of the layer
+        df = materialize(df.select(*[F.col(sql_name(f.name)) for _, f in fields]), "columns")
+    for group in groups:
         projected = df.selectExpr(*[e for i, f in group for e in inputs(i, f)])
         one_row = projected.selectExpr(*[a for i, f in group for a in aggs(i, f)])
         structs = ", ".join(r for i, f in group for r in rows(i, f))
@@ -212,6 +216,16 @@ def profile(df: DataFrame, cols: Iterable[str] | None = None, digits: int = 6) -
                 "mean double, stddev double"))
 
 
+def profile_report(df: DataFrame, cols: Iterable[str] | None = None, digits: int = 6) -> DataFrame:
+    """One report per column: :func:`profile`, exact quartiles and the distinct estimate together,
+    over one written copy of the columns."""
+    names = list(cols) if cols is not None else df.columns
+    layer = materialize(df.select(*[F.col(sql_name(c)) for c in names]), "profile")
+    quartiles = column_quartiles(layer).select("position", *[F.round(c, digits).alias(c) for c in ("q1", "median", "q3")])
+    return (profile(layer, digits=digits).join(quartiles, "position", "left")
+            .join(distinct_estimates(layer).drop("column_name"), "position", "left"))
+
+
 def sparse_columns(df: DataFrame, max_missing: float = MAX_MISSING_SHARE,
                    cols: Iterable[str] | None = None, digits: int = 6) -> DataFrame:
     """Columns whose missing share is above ``max_missing`` (default 10%)."""

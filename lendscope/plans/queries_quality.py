@@ -75,7 +75,7 @@ def missing_census(spark, sf_dir):
     return quality.missing_census(loans_view(spark, sf_dir))
 
 
-def _profile_sql():
+def _profile_parts():
     parts = []
     for i, (n, t) in enumerate(LOANS_SCHEMA):
         miss = f"count(*) FILTER (WHERE {sql_is_missing(n, t)})"
@@ -91,10 +91,10 @@ def _profile_sql():
         parts.append(f"SELECT {i} AS position, '{n}' AS column_name, '{t}' AS data_type, "
                      f"count(*) AS n, {miss} AS n_missing, round({miss} / count(*), 6) AS p_missing, "
                      f"{num} FROM loans")
-    return with_loans("\nUNION ALL\n".join(parts))
+    return "\nUNION ALL\n".join(parts)
 
 
-@register("profile_columns", _profile_sql())
+@register("profile_columns", with_loans(_profile_parts()))
 def profile_columns(spark, sf_dir):
     return quality.profile(loans_view(spark, sf_dir))
 
@@ -171,7 +171,7 @@ def distinct_estimates(spark, sf_dir):
     return quality.distinct_estimates(loans_view(spark, sf_dir))
 
 
-def _quartiles_sql():
+def _quartiles_parts():
     parts = []
     for i, (n, t) in enumerate(LOANS_SCHEMA):
         if t not in _NUMERIC:
@@ -181,10 +181,17 @@ def _quartiles_sql():
             f"SELECT {i} AS position, '{n}' AS column_name, count(x) AS n, round(quantile_cont(x, 0.25), 6) AS q1, "
             f"round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.75), 6) AS q3 "
             f"FROM (SELECT CASE WHEN isnan({x}) THEN NULL ELSE {x} END AS x FROM loans)")
-    return with_loans("\nUNION ALL\n".join(parts))
+    return "\nUNION ALL\n".join(parts)
 
 
-@register("column_quartiles", _quartiles_sql())
+@register("column_quartiles", with_loans(_quartiles_parts()))
 def column_quartiles(spark, sf_dir):
     q = quality.column_quartiles(loans_view(spark, sf_dir))
     return q.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
+
+
+@register("profile_report", with_loans(
+    f"SELECT p.*, q.q1, q.median, q.q3 FROM ({_profile_parts()}) p LEFT JOIN ({_quartiles_parts()}) q USING (position)"))
+def profile_report(spark, sf_dir):
+    """The whole report but for the distinct estimates, which have a query and tests of their own."""
+    return quality.profile_report(loans_view(spark, sf_dir)).drop("approx_distinct")

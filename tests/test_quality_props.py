@@ -150,3 +150,33 @@ def test_column_quartiles_brute_force(spark):
         assert got[name].n == len(vals)
         assert (got[name].q1, got[name].median, got[name].q3) == tuple(brute(vals, p) for p in (0.25, 0.5, 0.75))
     assert got["c"].n == 0 and got["c"].median is None
+
+
+def test_many_column_passes_compute_the_frame_once(spark):
+    from lendscope.plans import catalog
+    catalog.load_all()
+    plan = catalog.QUERIES["describe_long"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan  # orders and customer are joined once, into the layer the passes read
+
+
+def test_distinct_estimates_are_close_to_exact(spark):
+    df = loans_view(spark, SF001)
+    got = {r.column_name: r.approx_distinct for r in quality.distinct_estimates(df).collect()}
+    exact = df.agg(*[F.countDistinct(c).alias(c) for c in df.columns]).first().asDict()
+    for name, n in exact.items():
+        assert abs(got[name] - n) <= max(1, 0.06 * n)
+
+
+def test_sparsity_within_without_rows(spark):
+    r = quality.sparsity_within(loans_view(spark, SF001), F.lit(False), "settlement_status", "loan_status").first()
+    assert (r.n_rows, r.n_missing, r.filled_share) == (0, 0, None)
+
+
+def test_crosstab_loses_no_row(spark):
+    from lendscope.operators import explore
+    df = spark.createDataFrame([("s1", "A"), ("s1", None), ("s2", "H"), ("s2", "B"), (None, "A")], "s string, g string")
+    found = {r["s_g"]: r.asDict() for r in explore.crosstab(df, "s", "g").collect()}
+    assert found["s1"] == {"s_g": "s1", "A": 1, "B": 0, "H": 0, "null": 1}
+    listed = [r.asDict() for r in explore.crosstab(df, "s", "g", values=["A", "B"]).collect()]
+    assert {r["s_g"]: r["other"] for r in listed} == {"s1": 0, "s2": 1, "null": 0}
+    assert sum(v for r in listed for k, v in r.items() if k != "s_g") == df.count()
