@@ -11,7 +11,7 @@ from pyspark.sql.types import (
 )
 
 from lendscope.functions.missing import is_numeric_type
-from lendscope.operators.quality import per_column_rows, sql_name, sql_text
+from lendscope.operators.quality import distinct_estimates, per_column_rows, sql_name, sql_text
 
 
 def drop_columns(df: DataFrame, cols: Iterable[str], strict: bool = False) -> DataFrame:
@@ -63,6 +63,16 @@ def redundant_columns(df: DataFrame, cols: Iterable[str] | None = None) -> DataF
     return out.where(F.col("reason").isNotNull())
 
 
+def high_cardinality_columns(df: DataFrame, share: float = 0.5, cols: Iterable[str] | None = None) -> DataFrame:
+    """Text columns with more distinct values than ``share`` of their rows, by the distinct estimate
+    (about 2% error): (position, column_name), free text to drop before one-hot encoding."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and (cols is None or f.name in set(cols))]
+    places = {n: i for i, n in enumerate(df.columns)}
+    n = df.count()
+    position = F.element_at(F.create_map(*[F.lit(x) for n in names for x in (n, places[n])]), F.col("column_name"))
+    return distinct_estimates(df, names).where(F.col("approx_distinct") > share * n).select(position.alias("position"), "column_name")
+
+
 def feature_columns(df: DataFrame, label: str, ids: Sequence[str] = ("id",),
                     categoricals: Sequence[str] = (), exclude: Sequence[str] = ()) -> list[str]:
     """Numeric feature names by name (never by position); the label and its copies are out."""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-
+from lendscope.constants import DEFAULT_STATUSES, ZERO_BAL_STATUSES, ZERO_COLL_STATUSES
 from lendscope.functions.text import scrub_ascii
+from lendscope.operators.columns import rename_positional
 from lendscope.operators.rows import dev_subset
 from lendscope.plans import curate
 from lendscope.plans.catalog import register
@@ -44,7 +45,11 @@ def dev_subset_q(spark, sf_dir):
     return dev_subset(loans_view(spark, sf_dir), "id", percent=10, seed=0)
 
 
-_CURATED_SQL = """
+def _listed(values):
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+_CURATED_SQL = f"""
 SELECT id, coalesce(CASE WHEN isnan(loan_amnt) THEN NULL ELSE loan_amnt END, 0.0) AS loan_amnt,
        coalesce(CASE WHEN isnan(int_rate) THEN NULL ELSE int_rate END, 0.0) AS int_rate,
        grade, sub_grade, addr_state, dti, delinq_2yrs,
@@ -54,16 +59,14 @@ SELECT id, coalesce(CASE WHEN isnan(loan_amnt) THEN NULL ELSE loan_amnt END, 0.0
        coalesce(TRY_CAST(trim(regexp_replace(emp_length, 'years|year|\\+|\\<', '', 'g')) AS INTEGER), 0)
          AS emplength_clean,
        coalesce(TRY_CAST(regexp_extract(term, '\\d+', 0) AS INTEGER), 0) AS term_clean,
-       coalesce(CASE WHEN tot_coll_amt IS NULL AND loan_status IN ('Fully Paid', 'Charged Off',
-                  'Does not meet the credit policy. Status:Fully Paid') THEN 0.0
+       coalesce(CASE WHEN tot_coll_amt IS NULL AND loan_status IN ({_listed(ZERO_COLL_STATUSES)}) THEN 0.0
             ELSE TRY_CAST(tot_coll_amt AS DOUBLE) END, 0.0) AS tot_coll_amt_clean,
-       coalesce(CASE WHEN tot_cur_bal IS NULL AND loan_status IN ('Fully Paid', 'Charged Off') THEN 0.0
+       coalesce(CASE WHEN tot_cur_bal IS NULL AND loan_status IN ({_listed(ZERO_BAL_STATUSES)}) THEN 0.0
             ELSE TRY_CAST(tot_cur_bal AS DOUBLE) END, 0.0) AS tot_cur_bal_clean,
-       CASE WHEN loan_status IN ('Default', 'Charged Off', 'Late (31-120 days)', 'Late (16-30 days)',
-            'Does not meet the credit policy. Status:Charged Off', 'In Grace Period') THEN 1 ELSE 0 END AS target
+       CASE WHEN loan_status IN ({_listed(DEFAULT_STATUSES)}) THEN 1 ELSE 0 END AS target
 FROM loans
 WHERE regexp_matches(dti, '[0-9]+') AND regexp_matches(delinq_2yrs, '[0-9]+')
-  AND regexp_matches(addr_state, '^[A-Z]{0,3}$')
+  AND regexp_matches(addr_state, '^[A-Z]{{0,3}}$')
 """
 
 
@@ -83,6 +86,26 @@ def curated_layer_round_trip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register("single_file_export", with_loans("SELECT grade, count(*) AS n FROM loans GROUP BY 1"))
+def single_file_export(spark, sf_dir):
+    """Loans per grade exported as one CSV file and read back."""
+    path = scratch_path(spark, "single_file")
+    counts = loans_view(spark, sf_dir).groupBy("grade").count().withColumnRenamed("count", "n")
+    loans_csv.export_single_csv(counts, path)
+    return loans_csv.read_loans(spark, path, schema=counts.schema, corrupt_col="none")
+
+
+@register("sql_over_view", with_loans("""
+SELECT addr_state AS state, count(*) AS n, round(avg(loan_amnt), 6) AS mean_amnt
+FROM loans WHERE int_rate > 15 GROUP BY addr_state
+"""))
+def sql_over_view(spark, sf_dir):
+    """SQL text over the loans registered as a view, then columns renamed by position."""
+    loans_csv.register_view(loans_view(spark, sf_dir), "loans_sql")
+    out = spark.sql("SELECT addr_state, count(*), round(avg(loan_amnt), 6) FROM loans_sql WHERE int_rate > 15 GROUP BY addr_state")
+    return rename_positional(out, ["state", "n", "mean_amnt"])
+
+
 @register("stream_valid_rows", with_loans("""
 SELECT id, dti, delinq_2yrs, addr_state FROM loans
 WHERE regexp_matches(dti, '[0-9]+') AND regexp_matches(delinq_2yrs, '[0-9]+')

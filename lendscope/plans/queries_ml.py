@@ -9,6 +9,7 @@ from lendscope.constants import (
 )
 from lendscope.functions.parse import cast_columns
 from lendscope.operators import cluster, features, metrics, models
+from lendscope.operators.columns import feature_columns
 from lendscope.operators.rows import split_frames, stable_split
 from lendscope.plans import curate
 from lendscope.plans.catalog import register
@@ -30,6 +31,11 @@ def model_frame(spark, sf_dir):
     return features.as_text(df, ["issue_d_year"])
 
 
+def numeric_features(frame, categorical=CATS):
+    """Numeric feature names by the frame's own schema, without the id, the label and the categories."""
+    return tuple(feature_columns(frame, "target", ["id"], categorical))
+
+
 def _label_sql(cols):
     lab = " UNION ALL ".join(f"SELECT '{c}' AS c, CAST({c} AS VARCHAR) AS v FROM cur" for c in cols)
     return (f"lab AS ({lab})",
@@ -117,7 +123,7 @@ GBT_ROUNDS = 20
 
 def _vectors(frame):
     """The whole feature vector: one-hot categories and numbers, scaled."""
-    _, out = features.full_features(frame, NUMERIC, CLUSTER_CATS)
+    _, out = features.full_features(frame, numeric_features(frame), CLUSTER_CATS)
     return out
 
 
@@ -205,7 +211,7 @@ def _gbt(spark, sf_dir):
     frame = _fit_frame(spark, sf_dir)
     try:
         train, _ = split_frames(frame, SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
-        model = models.fit_gbt(models.with_balance_weight(train), NUMERIC, CATS, rounds=GBT_ROUNDS)
+        model = models.fit_gbt(models.with_balance_weight(train), numeric_features(train), CATS, rounds=GBT_ROUNDS)
     finally:
         frame.unpersist()
     _, test = split_frames(model_frame(spark, sf_dir).select(*_MODEL_COLS), SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])

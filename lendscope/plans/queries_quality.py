@@ -166,6 +166,13 @@ def redundant_columns(spark, sf_dir):
     return columns.redundant_columns(loans_view(spark, sf_dir))
 
 
+@register("high_cardinality_columns", with_loans("SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{n}' AS column_name FROM loans HAVING count(DISTINCT {n}) > 0.5 * count(*)"
+    for i, (n, t) in enumerate(LOANS_SCHEMA) if t == "string") + ")"))
+def high_cardinality_columns(spark, sf_dir):
+    return columns.high_cardinality_columns(loans_view(spark, sf_dir))
+
+
 @register("distinct_estimates")
 def distinct_estimates(spark, sf_dir):
     return quality.distinct_estimates(loans_view(spark, sf_dir))
