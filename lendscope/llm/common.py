@@ -6,10 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lendscope.session import scratch_path
+from lendscope.session import materialize
+
+__all__ = ["ASCII_SPACE", "WORD_PATTERN", "SpanHasher", "doc_key", "materialize", "mix64", "slices", "text_buffer", "word_spans"]
 
 #: The six ASCII characters that separate words, ``[\x20\x09-\x0D]``.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -19,19 +21,6 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[ord(c) for c in ASCII_SPACE]] = True
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once into the shared folder and read it back: cuts the lineage and
-    survives lost executors, unlike a local checkpoint."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
-    """The column cast to ``kind``."""
-    return df[name].cast(kind)
-
-
 def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text",
            max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about ``max_bytes`` of text (one document
