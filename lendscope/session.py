@@ -74,6 +74,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+def share_package_path(spark: SparkSession) -> None:
+    """Let Python workers import this package from the folder the driver has it in, where that
+    folder exists on their machine too; elsewhere ship it with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def layers_path(spark: SparkSession) -> str:
     """The folder of this application's written layers, in the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), "layers", spark.sparkContext.applicationId)
