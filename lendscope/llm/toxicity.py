@@ -24,7 +24,7 @@ from lendscope.llm.common import SpanHasher, mix64, slices, text_buffer, word_sp
 #: Bounds of the fit: documents per label, bytes of one document, and those for the chain.
 FIT_DOCS = 1500
 FIT_EXCERPT = 5000
-CHAIN_DOCS = 800
+CHAIN_DOCS = 600
 PREFIXES = (4, 5, 6)
 SEGMENT = 64  # tokens of one chain; a longer document is several chains
 
@@ -167,11 +167,11 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 30, rate: float = 0.5)
     keep = (in_any >= 3) | tied
     position = np.cumsum(keep) - 1
     rows = chosen[owner]
-    known = np.where(keep[codes[rows]], position[codes[rows]], -1)
+    known = np.where(keep[codes[rows]], position[codes[rows]], -1).astype(np.int32)
     order = np.argsort(hashes[keep], kind="stable")
-    known = np.append(np.argsort(order, kind="stable"), -1)[known]
+    known = np.append(np.argsort(order, kind="stable"), -1).astype(np.int32)[known]
     model = Field(hashes[keep][order], np.zeros(len(order)))
-    del codes
+    del codes, hashes, names, position, order
     sub_first = np.r_[0, np.cumsum(np.bincount(owner[rows], minlength=len(texts)))]
     _train_chain(model, known, token_label[rows], segments_of(sub_first), rounds, rate)
     strong = np.abs(model.weights) > 0.05
@@ -237,7 +237,8 @@ def _train_chain(model: Field, known, labels, segments, rounds, rate):
     seen = np.array([[((before == a) & (after == b) & inner).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
     seen[0] += [(~grid_label[0]).sum(), grid_label[0].sum()]
     valid = known >= 0
-    flat, token_of = known[valid], np.nonzero(valid)[0]
+    flat, token_of = known[valid], np.nonzero(valid)[0].astype(np.int32)
+    del valid
     squares, square_b, square_m = np.full(len(model.weights), 1e-6), 1e-6, np.full((2, 2), 1e-6)
     for _ in range(rounds):
         emissions = model.emissions(known)
@@ -254,9 +255,8 @@ def _train_chain(model: Field, known, labels, segments, rounds, rate):
         move = np.exp(model.moves)
         left = [np.ones_like(grid[1:]), np.exp(np.clip(ahead[:-1], -60, 60))]
         right = [np.ones_like(grid[1:]), np.exp(np.clip(grid[1:] + back[1:], -60, 60))]
-        joint = np.array([[left[a] * move[a, b] * right[b] for b in (0, 1)] for a in (0, 1)])
-        joint /= joint.sum((0, 1))
-        wanted = (joint * inner).sum((2, 3))
+        total = sum(left[a] * move[a, b] * right[b] for a in (0, 1) for b in (0, 1))
+        wanted = np.array([[(left[a] * move[a, b] * right[b] / total)[inner].sum() for b in (0, 1)] for a in (0, 1)])
         start = 1 / (1 + np.exp(-np.clip(ahead[0] + back[0], -60, 60)))
         wanted[0] += [(1 - start).sum(), start.sum()]
         slope_m = seen - wanted - 0.01 * model.moves
