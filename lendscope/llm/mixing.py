@@ -96,7 +96,7 @@ def word_count(text) -> F.Column:
 
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights=MIX_WEIGHTS, share: float = MIX_SHARE, max_repeat: int = MIX_MAX_REPEAT,
-                block_words: int = 64, shard_docs: int = 2048, seed: int = 8) -> DataFrame:
+                block_words: int = 64, shard_docs: int = 1024, seed: int = 8) -> DataFrame:
     """One row per input row: ``doc_id, source, size, source_size, target, taken``.
 
     ``size`` counts words (null text: 0); sources are ordered by code point, null last, and get
@@ -110,10 +110,12 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     spark = df.sparkSession
     sized = materialize(df.select(df[id_col].cast("long").alias("doc_id"), df[source_col].cast("string").alias("source"),
                                   word_count(df[text_col].cast("string")).alias("size")), "mix-sizes")
-    n_docs, words = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    words = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     block = int(max(1, min(block_words, share * words // 65536)))
-    shards = max(1, -(-n_docs // shard_docs))
-    salted = sized.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.lit(shards)))
+    # Shards of about ``shard_docs`` documents, as many as a source needs.
+    counts = sized.groupBy(F.col("source").alias("of")).agg(F.ceil(F.count("*") / F.lit(shard_docs)).alias("shards"))
+    salted = (sized.join(counts, sized["source"].eqNullSafe(counts["of"]))
+              .select("doc_id", "source", "size", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.col("shards")).alias("shard")))
     targets = source_targets(sized, weights, share, max_repeat)
     # Quotients of at least half a block: floor(target / block + 1/2) blocks.
     quotas = targets.withColumn("blocks", F.floor(F.col("target") / F.lit(float(block)) + F.lit(0.5)))
