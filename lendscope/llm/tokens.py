@@ -26,7 +26,7 @@ from lendscope.llm.common import doc_key, materialize, slices
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 256
 #: Distinct words a Python worker remembers; beyond that words are encoded once per slice.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 600_000
 
 _TOKENIZERS: dict = {}
 
@@ -67,8 +67,9 @@ def encode_words(path: str, texts: list[str | None]) -> tuple[list[bytes], np.nd
             done = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             fresh.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, done, strict=True))
         ids = [got if got is not None else fresh[w] for w, got in zip(words, ids, strict=True)]
-        if len(cache) < CACHE_WORDS:
-            cache.update(fresh)
+        room = CACHE_WORDS - len(cache)
+        if room > 0:
+            cache.update(list(fresh.items())[:room])
     return ids, counts
 
 
