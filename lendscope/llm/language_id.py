@@ -158,20 +158,24 @@ def training_samples(df: DataFrame, train: Column, id_col: str, text_col: str, l
                      train_chars: int = TRAIN_CHARS, seed: int = 2) -> dict[str, str]:
     """For each language about ``train_chars`` characters: excerpts of at most ``EXCERPT_CHARS``
     from its labelled documents in seeded order, taken from a seeded place. The documents are
-    chosen on their ids alone; the chosen list is bounded by languages times excerpts."""
-    from pyspark.sql import Window
+    chosen on their ids alone, about four times as many as full excerpts would need (all, if there
+    are fewer), so their list is bounded by the languages and broadcast."""
 
     wanted = max(1, 4 * train_chars // EXCERPT_CHARS)
     labelled = df.where(train & df[lang_col].isNotNull() & df[text_col].isNotNull())
     keys = labelled.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(seed), "id"), "id"))
-    chosen = keys.distinct().withColumn("rank", rank).where(F.col("rank") <= wanted)
+    # A threshold on the hash of the id by language, from its count: no ranking of all rows.
+    steps = 1 << 30
+    counts = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    place_of = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(steps))
+    chosen = (keys.join(counts, "lang").withColumn("rank", place_of)
+              .where(F.col("rank") * F.col("n").cast("double") < float(steps * wanted)).select("id", "lang", "rank").distinct())
     place = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_col).cast("long")),
                    F.greatest(F.lit(1), F.char_length(text_col) - EXCERPT_CHARS)).cast("int") + 1
     excerpts = (labelled.join(F.broadcast(chosen), labelled[id_col].cast("long").eqNullSafe(chosen["id"])
                               & (labelled[lang_col] == chosen["lang"]))
                 .select(chosen["lang"], "rank", F.substr(F.col(text_col), place, F.lit(EXCERPT_CHARS)).alias("excerpt"))
-                .groupBy("lang", "rank").agg(F.min("excerpt").alias("excerpt")))
+                .groupBy("lang", "rank").agg(F.min("excerpt").alias("excerpt")))  # one of repeated rows
     samples: dict[str, list[str]] = {}
     for row in excerpts.orderBy("lang", "rank").collect():
         samples.setdefault(row.lang, [])
