@@ -214,8 +214,9 @@ def repeated_windows(docs: DataFrame, min_words: int, group_pieces: int = 2048,
     pieces = docs.mapInArrow(lambda it: _find_pieces(it, min_words),
                              "prefix long, content long, key_id long, key_text long, begin int, windows int")
     pieces = materialize(pieces, "substring-pieces")
-    often = pieces.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select("prefix")
-    # Written before it is grouped, so that the join's large partitions can be split.
+    # Counts and joins are written in turn: a join whose two sides are plain exchanges can have its
+    # large partitions split, one with an aggregate on top or below can't.
+    often = materialize(pieces.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select("prefix"), "substring-often")
     kept = materialize(pieces.join(often, "prefix"), "substring-kept")
     different = kept.groupBy("prefix", "content").agg(
         F.count("*").alias("copies"), F.first("key_id").alias("key_id"), F.first("key_text").alias("key_text"),
@@ -240,6 +241,7 @@ def repeated_windows(docs: DataFrame, min_words: int, group_pieces: int = 2048,
     result = (different.join(masks, ["prefix", "content"], "left")
               .select("prefix", "content", F.when(F.col("copies") > 1, everything).otherwise(F.col("mask")).alias("mask"))
               .where("mask <> 0"))
+    result = materialize(result, "substring-result")
     return (kept.join(result, ["prefix", "content"]).groupBy("key_id", "key_text")
             .agg(F.collect_list(F.struct("begin", "mask")).alias("found")))
 
