@@ -31,7 +31,7 @@ def guard_features(features: Sequence[str], label: str = "target",
 
 
 #: Partitions of a fit's input. Part of the fit: more for larger data, never by the cluster's cores.
-FIT_PARTITIONS = 32
+FIT_PARTITIONS = 16
 
 
 def persist_for_fit(df: DataFrame, key: str = "id", partitions: int = FIT_PARTITIONS,
