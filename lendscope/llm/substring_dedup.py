@@ -222,10 +222,10 @@ def repeated_windows(docs: DataFrame, min_words: int, group_pieces: int = 2048,
         F.count("*").alias("copies"), F.first("key_id").alias("key_id"), F.first("key_text").alias("key_text"),
         F.first("begin").alias("begin"), F.first("windows").alias("windows"))
     different = materialize(different, "substring-different")
-    per_prefix = different.groupBy("prefix").agg(F.count("*").alias("n"))
+    per_prefix = materialize(different.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1"), "substring-sizes")
     sized = different.join(per_prefix, "prefix")
     item = F.struct("prefix", "content", "copies", "begin", "windows", (F.col("n") > group_pieces).alias("long"))
-    wanted = sized.where("n > 1").groupBy("key_id", "key_text").agg(F.collect_list(item).alias("wanted"))
+    wanted = sized.groupBy("key_id", "key_text").agg(F.collect_list(item).alias("wanted"))
     fetched = docs.join(wanted, ["key_id", "key_text"]).mapInArrow(lambda it: _fetch(it, min_words), _TEXT_SQL)
     fetched = materialize(fetched, "substring-fetched")
     short = (fetched.where("piece IS NOT NULL").select("prefix", "content", "copies", "windows", "piece")
