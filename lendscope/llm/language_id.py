@@ -164,12 +164,15 @@ def training_samples(df: DataFrame, train: Column, id_col: str, text_col: str, l
     wanted = max(1, 4 * train_chars // EXCERPT_CHARS)
     labelled = df.where(train & df[lang_col].isNotNull() & df[text_col].isNotNull())
     keys = labelled.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"))
-    # A threshold on the hash of the id by language, from its count: no ranking of all rows.
+    # A threshold on the hash of the id by language, from its count: no ranking of all rows. The
+    # counts are one row per language, of which the driver holds a whole sample anyway.
     steps = 1 << 30
-    counts = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    place_of = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(steps))
-    chosen = (keys.join(counts, "lang").withColumn("rank", place_of)
-              .where(F.col("rank") * F.col("n").cast("double") < float(steps * wanted)).select("id", "lang", "rank").distinct())
+    counts = {r["lang"]: r["count"] for r in keys.groupBy("lang").count().collect()}
+    if not counts:
+        return {}
+    limits = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(steps, steps * wanted // n))])
+    chosen = (keys.withColumn("rank", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(steps)))
+              .where(F.col("rank") < F.element_at(limits, F.col("lang"))).distinct())
     place = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_col).cast("long")),
                    F.greatest(F.lit(1), F.char_length(text_col) - EXCERPT_CHARS)).cast("int") + 1
     excerpts = (labelled.join(F.broadcast(chosen), labelled[id_col].cast("long").eqNullSafe(chosen["id"])
