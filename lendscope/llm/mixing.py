@@ -1,16 +1,17 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-Targets come from weights under a cap of ``max_repeat`` times a source's size. Each source's
-target is allocated in blocks of equal length: block k of a source is allocated when its
-quotient ``target / (2k - 1)`` is among the highest, that is at least half a block. A second
-apportionment hands a source's blocks to its shards by the shards' sizes, in integers that add
-up. In a shard the documents lie in a seeded order as one stream, and its blocks are taken
-from a seeded starting block on, around the end.
+Targets come from weights under a cap of ``max_repeat`` times a source's size. The words of the
+mix go to the sources one by one: word k of a source is allocated when its quotient
+``target / (2k - 1)`` is among the highest. A second apportionment hands a source's words to its
+shards by the shards' sizes in blocks of equal length, and what whole blocks leave over to the
+last shards that have room. In a shard the documents lie in a seeded order as one stream, and its
+words are taken from a seeded starting word on, around the end.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
@@ -102,33 +103,39 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     ``size`` counts words (null text: 0); sources are ordered by code point, null last, and get
     ``weights`` in turn. ``taken`` counts the words the mix takes of the row, repeats included;
     it never exceeds ``max_repeat * size``. The outcome depends on ids, sizes, sources and the
-    seed only, so reruns agree. Blocks shrink on small inputs (64 words at most, a 65,536th of
-    the mix below that) so that a source's sum stays near its target. Rows with a null or
-    repeated id take part like any others; documents without words take nothing; an empty
-    table gives no rows.
+    seed only, so reruns agree. A source's words add up to its target, rounded, whatever the size
+    of the table. Rows with a null or repeated id take part like any others; documents without
+    words take nothing; an empty table gives no rows.
     """
-    spark = df.sparkSession
     sized = materialize(df.select(df[id_col].cast("long").alias("doc_id"), df[source_col].cast("string").alias("source"),
                                   word_count(df[text_col].cast("string")).alias("size")), "mix-sizes")
-    words = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    block = int(max(1, min(block_words, share * words // 65536)))
     # Shards of about ``shard_docs`` documents, as many as a source needs.
     counts = sized.groupBy(F.col("source").alias("of")).agg(F.ceil(F.count("*") / F.lit(shard_docs)).alias("shards"))
     salted = (sized.join(counts, sized["source"].eqNullSafe(counts["of"]))
               .select("doc_id", "source", "size", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.col("shards")).alias("shard")))
     targets = source_targets(sized, weights, share, max_repeat)
-    # Quotients of at least half a block: floor(target / block + 1/2) blocks.
-    quotas = targets.withColumn("blocks", F.floor(F.col("target") / F.lit(float(block)) + F.lit(0.5)))
+
+    def per_source(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = sorted(range(len(pdf)), key=lambda i: (pd.isna(pdf["source"].iloc[i]), str(pdf["source"].iloc[i]).encode()))
+        pdf = pdf.iloc[first]
+        size = pdf["source_size"].to_numpy()
+        got = sainte_lague(pdf["target"].to_numpy(), math.floor(share * int(size.sum()) + 0.5), size * max_repeat)
+        return pdf.assign(source_words=got)
+
+    quotas = targets.groupBy().applyInPandas(per_source, "source string, source_size long, target double, source_words long")
 
     def per_shard(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("shard", ignore_index=True)
-        caps = pdf["words"].to_numpy() * max_repeat // block
-        got = sainte_lague(pdf["words"].to_numpy(), int(pdf["blocks"].iloc[0]), caps)
+        words, total = pdf["words"].to_numpy(), int(pdf["source_words"].iloc[0])
+        got = sainte_lague(words, total // block_words, words * max_repeat // block_words) * block_words
+        free = words * max_repeat - got
+        before = np.cumsum(free[::-1])[::-1] - free  # the last shards fill up first
+        got += np.clip(total - int(got.sum()) - before, 0, free)
         return pdf.assign(quota=got)[["source", "shard", "source_size", "target", "quota"]]
 
     shard_words = salted.groupBy("source", "shard").agg(F.sum("size").alias("words"))
     same = shard_words["source"].eqNullSafe(quotas["source"])
-    plan = (shard_words.join(quotas, same).select(shard_words["source"], "shard", "words", "source_size", "target", "blocks")
+    plan = (shard_words.join(quotas, same).select(shard_words["source"], "shard", "words", "source_size", "target", "source_words")
             .groupBy("source").applyInPandas(per_shard, "source string, shard long, source_size long, target double, quota long"))
     plan = materialize(plan, "mix-plan")
 
@@ -137,11 +144,11 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         size = pdf["size"].to_numpy()
         ends = np.cumsum(size)
         starts, length = ends - size, int(ends[-1]) if len(ends) else 0
-        take = min(int(pdf["quota"].iloc[0]) * block, max_repeat * length)
+        take = int(pdf["quota"].iloc[0])
         taken = np.zeros(len(pdf), dtype=np.int64)
         if length:
             passes, rest = divmod(take, length)
-            first = int(pdf["turn"].iloc[0]) % -(-length // block) * block
+            first = int(pdf["turn"].iloc[0]) % length
             last = first + rest
             within = lambda lo, hi: np.clip(np.minimum(ends, hi) - np.maximum(starts, lo), 0, None)
             taken = passes * size + within(first, min(last, length)) + within(0, last - length)

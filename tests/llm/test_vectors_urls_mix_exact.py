@@ -203,6 +203,23 @@ def test_mix_odd_rows(spark):
     assert mixing.mix_sources(df.where(F.lit(False))).collect() == []
 
 
+def test_mix_keeps_small_sources_of_large_tables(spark):
+    """Sources of 10, 25 and 30 words beside 3.2 M words, and one capped source over many shards."""
+    text = F.when(F.col("id") < 8000, F.repeat(F.lit("w "), 400)).otherwise(F.repeat(F.lit("w "), 7))
+    df = spark.range(8300).select(F.col("id").alias("doc_id"), text.alias("text"),
+                                  F.when(F.col("id") < 8000, F.lit("big")).otherwise(F.lit("capped")).alias("source"))
+    small = spark.createDataFrame([(9001, "w " * 10, "ten"), (9002, "w " * 25, "the"), (9003, "w " * 12, None), (9004, "w " * 18, None)],
+                                  "doc_id long, text string, source string")
+    got = mixing.mix_sources(df.unionByName(small), shard_docs=20).collect()
+    taken = {}
+    for r in got:
+        assert 0 <= r.taken <= 2 * r.size
+        taken.setdefault(r.source, [0, r.target])[0] += r.taken
+    assert {s: t for s, (t, _) in taken.items() if s != "big"} == {"capped": 4200, "ten": 20, "the": 50, None: 60}
+    assert all(abs(t - target) <= 1 for t, target in taken.values())
+    assert sum(t for t, _ in taken.values()) == round(1.5 * sum(r.size for r in got))
+
+
 def test_apply_mix(spark):
     docs = spark.createDataFrame([(1, "a b c", "s", 5), (2, "d e", "s", 3), (3, "f", None, 1), (4, "", "s", 0)],
                                  "doc_id long, text string, source string, n_chars long")
