@@ -98,11 +98,12 @@ def word_count(text) -> F.Column:
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights=MIX_WEIGHTS, share: float = MIX_SHARE, max_repeat: int = MIX_MAX_REPEAT,
                 block_words: int = 64, shard_docs: int = 1024, seed: int = 8) -> DataFrame:
-    """One row per input row: ``doc_id, source, size, source_size, target, taken``.
+    """One row per input row: ``doc_id, source, size, source_size, target, taken, ranges``.
 
     ``size`` counts words (null text: 0); sources are ordered by code point, null last, and get
     ``weights`` in turn. ``taken`` counts the words the mix takes of the row, repeats included;
-    it never exceeds ``max_repeat * size``. The outcome depends on ids, sizes, sources and the
+    it never exceeds ``max_repeat * size``. ``ranges`` has the words (start from 0, length) that it takes
+    beyond whole passes over the row, in the order of the selection. The outcome depends on ids, sizes, sources and the
     seed only, so reruns agree. A source's words add up to its target, rounded, whatever the size
     of the table. Rows with a null or repeated id take part like any others; documents without
     words take nothing; an empty table gives no rows.
@@ -145,14 +146,19 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         ends = np.cumsum(size)
         starts, length = ends - size, int(ends[-1]) if len(ends) else 0
         take = int(pdf["quota"].iloc[0])
-        taken = np.zeros(len(pdf), dtype=np.int64)
+        taken, ranges = np.zeros(len(pdf), dtype=np.int64), [[] for _ in range(len(pdf))]
         if length:
             passes, rest = divmod(take, length)
             first = int(pdf["turn"].iloc[0]) % length
             last = first + rest
+            runs = ((first, min(last, length)), (0, last - length))
             within = lambda lo, hi: np.clip(np.minimum(ends, hi) - np.maximum(starts, lo), 0, None)
-            taken = passes * size + within(first, min(last, length)) + within(0, last - length)
-        return pdf.assign(taken=taken)[["doc_id", "source", "size", "source_size", "target", "taken"]]
+            parts = [within(lo, hi) for lo, hi in runs]
+            taken = passes * size + parts[0] + parts[1]
+            for i in np.flatnonzero(taken % np.maximum(size, 1)):
+                ranges[i] = [{"start": int(max(lo - starts[i], 0)), "length": int(n[i])}
+                             for (lo, _), n in zip(runs, parts, strict=True) if n[i]]
+        return pdf.assign(taken=taken, ranges=ranges)[["doc_id", "source", "size", "source_size", "target", "taken", "ranges"]]
 
     joined = (salted.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))
                                      & (F.col("d.shard") == F.col("p.shard")))
@@ -160,24 +166,28 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                       F.xxhash64(F.lit(seed + 1), "d.doc_id").alias("place"),
                       F.pmod(F.xxhash64(F.lit(seed + 2), "d.source", "d.shard"), F.lit(1 << 40)).alias("turn")))
     return joined.groupBy("source", "shard").applyInPandas(
-        select, "doc_id long, source string, size long, source_size long, target double, taken long")
+        select, "doc_id long, source string, size long, source_size long, target double, taken long, "
+        "ranges array<struct<start:long,length:long>>")
 
 
 def apply_mix(df: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` as the mix takes them: a whole pass over a document gives one row with
-    its whole text, what is taken beyond that gives a row with so many of its first words; what
-    is not taken gives none. A document without words has nothing to take and goes."""
-    took = (mixed.where("taken > 0")
+    its whole text, what is taken beyond that gives a row for each range of its words (without
+    ``ranges``, its first words); what is not taken gives none. A document without words has
+    nothing to take and goes."""
+    if "ranges" not in mixed.columns:
+        mixed = mixed.withColumn("ranges", F.expr("IF(taken % size > 0, ARRAY(NAMED_STRUCT('start', 0L, 'length', taken % size)), ARRAY())"))
+    whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("length")),
+                           F.floor(F.col("taken") / F.col("size")).cast("int"))
+    took = (mixed.where("taken > 0").withColumn("pieces", F.concat(whole, F.col("ranges")))
             .groupBy(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"))
-            .agg(F.max("taken").alias("mix_taken")))
+            .agg(F.max(F.struct("taken", "pieces"))["pieces"].alias("mix_pieces")))
     sized = df.withColumn("mix_words", word_count(df[text_col]))
     joined = sized.join(took, sized[id_col].eqNullSafe(took["mix_id"]) & (sized["mix_words"] == took["mix_size"])
                         & sized["source"].eqNullSafe(took["mix_source"]))
-    whole = F.array_repeat(F.col("mix_words"), F.floor(F.col("mix_taken") / F.col("mix_words")).cast("int"))
-    rest = F.col("mix_taken") % F.col("mix_words")
-    pieces = F.concat(whole, F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all(text_col, F.lit(WORD_PATTERN), 0), 1, F.col("mix_piece").cast("int")))
-    text = F.when(F.col("mix_piece") == F.col("mix_words"), F.col(text_col)).otherwise(cut)
+    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all(text_col, F.lit(WORD_PATTERN), 0),
+                                   (F.col("mix_piece.start") + 1).cast("int"), F.col("mix_piece.length").cast("int")))
+    text = F.when(F.col("mix_piece.length") == F.col("mix_words"), F.col(text_col)).otherwise(cut)
     columns = [text.alias(c) if c == text_col else F.char_length(text).cast("long").alias(c) if c == "n_chars" else F.col(c)
                for c in df.columns]
-    return joined.withColumn("mix_piece", F.explode(pieces)).select(*columns)
+    return joined.withColumn("mix_piece", F.explode("mix_pieces")).select(*columns)

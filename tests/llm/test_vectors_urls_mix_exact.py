@@ -228,6 +228,26 @@ def test_apply_mix(spark):
     assert got == [(1, "a b", "s", 3), (1, "a b c", "s", 5), (3, "f", None, 1), (3, "f", None, 1)]
 
 
+def test_apply_mix_emits_the_selected_words(spark):
+    """One long document in a shard by itself: what is emitted depends on the seed, its end too."""
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(words), "a", 0), (2, " ".join(words), "b", 0), (3, " ".join(f"v{i}" for i in range(40)), "b", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    starts = set()
+    for seed in range(3):
+        mixed = mixing.mix_sources(docs, weights=(1, 1), share=0.5, seed=seed).collect()
+        got = sorted((r.doc_id, r.text) for r in mixing.apply_mix(docs, spark.createDataFrame(mixed, mixing.mix_sources(docs).schema)).collect())
+        want = []
+        for r in mixed:
+            own = rows[r.doc_id - 1][1]
+            assert sum(p.length for p in r.ranges) == r.taken % r.size
+            want += [(r.doc_id, own)] * (r.taken // r.size)
+            want += [(r.doc_id, " ".join(own.split()[p.start:p.start + p.length])) for p in r.ranges]
+            starts |= {p.start for p in r.ranges}
+        assert got == sorted(want)
+    assert max(starts) > 0
+
+
 # --- exact dedup ---------------------------------------------------------------------------------------
 
 def brute_exact(rows):
