@@ -205,26 +205,33 @@ def _beyond_chance(in_toxic, in_clean, share):
     return (surprise > math.log(max(2, (in_toxic >= 2).sum())) + 1) & (in_toxic > 0.9 * total)
 
 
-def _copy_groups(words: np.ndarray, first: np.ndarray, rounds: int = 8) -> np.ndarray:
-    """The group of each document, named by a member: documents that share the smallest hash of
-    their runs of four words by one of several hashes, as near copies do and others hardly ever."""
-    n = len(first) - 1
-    padded = np.append(words, np.zeros(3, dtype=np.uint64))
-    runs = mix64(padded[:-3] + mix64(padded[1:-2] + mix64(padded[2:-1] + mix64(padded[3:]))))
-    group = np.arange(n)
-    some = np.flatnonzero(np.diff(first))
+def _copy_groups(words: np.ndarray, first: np.ndarray, rounds: int = 64, alike: float = 0.8) -> np.ndarray:
+    """The group of each document, named by its first member: a document joins the group whose
+    first member agrees with it in most of the smallest hashes of their runs of four words, if
+    that share (an estimate of the share of runs they have in common) is at least ``alike``."""
+    counts = np.diff(first)
+    left = np.repeat(first[1:], counts) - np.arange(len(words))  # words up to the document's end
+    runs = np.zeros(len(words), dtype=np.uint64)
+    for k in range(3, -1, -1):
+        moved = np.append(words[k:], np.zeros(min(k, len(words)), dtype=np.uint64))
+        runs = mix64(np.where(left > k, moved, np.uint64(0)) + runs)
+    group = np.arange(len(counts))
+    some = np.flatnonzero(counts)
     if not len(some):
         return group
-    least = np.stack([np.minimum.reduceat(mix64(runs + np.uint64(k)), first[some]) for k in range(rounds)])
-    while True:
-        before = group.copy()
-        for row in least:
-            _, name = np.unique(row, return_inverse=True)
-            low = np.full(int(name.max()) + 1, n)
-            np.minimum.at(low, name, group[some])
-            group[some] = low[name]
-        if (group == before).all():
-            return group
+    least = np.stack([np.minimum.reduceat(mix64(runs + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))), first[some])
+                      for k in range(rounds)], 1)
+    leads, n_leads = np.empty_like(least), 0
+    names = np.empty(len(some), dtype=np.int64)
+    for doc, signature in zip(some, least, strict=True):
+        same = (leads[:n_leads] == signature).sum(1)
+        best = int(same.argmax()) if n_leads else -1
+        if n_leads and same[best] >= alike * rounds:
+            group[doc] = names[best]
+        else:
+            leads[n_leads], names[n_leads] = signature, doc
+            n_leads += 1
+    return group
 
 
 def _train_chain(model: Field, known, labels, segments, rounds, rate):
@@ -303,7 +310,9 @@ def training_documents(docs: DataFrame, labels: DataFrame, train: Column, id_col
     for label, n in counts.items():
         limit = F.when(F.col("label") == label, F.lit(min(steps, steps * fit_docs // n))).otherwise(limit)
     ids = ids.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(steps)) < limit)
-    place = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.greatest(F.lit(1), F.char_length(text_col) - FIT_EXCERPT)).cast("int") + 1
+    # The same share of the length for texts that begin alike, so that copies have like excerpts.
+    share = F.pmod(F.xxhash64(F.lit(seed), F.substr(F.col(text_col), F.lit(1), F.lit(64))), F.lit(steps)) / steps
+    place = F.floor(share * F.greatest(F.lit(1), F.char_length(text_col) - FIT_EXCERPT)).cast("int") + 1
     rows = (docs.join(F.broadcast(ids), docs[id_col].cast("long") == ids["id"])
             .groupBy("id", "label").agg(F.min(F.substr(F.coalesce(F.col(text_col), F.lit("")), place, F.lit(FIT_EXCERPT))).alias("excerpt"))
             .orderBy(F.xxhash64(F.lit(seed + 1), "id")).collect())

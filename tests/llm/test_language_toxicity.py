@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +125,26 @@ def test_toxic_documents_and_spans(spark):
     assert toxicity.fit(["a", "b"], [1, 1]) is None and toxicity.fit([], []) is None
 
 
+def test_a_passage_in_all_documents_does_not_make_them_copies():
+    texts, labels = synthetic(400, 1)
+    passage = " ".join(f"passage{i}" for i in range(40))
+    shared = [f"{passage} {t}" for t in texts]
+    more, more_labels = synthetic(300, 2)
+    model = toxicity.fit(shared, labels)
+    assert model is not None
+    scores, _ = toxicity.score_texts(pa.array([f"{passage} {t}" for t in more]), model)
+    assert np.mean((scores >= 0.5) == np.array(more_labels, dtype=bool)) > 0.95
+    long = [t for t in texts if len(t.split()) > 40]
+
+    def groups(texts):
+        features, _, _, first = toxicity.token_features(*toxicity.text_buffer(pa.array(texts)))
+        return toxicity._copy_groups(features[:, 0], first).tolist()
+    assert groups([f"{passage} {t}" for t in long]) == list(range(len(long)))
+    # Copies, near copies and documents of few words; what follows a document doesn't count.
+    near = [long[0], "a b", long[1], long[0] + " more", "a b", "", "a c", long[1], "a"]
+    assert groups(near) == [0, 1, 2, 0, 1, 5, 6, 2, 8]
+
+
 def test_fit_is_repeatable_and_ignores_held_out_labels(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     labels = spark.read.parquet(f"{SF001}/labels.parquet")
