@@ -299,8 +299,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                        radius: int = 4, seed: int = 42, bucket_rows: int = 1 << 15) -> DataFrame:
-    """One row per input row: ``doc_id, key_text, fp, component_id``, the smallest id among all rows that
-    links of at most ``radius`` differing bits reach (the row itself included).
+    """One row per input row: ``doc_id, key_text, fp, root, component_id``, the smallest fingerprint and the
+    smallest id among all rows that links of at most ``radius`` differing bits reach (the row itself included).
 
     Equal fingerprints are one node, so copies cost nothing; null and empty texts share the
     fingerprint zero, which links like any other. A null id never names a component unless all
@@ -312,18 +312,18 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = (nodes.join(found, nodes["fp"] == found["node"], "left")
              .select("fp", "low_id", F.coalesce("root", "fp").alias("root")))
     smallest = named.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    of_fp = named.join(smallest, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "key_text", "fp", "component_id")
+    of_fp = named.join(smallest, "root").select("fp", "root", "component_id")
+    return rows.join(of_fp, "fp").select("doc_id", "key_text", "fp", "root", "component_id")
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row of ``df`` per component, with all its columns: the one with the smallest id, then
     the smallest text hash; of rows repeated in id and text one."""
     rows = simhash_components(df, id_col, text_col, **how)
-    # Without any id a component is told by its fingerprints; they lie apart from all others.
+    # A component is told by its root: an id may occur in several components, or in none.
     first = (rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy(F.col("component_id").alias("_id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("_fp"))
-             .agg(F.min("key_text").alias("_text")).select("_id", "_text").distinct())
+             .groupBy("root", F.col("component_id").alias("_id"))
+             .agg(F.min("key_text").alias("_text")).select("_id", "_text"))
     keyed = df.withColumns({"_id": df[id_col].cast("long"), "_text": F.xxhash64(df[text_col].cast("string"))})
     same = keyed["_id"].eqNullSafe(first["_id"]) & (keyed["_text"] == first["_text"])
     return keyed.join(first, same, "left_semi").dropDuplicates(["_id", "_text"]).select(*df.columns)

@@ -91,3 +91,10 @@ def test_documents_match_brute_force(spark):
     prints = [brute_fingerprint(t) for _, t in texts]
     want = {i: (f"{p:016x}", texts[g][0]) for (i, _), p, g in zip(texts, prints, brute_components(prints, 4), strict=True)}
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()} == want
+
+
+def test_keep_first_tells_components_apart_that_share_an_id(spark):
+    rows = [(1, "a b c d e"), (1, "quite another text of words"), (2, "A b c d E"), (None, "only null"), (None, "x y z"), (None, "x y z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in simhash.keep_first(df).collect()]
+    assert sorted(got, key=repr) == sorted({rows[0], rows[1], rows[3], rows[4]}, key=repr)
