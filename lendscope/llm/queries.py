@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscope.llm import exact_dedup, hnsw, language_id, mixing, packing, simhash, substring_dedup, tokens, toxicity, url_filter
+from lendscope.llm import exact_dedup, hnsw, language_id, mixing, packing, resampling, simhash, substring_dedup, tokens, toxicity, url_filter
 from lendscope.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op10_exact_dedup", exact_dedup.ORACLE)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@_register("op13_importance_resample")
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
