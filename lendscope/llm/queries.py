@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscope.llm import exact_dedup, hnsw, language_id, mixing, packing, resampling, simhash, substring_dedup, tokens, toxicity, url_filter
+from lendscope.llm import (
+    exact_dedup, hnsw, language_id, minhash, mixing, packing, resampling, simhash, substring_dedup, tokens, toxicity, url_filter,
+    vector_codes,
+)
 from lendscope.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +88,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+@_register("op11_minhash_dedup")
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_components(read_table(spark, sf_dir, "documents"))
+
+
+@_register("op12_vector_codes", vector_codes.ORACLE)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(read_table(spark, sf_dir, "embeddings"))
+
+
 @_register("op13_importance_resample")
 def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
