@@ -10,8 +10,10 @@ Equal sets are one node. In a bucket every node is a candidate only with the buc
 node with most company in all its buckets (a text that its copies derive from comes first): a star,
 so a bucket of n nodes gives n - 1 pairs. Pairs are confirmed on the full sets. A bucket whose nodes
 are then still in different components gets further stars around other centres, as long as that
-settles a good part of them; what remains is compared by signatures, tile by tile, where pairs of different
-components that agree in enough bins are confirmed as well. No bucket is capped.
+settles a good part of them. What remains is compared tile by tile: signatures tell which rows have a
+likely partner in another component, and these rows' full sets are compared all at once, by products
+of incidence matrices; a task returns a spanning forest of the links, never the pairs. No bucket is
+capped.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.llm.common import SpanHasher, doc_key, materialize, mix64, slices, text_buffer, word_spans
-from lendscope.llm.simhash import components
+from lendscope.llm.simhash import _join, components
 
 BINS = 256
 BAND_BINS = 6
@@ -179,38 +181,84 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(common * 100 >= (F.col("an") + F.col("bn") - common) * percent).select("a", "b"))
 
 
-def _tile_pairs(dealt: DataFrame, agree: int, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket whose signatures agree in ``agree`` bins or more
-    and whose sizes can link. Partitions hold whole buckets ``bucket, key, root, n, sig``, sorted."""
-    def compare(rows):
-        n = rows["n"].to_numpy()
-        root, key = rows["root"].to_pylist(), rows["key"].to_pylist()
-        names = {r: i for i, r in enumerate(dict.fromkeys(root))}
-        group = np.array([names[r] for r in root])
-        sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), dtype=np.uint8).reshape(-1, BINS)
-        for i in range(len(n) - 1):
-            may = np.flatnonzero((group[i + 1:] != group[i]) & (np.minimum(n[i + 1:], n[i]) * 100 >= np.maximum(n[i + 1:], n[i]) * percent)) + i + 1
-            for j in may[(sig[may] == sig[i]).sum(1) >= agree].tolist():
-                yield min(key[i], key[j]), max(key[i], key[j])
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one ``bucket`` at a time, of partitions that hold whole buckets, sorted."""
+    held = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        held = part if held is None else pa.concat_tables([held, part])
+        bucket = held["bucket"].to_numpy()
+        edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield held.slice(lo, hi - lo)
+        held = held.slice(int(edges[-1]))  # the last bucket may go on
+    if held is not None and held.num_rows:
+        yield held
 
+
+def _groups(root: pa.ChunkedArray) -> np.ndarray:
+    """A number for each component."""
+    return root.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _sizes_fit(n: np.ndarray, m, percent: int) -> np.ndarray:
+    return np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
+
+
+def _with_likely_partner(dealt: DataFrame, agree: int, percent: int) -> DataFrame:
+    """The rows ``bucket, key, root`` that have a partner in their bucket: another component, a size
+    that can link, and a signature that agrees in ``agree`` bins or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(rows, lo, hi):
-            found = list(compare(rows.slice(lo, hi - lo)))
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.binary()), pa.array([p[1] for p in found], pa.binary())], names=["a", "b"])
-
-        held = None
-        for batch in batches:
-            part = pa.Table.from_batches([batch])
-            held = part if held is None else pa.concat_tables([held, part])
-            bucket = held["bucket"].to_numpy()
-            edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                yield emit(held, lo, hi)
-            held = held.slice(int(edges[-1]))  # the last bucket may go on
-        if held is not None and held.num_rows:
-            yield emit(held, 0, held.num_rows)
+        for rows in _whole_buckets(batches):
+            n, group = rows["n"].to_numpy(), _groups(rows["root"])
+            sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), dtype=np.uint8).reshape(-1, BINS)
+            hit = np.zeros(len(n), dtype=bool)
+            for i in range(len(n) - 1):
+                may = np.flatnonzero((group[i + 1:] != group[i]) & _sizes_fit(n[i + 1:], n[i], percent)) + i + 1
+                near = may[(sig[may] == sig[i]).sum(1) >= agree]
+                hit[near] = True
+                hit[i] |= len(near) > 0
+            if hit.any():
+                yield from rows.select(["bucket", "key", "root"]).filter(pa.array(hit)).combine_chunks().to_batches()
 
     return (dealt.repartition("bucket").sortWithinPartitions("bucket").select("bucket", "key", "root", "n", "sig")
+            .mapInArrow(run, "bucket long, key binary, root binary"))
+
+
+def common_counts(hashes: np.ndarray, counts: np.ndarray, at_once: int = 4096) -> np.ndarray:
+    """How many hashes every two of the sets share: products of blocks of the incidence matrix."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    _, place, often = np.unique(hashes, return_inverse=True, return_counts=True)
+    shared = often[place] > 1
+    owner, place = owner[shared], (np.cumsum(often > 1) - 1)[place[shared]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((len(counts), len(counts)), dtype=np.float32 if counts.max(initial=0) < 1 << 24 else np.float64)
+    for lo in range(0, int(place[-1]) + 1 if len(place) else 0, at_once):
+        some = slice(*np.searchsorted(place, [lo, lo + at_once]))
+        incidence = np.zeros((len(counts), at_once), dtype=total.dtype)
+        incidence[owner[some], place[some] - lo] = 1
+        total += incidence @ incidence.T
+    return total
+
+
+def _bucket_links(dealt: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between rows ``bucket, key, root, n, hashes`` of a bucket and different
+    components, on the full sets: a spanning forest, at most one link a row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_buckets(batches):
+            sets = rows["hashes"].combine_chunks()
+            n, group, key = rows["n"].to_numpy(), _groups(rows["root"]), rows["key"].to_pylist()
+            common = common_counts(sets.flatten().to_numpy(zero_copy_only=False), n)
+            linked = common * 100 >= (n[:, None] + n[None, :] - common) * percent
+            linked &= group[:, None] != group[None, :]
+            label = _join(np.arange(len(n)), *np.nonzero(np.triu(linked)))
+            moved = np.flatnonzero(label != np.arange(len(n)))
+            if len(moved):
+                yield pa.RecordBatch.from_arrays([pa.array([key[i] for i in label[moved]], pa.binary()), pa.array([key[i] for i in moved], pa.binary())],
+                                                 names=["a", "b"])
+
+    return (dealt.repartition("bucket").sortWithinPartitions("bucket").select("bucket", "key", "root", "n", "hashes")
             .mapInArrow(run, "a binary, b binary"))
 
 
@@ -226,7 +274,7 @@ def _tiles(rest: DataFrame, tile_rows: int) -> DataFrame:
             .select("bucket", "key", "root", "n", "sig"))
 
 
-def near_components(nodes: DataFrame, sets, percent: int = PERCENT, tile_rows: int = 2048) -> DataFrame | None:
+def near_components(nodes: DataFrame, sets, percent: int = PERCENT, tile_rows: int = 1024) -> DataFrame | None:
     """``node, root`` of all nodes ``key, n, bands, sig`` that have confirmed links; ``sets`` gives
     the full sets of the keys asked for. ``None`` if nothing is linked."""
     dealt = nodes.select("key", "n", F.explode("bands").alias("bucket"))
@@ -260,15 +308,15 @@ def near_components(nodes: DataFrame, sets, percent: int = PERCENT, tile_rows: i
         share = percent / 100
         agree = int(BINS * (share - 6 * (share * (1 - share) / BINS) ** 0.5))
         rest = _tiles(members.join(nodes.select("key", "sig"), "key"), tile_rows)
-        more = materialize(_tile_pairs(rest, agree, percent).distinct(), "minhash-tiles")
-        confirmed = materialize(_confirmed(more, full, percent), "minhash-links")
-        if not confirmed.isEmpty():
-            found = components(confirmed if links is None else links.unionByName(confirmed))
+        likely = materialize(_with_likely_partner(rest, agree, percent), "minhash-tiles")
+        more = materialize(_bucket_links(likely.join(full, "key"), percent), "minhash-links")
+        if not more.isEmpty():
+            found = components(more if links is None else links.unionByName(more))
     return found
 
 
 def minhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                       percent: int = PERCENT, tile_rows: int = 2048) -> DataFrame:
+                       percent: int = PERCENT, tile_rows: int = 1024) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
     ``component_id`` is the smallest id that links of ``100 * intersection >= percent * union`` of

@@ -103,7 +103,7 @@ def corpus(seed):
     rng = random.Random(seed)
     fresh = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
     docs = []
-    for size, edits in ((300, 5), (120, 2), (60, 1)):
+    for size, edits in ((300, 5), (300, 9), (120, 2), (60, 1)):
         hub = fresh(size)
         docs += [hub] + [edited(rng, hub, edits) for _ in range(25)]
     step = fresh(200)
@@ -142,3 +142,22 @@ def test_a_long_text(spark):
     words = [f"v{rng.randrange(10 ** 6)}" for _ in range(300_000)]
     docs = [(1, " ".join(words)), (2, " ".join(words[:-40_000])), (3, " ".join(words[:150_000])), (4, " ".join(words[100:]))]
     assert got(minhash.minhash_components(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40))).astype(np.uint64) for _ in range(20)]
+    got_counts = minhash.common_counts(np.concatenate(sets), np.array([len(s) for s in sets]), at_once=7)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j:
+                assert got_counts[i, j] == len(np.intersect1d(a, b))
+
+
+def test_a_group_of_near_copies_that_hardly_link(spark):
+    """Copies of a lost original: similar enough to share buckets, but most pairs are below the threshold."""
+    rng = random.Random(8)
+    original = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    docs = [(i, " ".join(edited(rng, original, rng.choice([2, 3, 3, 3])))) for i in range(120)]
+    for rows in (docs, docs[:3]):
+        assert got(minhash.minhash_components(spark.createDataFrame(rows, "doc_id long, text string"), tile_rows=40)) == brute(rows)
