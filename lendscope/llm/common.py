@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.session import materialize
 
-__all__ = ["ASCII_SPACE", "WORD_PATTERN", "SpanHasher", "doc_key", "materialize", "mix64", "slices", "text_buffer", "word_spans"]
+__all__ = ["ASCII_SPACE", "WORD_PATTERN", "SpanHasher", "doc_key", "fresh_names", "materialize", "mix64", "slices", "text_buffer", "word_spans"]
 
 #: The six ASCII characters that separate words, ``[\x20\x09-\x0D]``.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -114,6 +114,17 @@ class SpanHasher:
         return mix64((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
 
+def fresh_names(df: DataFrame, *stems: str) -> list[str]:
+    """Column names that ``df`` does not have yet (whatever their case), one for each stem."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem = "_" + stem
+        taken.add(stem.lower())
+        out.append(stem)
+    return out
+
+
 def doc_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     """Two columns that tell rows apart: the id (null as the smallest long) and a hash of the
     text. Rows that agree in both are repeats of each other and get the same answers."""

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import WORD_PATTERN, materialize
+from lendscope.llm.common import WORD_PATTERN, fresh_names, materialize
 
 #: Fixed values of the registered mix: weights of the sources by code point, repeating.
 MIX_WEIGHTS = (5, 2, 1)
@@ -140,54 +140,53 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             .groupBy("source").applyInPandas(per_shard, "source string, shard long, source_size long, target double, quota long"))
     plan = materialize(plan, "mix-plan")
 
-    def select(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["place", "doc_id", "size"], ignore_index=True)
-        size = pdf["size"].to_numpy()
-        ends = np.cumsum(size)
-        starts, length = ends - size, int(ends[-1]) if len(ends) else 0
-        take = int(pdf["quota"].iloc[0])
-        taken, ranges = np.zeros(len(pdf), dtype=np.int64), [[] for _ in range(len(pdf))]
-        if length:
-            passes, rest = divmod(take, length)
-            first = int(pdf["turn"].iloc[0]) % length
-            last = first + rest
-            runs = ((first, min(last, length)), (0, last - length))
-            within = lambda lo, hi: np.clip(np.minimum(ends, hi) - np.maximum(starts, lo), 0, None)
-            parts = [within(lo, hi) for lo, hi in runs]
-            taken = passes * size + parts[0] + parts[1]
-            for i in np.flatnonzero(taken % np.maximum(size, 1)):
-                ranges[i] = [{"start": int(max(lo - starts[i], 0)), "length": int(n[i])}
-                             for (lo, _), n in zip(runs, parts, strict=True) if n[i]]
-        return pdf.assign(taken=taken, ranges=ranges)[["doc_id", "source", "size", "source_size", "target", "taken", "ranges"]]
-
     joined = (salted.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))
                                      & (F.col("d.shard") == F.col("p.shard")))
               .select("d.doc_id", "d.source", "d.size", "d.shard", "source_size", "target", "quota",
                       F.xxhash64(F.lit(seed + 1), "d.doc_id").alias("place"),
                       F.pmod(F.xxhash64(F.lit(seed + 2), "d.source", "d.shard"), F.lit(1 << 40)).alias("turn")))
-    return joined.groupBy("source", "shard").applyInPandas(
-        select, "doc_id long, source string, size long, source_size long, target double, taken long, "
-        "ranges array<struct<start:long,length:long>>")
-
-
-def apply_mix(df: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    # A shard's documents as one stream of words: where each begins and ends, by a window per shard.
+    shard = Window.partitionBy("source", "shard")
+    ends = F.sum("size").over(shard.orderBy("place", F.asc_nulls_last("doc_id"), "size").rowsBetween(Window.unboundedPreceding, 0))
+    laid = joined.withColumns({"begin": ends - F.col("size"), "end": ends, "length": F.sum("size").over(shard)}).where("size > 0")
+    rest, first = F.col("quota") % F.col("length"), F.col("turn") % F.col("length")
+    laid = laid.withColumns({"passes": F.floor(F.col("quota") / F.col("length")), "first": first, "last": first + rest})
+    # The selection from ``first`` on, and what of it goes on from the start of the stream.
+    ahead = F.greatest(F.least("end", "last", "length") - F.greatest("begin", "first"), F.lit(0))
+    around = F.greatest(F.least(F.col("end"), F.col("last") - F.col("length")) - F.col("begin"), F.lit(0))
+    laid = laid.withColumns({"ahead": ahead, "around": around}).withColumn("taken", F.expr("passes * size + ahead + around"))
+    runs = F.array(F.struct(F.greatest(F.col("first") - F.col("begin"), F.lit(0)).alias("start"), F.col("ahead").alias("length")),
+                   F.struct(F.lit(0).cast("long").alias("start"), F.col("around").alias("length")))
+    partly = F.when(F.col("taken") % F.col("size") != 0, F.filter(runs, lambda r: r["length"] > 0))
+    given = ["doc_id", "source", "size", "source_size", "target"]
+    nothing = F.array().cast("array<struct<start:long,length:long>>")
+    taken = laid.select(*given, F.col("taken").cast("long").alias("taken"), F.coalesce(partly, nothing).alias("ranges"))
+    return taken.unionByName(joined.where("size = 0").select(*given, F.lit(0).cast("long").alias("taken"), nothing.alias("ranges")))
+
+
+def apply_mix(df: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``df`` as the mix takes them: a whole pass over a document gives one row with
     its whole text, what is taken beyond that gives a row for each range of its words (without
-    ``ranges``, its first words); what is not taken gives none. A document without words has
-    nothing to take and goes."""
+    ``ranges``, its first words); what is not taken gives none. A document without words (null or
+    empty text too) has nothing to take and goes. Rows that agree in id, source and number of words
+    are taken alike, as the one of them that the mix takes most of, null ids among them; a text is
+    cut as a whole, however long. Columns of any name keep their values, ``n_chars`` is counted anew.
+    An empty table gives no rows."""
+    key, source, size, pieces, words, piece = fresh_names(df, "mix_id", "mix_source", "mix_size", "mix_pieces", "mix_words", "mix_piece")
     if "ranges" not in mixed.columns:
         mixed = mixed.withColumn("ranges", F.expr("IF(taken % size > 0, ARRAY(NAMED_STRUCT('start', 0L, 'length', taken % size)), ARRAY())"))
     whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("length")),
                            F.floor(F.col("taken") / F.col("size")).cast("int"))
     took = (mixed.where("taken > 0").withColumn("pieces", F.concat(whole, F.col("ranges")))
-            .groupBy(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"))
-            .agg(F.max(F.struct("taken", "pieces"))["pieces"].alias("mix_pieces")))
-    sized = df.withColumn("mix_words", word_count(df[text_col]))
-    joined = sized.join(took, sized[id_col].eqNullSafe(took["mix_id"]) & (sized["mix_words"] == took["mix_size"])
-                        & sized["source"].eqNullSafe(took["mix_source"]))
+            .groupBy(F.col("doc_id").alias(key), F.col("source").alias(source), F.col("size").alias(size))
+            .agg(F.max(F.struct("taken", "pieces"))["pieces"].alias(pieces)))
+    sized = df.withColumn(words, word_count(df[text_col].cast("string")))
+    joined = sized.join(took, sized[id_col].cast("long").eqNullSafe(took[key]) & (sized[words] == took[size])
+                        & sized[source_col].cast("string").eqNullSafe(took[source]))
+    at = F.col(piece)
     cut = F.concat_ws(" ", F.slice(F.regexp_extract_all(text_col, F.lit(WORD_PATTERN), 0),
-                                   (F.col("mix_piece.start") + 1).cast("int"), F.col("mix_piece.length").cast("int")))
-    text = F.when(F.col("mix_piece.length") == F.col("mix_words"), F.col(text_col)).otherwise(cut)
+                                   (at["start"] + 1).cast("int"), at["length"].cast("int")))
+    text = F.when(at["length"] == F.col(words), F.col(text_col)).otherwise(cut)
     columns = [text.alias(c) if c == text_col else F.char_length(text).cast("long").alias(c) if c == "n_chars" else F.col(c)
                for c in df.columns]
-    return joined.withColumn("mix_piece", F.explode("mix_pieces")).select(*columns)
+    return joined.withColumn(piece, F.explode(pieces)).select(*columns)
