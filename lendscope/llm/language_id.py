@@ -79,17 +79,24 @@ def suffix_automaton(sequence: list[int]) -> list[dict[int, int]]:
     return edges
 
 
+def _has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
+
+
 class Model:
-    """One automaton per language, as tables over a common alphabet."""
+    """One automaton per language with letters in its sample, as tables over a common alphabet."""
 
     def __init__(self, samples: dict[str, str]):
-        self.languages = sorted(samples)
+        self.languages = sorted(lang for lang, sample in samples.items() if _has_letter(sample))
         parts = {lang: symbols(samples[lang]) for lang in self.languages}
         alphabet = np.unique(np.concatenate([np.array([32], dtype=np.uint32), *parts.values()]))
         self.classes = np.zeros(0x110000, dtype=np.uint16)  # class 0: never seen in training
         self.classes[alphabet] = np.arange(1, len(alphabet) + 1)
         self.width = len(alphabet) + 1
-        self.tables, self.bits = [], []
+        # A symbol that a language never saw is spelled out in the common alphabet, so that a language of a
+        # few symbols, whose phrases cost few bits, does not describe foreign text as a run of them.
+        spelled = math.log2(self.width)
+        self.tables, self.bits, self.more_if_unknown, self.seen = [], [], [], []
         for lang in self.languages:
             edges = suffix_automaton(self.classes[parts[lang]].tolist())
             # Entry: next state times width, and in the lowest bit whether a phrase ends before the
@@ -107,6 +114,10 @@ class Model:
                 table = table.astype(np.int32)
             self.tables.append(table.ravel())
             self.bits.append(math.log2(max(2, len(parts[lang]))))
+            self.more_if_unknown.append(max(0.0, spelled - self.bits[-1]))
+            seen = np.zeros(self.width, dtype=bool)
+            seen[list(edges[0])] = True
+            self.seen.append(seen)
 
     def phrases(self, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases per (piece, language). ``classes``: positions by pieces, padded; a phrase
@@ -131,7 +142,7 @@ class Model:
         """(bits per symbol for each text and language, whether the text has a letter)."""
         coded = [self.classes[symbols(t)] if t else np.zeros(0, np.uint16) for t in texts]
         sizes = np.array([len(c) for c in coded], dtype=np.int64)
-        has_letter = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
+        has_letter = np.array([_has_letter(t) for t in texts], dtype=bool)
         pieces = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(texts)), pieces)
         total = np.zeros((len(texts), len(self.languages)))
@@ -143,7 +154,11 @@ class Model:
             place = np.arange(len(owner)) - first[owner]
             lengths = np.minimum(BLOCK, sizes[owner] - place * BLOCK)
             np.add.at(total, owner, self.phrases(flat.reshape(-1, BLOCK).T, lengths))
-        return total * np.array(self.bits) / np.maximum(sizes, 1)[:, None], has_letter
+        bits = total * np.array(self.bits)
+        for k in np.flatnonzero(self.more_if_unknown):  # languages of few training symbols only
+            unknown = np.array([np.count_nonzero(~self.seen[k][c]) for c in coded])
+            bits[:, k] += unknown * self.more_if_unknown[k]
+        return bits / np.maximum(sizes, 1)[:, None], has_letter
 
 
 def _model(samples: dict[str, str]) -> Model:
@@ -162,8 +177,9 @@ def training_samples(df: DataFrame, train: Column, id_col: str, text_col: str, l
     are fewer), so their list is bounded by the languages and broadcast."""
 
     wanted = max(1, 4 * train_chars // EXCERPT_CHARS)
-    labelled = df.where(train & df[lang_col].isNotNull() & df[text_col].isNotNull())
-    keys = labelled.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"))
+    labelled = (df.where(train & df[lang_col].isNotNull() & df[text_col].isNotNull())
+                .select(df[id_col].cast("long").alias("of"), df[lang_col].alias("its_lang"), df[text_col].cast("string").alias("text")))
+    keys = labelled.select(F.col("of").alias("id"), F.col("its_lang").alias("lang"))
     # A threshold on the hash of the id by language, from its count: no ranking of all rows. The
     # counts are one row per language, of which the driver holds a whole sample anyway.
     steps = 1 << 30
@@ -173,11 +189,10 @@ def training_samples(df: DataFrame, train: Column, id_col: str, text_col: str, l
     limits = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(steps, steps * wanted // n))])
     chosen = (keys.withColumn("rank", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(steps)))
               .where(F.col("rank") < F.element_at(limits, F.col("lang"))).distinct())
-    place = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_col).cast("long")),
-                   F.greatest(F.lit(1), F.char_length(text_col) - EXCERPT_CHARS)).cast("int") + 1
-    excerpts = (labelled.join(F.broadcast(chosen), labelled[id_col].cast("long").eqNullSafe(chosen["id"])
-                              & (labelled[lang_col] == chosen["lang"]))
-                .select(chosen["lang"], "rank", F.substr(F.col(text_col), place, F.lit(EXCERPT_CHARS)).alias("excerpt"))
+    place = F.pmod(F.xxhash64(F.lit(seed + 1), "of"),
+                   F.greatest(F.lit(1), F.char_length("text") - EXCERPT_CHARS)).cast("int") + 1
+    excerpts = (labelled.join(F.broadcast(chosen), F.col("of").eqNullSafe(F.col("id")) & (F.col("its_lang") == F.col("lang")))
+                .select("lang", "rank", F.substr(F.col("text"), place, F.lit(EXCERPT_CHARS)).alias("excerpt"))
                 .groupBy("lang", "rank").agg(F.min("excerpt").alias("excerpt")))  # one of repeated rows
     samples: dict[str, list[str]] = {}
     for row in excerpts.orderBy("lang", "rank").collect():
@@ -191,12 +206,13 @@ def identify(df: DataFrame, samples: dict[str, str], id_col: str = "doc_id", tex
     """One row per input row: ``doc_id, lang_pred, score, bits_per_symbol``.
 
     ``lang_pred`` is the language of ``samples`` with the fewest normalised phrases (ties: the
-    first by name), ``und`` for null texts, texts without letters, or no samples at all.
+    first by name), ``und`` for null texts, texts without letters, or no samples at all. A label
+    whose sample has no letter is never predicted.
     ``score`` is its share of the inverse phrase rates, 0 for ``und``. Whole texts are parsed.
     Repeated rows and null ids keep one row each; an empty table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(samples) if samples else None
+        model = _model(samples) if any(map(_has_letter, samples.values())) else None
         for batch in slices(batches, max_bytes=1 << 20):
             n = batch.num_rows
             langs, scores, rates = [UNKNOWN] * n, np.zeros(n), np.zeros(n)
