@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import ASCII_SPACE, materialize
+from lendscope.llm.common import ASCII_SPACE, fresh_names, materialize
 
 
 def normalized(text) -> F.Column:
@@ -35,13 +35,15 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``df`` that ``exact_dedup`` keeps, with all their columns; of rows repeated in
-    id and text one."""
+    id and text one. Null, empty and very long texts as in ``exact_dedup``; columns of any name keep
+    their values."""
+    sha, key, cp = fresh_names(df, "_sha", "_id", "_cp")
     kept = (decide(df, id_col, text_col, **how).where("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("n_cp").alias("_cp"), F.col("text_sha256").alias("_sha")))
-    rows = df.withColumns({"_sha": F.sha2(normalized(df[text_col]), 256), "_id": df[id_col].cast("long"),
-                           "_cp": F.char_length(F.coalesce(df[text_col].cast("string"), F.lit("")))})
-    same = (rows["_sha"] == kept["_sha"]) & rows["_id"].eqNullSafe(kept["_id"]) & (rows["_cp"] == kept["_cp"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["_sha", "_id", "_cp"]).select(*df.columns)
+            .select(F.col("doc_id").alias(key), F.col("n_cp").alias(cp), F.col("text_sha256").alias(sha)))
+    rows = df.withColumns({sha: F.sha2(normalized(df[text_col]), 256), key: df[id_col].cast("long"),
+                           cp: F.char_length(F.coalesce(df[text_col].cast("string"), F.lit("")))})
+    same = (rows[sha] == kept[sha]) & rows[key].eqNullSafe(kept[key]) & (rows[cp] == kept[cp])
+    return rows.join(kept, same, "left_semi").dropDuplicates([sha, key, cp]).select(*df.columns)
 
 
 def decide(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 1 / 1024) -> DataFrame:

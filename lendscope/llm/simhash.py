@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import materialize, slices
+from lendscope.llm.common import fresh_names, materialize, slices
 
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -318,15 +318,17 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row of ``df`` per component, with all its columns: the one with the smallest id, then
-    the smallest text hash; of rows repeated in id and text one."""
+    the smallest text hash; of rows repeated in id and text one. Null, empty and very long texts as
+    in ``simhash_components``; columns of any name keep their values."""
+    key, text = fresh_names(df, "_id", "_text")
     rows = simhash_components(df, id_col, text_col, **how)
     # A component is told by its root: an id may occur in several components, or in none.
     first = (rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy("root", F.col("component_id").alias("_id"))
-             .agg(F.min("key_text").alias("_text")).select("_id", "_text"))
-    keyed = df.withColumns({"_id": df[id_col].cast("long"), "_text": F.xxhash64(df[text_col].cast("string"))})
-    same = keyed["_id"].eqNullSafe(first["_id"]) & (keyed["_text"] == first["_text"])
-    return keyed.join(first, same, "left_semi").dropDuplicates(["_id", "_text"]).select(*df.columns)
+             .groupBy("root", F.col("component_id").alias(key))
+             .agg(F.min("key_text").alias(text)).select(key, text))
+    keyed = df.withColumns({key: df[id_col].cast("long"), text: F.xxhash64(df[text_col].cast("string"))})
+    same = keyed[key].eqNullSafe(first[key]) & (keyed[text] == first[text])
+    return keyed.join(first, same, "left_semi").dropDuplicates([key, text]).select(*df.columns)
 
 
 def near_duplicates(df: DataFrame, **how) -> DataFrame:

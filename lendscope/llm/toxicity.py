@@ -301,8 +301,9 @@ def training_documents(docs: DataFrame, labels: DataFrame, train: Column, id_col
     """Texts and labels of about ``fit_docs`` documents per label (all, if there are fewer), chosen by
     a hash of their ids (a bounded list of ids, so it is broadcast), each at most ``FIT_EXCERPT`` characters from a
     seeded place. ``train`` is a condition on the label rows."""
-    marked = labels.where(train & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-    ids = marked.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).alias("label"))
+    marked = (labels.where(train & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+              .select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label")))
+    ids = marked.groupBy("id").agg(F.max("label").alias("label"))
     # A threshold on the hash for each label, from its count: no ranking of all labelled rows.
     counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
     steps = 1 << 30
@@ -311,10 +312,11 @@ def training_documents(docs: DataFrame, labels: DataFrame, train: Column, id_col
         limit = F.when(F.col("label") == label, F.lit(min(steps, steps * fit_docs // n))).otherwise(limit)
     ids = ids.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(steps)) < limit)
     # The same share of the length for texts that begin alike, so that copies have like excerpts.
-    share = F.pmod(F.xxhash64(F.lit(seed), F.substr(F.col(text_col), F.lit(1), F.lit(64))), F.lit(steps)) / steps
-    place = F.floor(share * F.greatest(F.lit(1), F.char_length(text_col) - FIT_EXCERPT)).cast("int") + 1
-    rows = (docs.join(F.broadcast(ids), docs[id_col].cast("long") == ids["id"])
-            .groupBy("id", "label").agg(F.min(F.substr(F.coalesce(F.col(text_col), F.lit("")), place, F.lit(FIT_EXCERPT))).alias("excerpt"))
+    share = F.pmod(F.xxhash64(F.lit(seed), F.substr(F.col("text"), F.lit(1), F.lit(64))), F.lit(steps)) / steps
+    place = F.floor(share * F.greatest(F.lit(1), F.char_length("text") - FIT_EXCERPT)).cast("int") + 1
+    rows = (docs.select(docs[id_col].cast("long").alias("of"), docs[text_col].cast("string").alias("text"))
+            .join(F.broadcast(ids), F.col("of") == F.col("id"))
+            .groupBy("id", "label").agg(F.min(F.substr(F.coalesce(F.col("text"), F.lit("")), place, F.lit(FIT_EXCERPT))).alias("excerpt"))
             .orderBy(F.xxhash64(F.lit(seed + 1), "id")).collect())
     return [r.excerpt for r in rows], [int(r.label) for r in rows]
 
@@ -341,7 +343,9 @@ def score_texts(texts: pa.Array, model: Field | None) -> tuple[np.ndarray, list[
 
 
 def reject(df: DataFrame, model: Field | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that are not predicted toxic, with all their columns."""
+    """The rows of ``df`` that are not predicted toxic, with all their columns, whatever their names.
+    Null and empty texts stay unless the model finds a text without toxic tokens toxic; whole texts
+    are scored, however long; repeated rows fare alike; an empty table gives no rows."""
     place = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
