@@ -217,13 +217,14 @@ def profile(df: DataFrame, cols: Iterable[str] | None = None, digits: int = 6) -
 
 
 def profile_report(df: DataFrame, cols: Iterable[str] | None = None, digits: int = 6) -> DataFrame:
-    """One report per column: :func:`profile`, exact quartiles and the distinct estimate together,
-    over one written copy of the columns."""
+    """One report per column: :func:`profile`, exact quartiles and the exact number of distinct values
+    together, over one written copy of the columns."""
+    from lendscope.operators.replicas import distinct_counts
     names = list(cols) if cols is not None else df.columns
     layer = materialize(df.select(*[F.col(sql_name(c)) for c in names]), "profile")
     quartiles = column_quartiles(layer).select("position", *[F.round(c, digits).alias(c) for c in ("q1", "median", "q3")])
     return (profile(layer, digits=digits).join(quartiles, "position", "left")
-            .join(distinct_estimates(layer).drop("column_name"), "position", "left"))
+            .join(distinct_counts(layer).drop("column_name"), "position", "left"))
 
 
 def sparse_columns(df: DataFrame, max_missing: float = MAX_MISSING_SHARE,
@@ -322,7 +323,8 @@ def column_quartiles(df: DataFrame, cols: Iterable[str] | None = None, **how) ->
             [], "position int, column_name string, n bigint, q1 double, median double, q3 double")
     pairs = ", ".join(f"named_struct('position', {i}, 'x', CAST({sql_name(f.name)} AS DOUBLE))"
                       for i, f in fields)
-    q = quantiles.exact_quantiles(df.selectExpr(f"inline(array({pairs}))"), "x", ["position"], **how)
+    values = materialize(df.select(*[F.col(sql_name(f.name)) for _, f in fields]), "quartiles")
+    q = quantiles.exact_quantiles(values.selectExpr(f"inline(array({pairs}))"), "x", ["position"], written=True, **how)
     rows = ", ".join(f"named_struct('position', {i}, 'column_name', {sql_text(f.name)})" for i, f in fields)
     names = df.sparkSession.range(1).selectExpr(f"inline(array({rows}))")
     return (names.join(q, "position", "left")

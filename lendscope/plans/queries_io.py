@@ -5,7 +5,7 @@ from __future__ import annotations
 from lendscope.constants import DEFAULT_STATUSES, ZERO_BAL_STATUSES, ZERO_COLL_STATUSES
 from lendscope.functions.text import scrub_ascii
 from lendscope.operators.columns import rename_positional
-from lendscope.operators.rows import dev_subset
+from lendscope.operators.rows import dev_subset, preview
 from lendscope.plans import curate
 from lendscope.plans.catalog import register
 from lendscope.session import scratch_path
@@ -45,6 +45,15 @@ def dev_subset_q(spark, sf_dir):
     return dev_subset(loans_view(spark, sf_dir), "id", percent=10, seed=0)
 
 
+@register("top_loans", with_loans("""
+SELECT id, loan_amnt, grade, addr_state FROM loans ORDER BY loan_amnt DESC, id LIMIT 20
+"""))
+def top_loans(spark, sf_dir):
+    """The largest loans: a top-n, where the limit is the feature."""
+    loans = loans_view(spark, sf_dir).select("id", "loan_amnt", "grade", "addr_state")
+    return preview(loans, 20, [loans["loan_amnt"].desc(), loans["id"]])
+
+
 def _listed(values):
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lendscope.constants import REDUNDANT_DROP_STEP1, SPARSE_DROP_STEP1
-from lendscope.operators import columns, quality
+from lendscope.operators import columns, quality, replicas
 from lendscope.plans.catalog import register
 from lendscope.sources.fixtures import LOANS_SCHEMA, loans_view, sql_is_missing, with_loans
 
@@ -99,6 +99,23 @@ def profile_columns(spark, sf_dir):
     return quality.profile(loans_view(spark, sf_dir))
 
 
+def _schema_sql():
+    parts = [f"SELECT {i} AS position, '{n}' AS column_name, '{t}' AS data_type, count({n}) AS n_known FROM loans"
+             for i, (n, t) in enumerate(LOANS_SCHEMA)]
+    return with_loans("\nUNION ALL\n".join(parts))
+
+
+@register("schema_table", _schema_sql())
+def schema_table(spark, sf_dir):
+    """The schema as rows, with the number of values that are not NULL."""
+    loans = loans_view(spark, sf_dir)
+    known = quality.per_column_rows(
+        loans, list(enumerate(loans.schema.fields)), inputs=lambda i, f: [f"{quality.sql_name(f.name)} AS v{i}"],
+        aggs=lambda i, f: [f"count(v{i}) AS n{i}"], rows=lambda i, f: [f"named_struct('position', {i}, 'n_known', n{i})"],
+        width=lambda f: 1, schema="position int, n_known bigint")
+    return columns.schema_table(spark, loans).drop("nullable").join(known, "position")
+
+
 def _sparse_sql():
     parts = [f"SELECT {i} AS position, '{n}' AS column_name, "
              f"round(count(*) FILTER (WHERE {sql_is_missing(n, t)}) / count(*), 6) AS p_missing FROM loans"
@@ -178,6 +195,11 @@ def distinct_estimates(spark, sf_dir):
     return quality.distinct_estimates(loans_view(spark, sf_dir))
 
 
+def _distinct_parts():
+    return "\nUNION ALL\n".join(f"SELECT {i} AS position, '{n}' AS column_name, count(DISTINCT {n}) AS n_distinct FROM loans"
+                                for i, (n, _) in enumerate(LOANS_SCHEMA))
+
+
 def _quartiles_parts():
     parts = []
     for i, (n, t) in enumerate(LOANS_SCHEMA):
@@ -198,7 +220,56 @@ def column_quartiles(spark, sf_dir):
 
 
 @register("profile_report", with_loans(
-    f"SELECT p.*, q.q1, q.median, q.q3 FROM ({_profile_parts()}) p LEFT JOIN ({_quartiles_parts()}) q USING (position)"))
+    f"SELECT p.*, q.q1, q.median, q.q3, d.n_distinct FROM ({_profile_parts()}) p LEFT JOIN ({_quartiles_parts()}) q USING (position) "
+    f"LEFT JOIN ({_distinct_parts()}) d USING (position)"))
 def profile_report(spark, sf_dir):
-    """The whole report but for the distinct estimates, which have a query and tests of their own."""
-    return quality.profile_report(loans_view(spark, sf_dir)).drop("approx_distinct")
+    return quality.profile_report(loans_view(spark, sf_dir))
+
+
+@register("distinct_counts", with_loans(_distinct_parts()))
+def distinct_counts(spark, sf_dir):
+    return replicas.distinct_counts(loans_view(spark, sf_dir))
+
+
+#: Columns planted beside the loan's own: copies, values under other names, a near copy.
+_PLANTED = {
+    "funded_amnt": ("loan_amnt", "double"),
+    "grade_name": ("CASE grade WHEN 'A' THEN 'best' WHEN 'B' THEN 'good' WHEN 'C' THEN 'fair' WHEN 'D' THEN 'poor' WHEN 'E' THEN 'worst' "
+                   "WHEN 'H' THEN 'other' END", "string"),
+    "grade_name_2": ("CASE grade WHEN 'A' THEN 'best' WHEN 'B' THEN 'good' WHEN 'C' THEN 'fair' WHEN 'D' THEN 'poor' WHEN 'E' THEN 'worst' "
+                     "WHEN 'H' THEN 'other' END", "string"),
+    "n_payments": ("CASE WHEN term = ' 60 months' THEN 60 ELSE 36 END", "int"),
+    "term_but_one": ("CASE WHEN id = 1 THEN NULL ELSE term END", "string"),
+    "status_text": ("coalesce(loan_status, 'unknown')", "string"),
+    "grade_group": ("CASE WHEN grade IN ('A', 'B') THEN 'AB' ELSE grade END", "string"),
+}
+
+
+def _replicated_sql():
+    cols = [*LOANS_SCHEMA, *[(c, t) for c, (_, t) in _PLANTED.items()]]
+    ranked = ", ".join(f"min(id) OVER (PARTITION BY {c}) AS s{i}" for i, (c, _) in enumerate(cols))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i)]
+    checks = ", ".join(f"bool_and(s{i} = s{j}) AS r{i}_{j}" + (
+        f", bool_and({cols[i][0]} IS NOT DISTINCT FROM {cols[j][0]}) AS c{i}_{j}" if cols[i][1] == cols[j][1] else "") for i, j in pairs)
+    sizes = ", ".join(f"count(DISTINCT s{i}) AS n{i}" for i in range(len(cols)))
+    found = []
+    for i, (c, t) in enumerate(cols):
+        copy = " ".join(f"WHEN c{i}_{j} THEN {j}" for j in range(i) if cols[j][1] == t)
+        recoding = " ".join(f"WHEN r{i}_{j} THEN {j}" for j in range(i))
+        found.append(f"SELECT {i} AS position, '{c}' AS column_name, n{i} AS n_distinct, "
+                     f"{f'CASE {copy} END' if copy else 'NULL'} AS copy_of, {f'CASE {recoding} END' if recoding else 'NULL'} AS recoding_of FROM checks")
+    names = "[" + ", ".join(f"'{c}'" for c, _ in cols) + "]"
+    union = " UNION ALL ".join(found)
+    return with_loans(f"""
+SELECT position, column_name, CAST(coalesce(copy_of, recoding_of) AS INTEGER) AS of_position, {names}[coalesce(copy_of, recoding_of) + 1] AS of_column,
+       CASE WHEN copy_of IS NOT NULL THEN 'copy' ELSE 'recoding' END AS kind, n_distinct
+FROM ({union}) WHERE n_distinct > 1 AND coalesce(copy_of, recoding_of) IS NOT NULL
+""", "planted AS MATERIALIZED (SELECT *, " + ", ".join(f"{e} AS {c}" for c, (e, _) in _PLANTED.items()) + " FROM loans)",
+        f"splits AS MATERIALIZED (SELECT *, {ranked} FROM planted)", f"checks AS MATERIALIZED (SELECT {checks}, {sizes} FROM splits)")
+
+
+@register("replicated_columns", _replicated_sql())
+def replicated_columns(spark, sf_dir):
+    """Which columns repeat an earlier one, among the loan's own and some planted ones."""
+    loans = loans_view(spark, sf_dir).selectExpr("*", *[f"{e} AS {c}" for c, (e, _) in _PLANTED.items()])
+    return replicas.replicated_columns(loans)
