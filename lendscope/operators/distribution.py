@@ -82,15 +82,15 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float
     """Box-plot numbers per group: n, q1, median, q3, iqr, whisker_lo, whisker_hi, n_outliers,
     min_value, max_value.
 
-    Exact interpolated quartiles first, then one pass for the whiskers: the furthest values
+    Groups and values are written once. Exact interpolated quartiles first, then one pass for the whiskers: the furthest values
     within ``whisker`` interquartile ranges, and the count beyond them. The per-group fences are
     joined without a hint, so Spark broadcasts them if they are small and splits skewed groups
     if not; without keys they are literals.
     """
     by = list(by)
     x = F.col(value).cast("double")
-    base = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
-    q = quantiles.exact_quantiles(df, value, by, [0.25, 0.5, 0.75], **how)
+    base = materialize(df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x")), "box-values")
+    q = quantiles.exact_quantiles(base, "_x", by, [0.25, 0.5, 0.75], written=True, **how)
     iqr = F.col("q")[2] - F.col("q")[0]
     g = materialize(q.select(*by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
                              iqr.alias("iqr"), (F.col("q")[0] - F.lit(whisker) * iqr).alias("_lf"),

@@ -14,20 +14,23 @@ from pyspark.sql import functions as F
 
 from lendscope.functions.parse import default_flag, issue_year
 from lendscope.operators import quantiles
+from lendscope.session import materialize
+
 
 def loan_book_by_year(df: DataFrame, amount: str = "loan_amnt", rate: str = "int_rate",
                       issue: str = "issue_d", **how) -> DataFrame:
     """Number of loans, total amount, median amount and median rate per issue year.
 
     Both medians are exact: the smallest value that half of the year's values do not exceed.
-    Amount and rate are unpivoted, so one quantile pass serves both.
+    Amount and rate are unpivoted, so one quantile pass serves both. Year, amount and rate are
+    written once; what follows reads that layer.
     """
-    rows = df.select(issue_year(issue).alias("issue_d_year"), F.col(amount).cast("double").alias("_amt"),
-                     F.col(rate).cast("double").alias("_rate"))
+    rows = materialize(df.select(issue_year(issue).alias("issue_d_year"), F.col(amount).cast("double").alias("_amt"),
+                                 F.col(rate).cast("double").alias("_rate")), "book")
     book = rows.groupBy("issue_d_year").agg(F.count(F.lit(1)).alias("n_loans"), F.round(F.sum("_amt"), 2).alias("total_loan_amnt"))
     long = rows.select("issue_d_year", F.inline(F.array(
         F.struct(F.lit("amt").alias("_of"), F.col("_amt").alias("_v")), F.struct(F.lit("rate").alias("_of"), F.col("_rate").alias("_v")))))
-    medians = quantiles.exact_quantiles(long, "_v", ["issue_d_year", "_of"], [0.5], kind="disc", **how)
+    medians = quantiles.exact_quantiles(long, "_v", ["issue_d_year", "_of"], [0.5], kind="disc", written=True, **how)
     median = lambda of: F.max(F.when(F.col("_of") == of, F.col("q")[0]))
     wide = medians.groupBy(F.col("issue_d_year").alias("_year")).agg(
         median("amt").alias("median_loan_amnt"), median("rate").alias("median_int_rate"))

@@ -30,8 +30,15 @@ def guard_features(features: Sequence[str], label: str = "target",
     return list(features)
 
 
-#: Partitions of a fit's input. Part of the fit: more for larger data, never by the cluster's cores.
+#: Partitions of a fit's input: at least so many, and one for every so many rows. Part of the fit; it
+#: follows from the data, never from the cluster's cores.
 FIT_PARTITIONS = 16
+FIT_PARTITION_ROWS = 1 << 16
+
+
+def partitions_for(rows: int) -> int:
+    """Partitions of a fit over ``rows`` rows."""
+    return max(FIT_PARTITIONS, -(-rows // FIT_PARTITION_ROWS))
 
 
 def persist_for_fit(df: DataFrame, key: str = "id", partitions: int = FIT_PARTITIONS,
@@ -41,8 +48,9 @@ def persist_for_fit(df: DataFrame, key: str = "id", partitions: int = FIT_PARTIT
 
     Iterative estimators pass over their input many times, one task per partition, and seeded
     ones sample by partition and position. The explicit count and order make the model follow
-    from the data and this parameter alone, whatever the cluster. Nothing runs before the first
-    action; lost cached blocks are recomputed from the plan.
+    from the data and this parameter alone, whatever the cluster; take it from
+    :func:`partitions_for` the number of rows. Nothing runs before the first action; lost cached
+    blocks are recomputed from the plan.
     """
     return df.repartition(partitions, key).sortWithinPartitions(key).persist(level)
 
@@ -145,13 +153,16 @@ def full_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
                   raw_col: str = "features_raw") -> tuple[PipelineModel, DataFrame]:
     """The whole feature vector: categories indexed and one-hot encoded, joined with the numeric
     columns, scaled to unit deviation. Rows with a NULL category are dropped before the fit of
-    the later stages, as the indexer skips them."""
-    indexed = [c + "_index" for c in categorical]
+    the later stages, as the indexer skips them. An empty text is a category of its own, named
+    ``(empty)`` (an encoded category must have a name)."""
+    named = [c + "_named" for c in categorical]
+    indexed = [c + "_index" for c in named]
     hot = [c + "_onehot" for c in indexed]
-    indexer, known = index_categories(df, categorical)
+    texts = {n: F.when(F.col(c).cast("string") == "", F.lit("(empty)")).otherwise(F.col(c).cast("string")) for n, c in zip(named, categorical, strict=True)}
+    indexer, known = index_categories(df.withColumns(texts), named)
     pipe = Pipeline(stages=[
         OneHotEncoder(inputCols=indexed, outputCols=hot),
         VectorAssembler(inputCols=[*numeric, *hot], outputCol=raw_col),
         StandardScaler(inputCol=raw_col, outputCol=scaled_col, withStd=True, withMean=False)])
     model = pipe.fit(known)
-    return PipelineModel(stages=[indexer, *model.stages]), model.transform(known)
+    return PipelineModel(stages=[indexer, *model.stages]), model.transform(known).drop(*named)

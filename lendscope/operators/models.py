@@ -103,8 +103,58 @@ def pick_best(spark: SparkSession, models: Sequence[tuple[float, PipelineModel]]
     return best, spark.createDataFrame(rows, "reg_param double, auc double")
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+def node_table(spark: SparkSession, path: str) -> DataFrame:
+    """The nodes of the tree ensemble in a saved pipeline: (tree, node, prediction, left, right, feature,
+    go_left, n_categories, gain). A leaf has no children (left and right -1). ``go_left`` is the
+    threshold of a number, or the category codes that go left where ``n_categories`` is not -1."""
+    nodes = spark.read.parquet(f"{path}/stages/*_GBTClassifier_*/data")
+    n, split = "nodeData.", "nodeData.split."
+    return nodes.select(F.col("treeID").alias("tree"), F.col(n + "id").alias("node"), F.col(n + "prediction").alias("prediction"),
+                        F.col(n + "leftChild").alias("left"), F.col(n + "rightChild").alias("right"), F.col(split + "featureIndex").alias("feature"),
+                        F.col(split + "leftCategoriesOrThreshold").alias("go_left"), F.col(split + "numCategories").alias("n_categories"),
+                        F.col(n + "gain").alias("gain"))
+
+
+def score_by_nodes(spark: SparkSession, path: str, rows: DataFrame, key: str = "id", features: str = "features", max_depth: int = 5) -> DataFrame:
+    """(``key``, score) of ``rows`` by the saved node table alone: every row walks down all trees at
+    once, one join a level, and the weighted leaves give the probability of label 1.
+
+    The node table has at most ``2^(max_depth + 1)`` nodes a tree, which bounds the broadcast.
+    """
+    nodes = F.broadcast(node_table(spark, path))
+    weights = spark.read.parquet(f"{path}/stages/*_GBTClassifier_*/treesMetadata").toDF("tree", "metadata", "weight").drop("metadata")
+    trees = weights.count()
+    at = rows.select(F.col(key).alias("key"), vector_to_array(F.col(features)).alias("x"),
+                     F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    value = F.get("x", F.col("feature"))
+    left = F.when(F.col("n_categories") == -1, value <= F.get("go_left", F.lit(0))).otherwise(F.array_contains("go_left", value))
+    child = F.when(F.col("left") < 0, F.col("node")).when(left, F.col("left")).otherwise(F.col("right"))
+    for _ in range(max_depth):
+        at = at.join(nodes, ["tree", "node"]).select("key", "x", "tree", child.alias("node"))
+    margins = (at.join(nodes, ["tree", "node"]).join(F.broadcast(weights), "tree").groupBy("key")
+               .agg(F.sum(F.col("prediction") * F.col("weight")).alias("margin")))
+    return margins.select(F.col("key").alias(key), (1 / (1 + F.exp(-2 * F.col("margin")))).alias("score"))
+
+
+def split_counts(spark: SparkSession, model: PipelineModel, path: str) -> DataFrame:
+    """How often each feature splits a node of the ensemble, and the gain it brought in all:
+    (feature, n_splits, gain), features that never split included, ascending.
+
+    Aggregated from the saved node table, so it works for any number of trees; ``path`` is where
+    ``model`` was saved."""
+    assembler = [s for s in model.stages if hasattr(s, "getInputCols") and s.getOutputCol() == "features"][0]
+    names = spark.createDataFrame(list(enumerate(assembler.getInputCols())), "place int, name string")
+    splits = (node_table(spark, path).where("left >= 0").groupBy(F.col("feature").alias("of"))
+              .agg(F.count("*").alias("n_splits"), F.sum("gain").alias("gain")))
+    return (names.join(splits, names["place"] == splits["of"], "left")
+            .select(F.col("name").alias("feature"), F.coalesce("n_splits", F.lit(0)).cast("bigint").alias("n_splits"),
+                    F.round(F.coalesce("gain", F.lit(0.0)), 6).alias("gain")).orderBy("n_splits", "feature"))
+
+
+def save_model(model: PipelineModel, path: str, overwrite: bool = False) -> str:
+    """Save to ``path``; what lies there already stays, with an error, unless ``overwrite``."""
+    writer = model.write()
+    (writer.overwrite() if overwrite else writer).save(path)
     return path
 
 

@@ -82,19 +82,22 @@ def with_group_columns(rows: DataFrame, table: DataFrame, by: Sequence[str], col
 
 def exact_quantiles(df: DataFrame, value: str, by: Sequence[str] = (), probs: Sequence[float] = (0.25, 0.5, 0.75),
                     kind: str = "cont", k: int = BRACKET_K, error: float = 0.002,
-                    window_rows: int = 1_000_000) -> DataFrame:
+                    window_rows: int = 1_000_000, written: bool = False) -> DataFrame:
     """One row per group: ``by``, ``n``, ``q`` (an array in the order of ``probs``), ``min_value``,
     ``max_value``.
 
     ``kind`` "cont" interpolates between the two values around rank ``p * (n - 1)`` (SQL
     ``percentile_cont``); "disc" takes the first value whose share of values at or below it
-    reaches ``p`` (``percentile_disc``). The input is read twice (sketch, count) unless a bracket
-    has to be widened. A bracket that holds more than ``window_rows`` distinct values is narrowed
+    reaches ``p`` (``percentile_disc``). Groups and values are written once as a layer, so that the
+    input is computed once, and read twice (sketch, count) unless a bracket has to be widened;
+    ``written`` says that ``df`` reads such a layer already. A bracket that holds more than ``window_rows`` distinct values is narrowed
     by counts over equal ranges before its values are put in order in one task.
     """
     by, probs = list(by), [float(p) for p in probs]
     x = F.col(value).cast("double")
     rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
+    if not written:
+        rows = materialize(rows, "quantile-values")
     base = materialize(two_level(
         rows, by,
         partial=[F.count(F.lit(1)).alias("n"), kll("_x", k).alias("_k"), F.min("_x").alias("lo"), F.max("_x").alias("hi")],

@@ -50,7 +50,13 @@ def stable_split(df: DataFrame, weights: Sequence[float], key: str = "id", seed:
 
 
 def split_frames(df: DataFrame, weights: Sequence[float], key: str = "id", seed: int = 21,
-                 names: Sequence[str] | None = None) -> list[DataFrame]:
+                 names: Sequence[str] | None = None, method: str = "hash") -> list[DataFrame]:
+    """The parts of :func:`stable_split` as frames. ``method="random"`` is Spark's ``randomSplit``
+    instead: parts of the same expected sizes that depend on how ``df`` is partitioned."""
+    if method == "random":
+        return df.randomSplit([float(w) for w in weights], seed)
+    if method != "hash":
+        raise ValueError(f"unknown split method {method!r}")
     tagged = stable_split(df, weights, key, seed, names, "_split")
     names = list(names or [f"part{i}" for i in range(len(weights))])
     return [tagged.where(F.col("_split") == n).drop("_split") for n in names]

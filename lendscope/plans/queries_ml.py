@@ -8,14 +8,15 @@ from lendscope.constants import (
     ELBOW_KS, LR_REG_PARAMS, SPLIT_TRAIN_TEST, SPLIT_TRAIN_TEST_VALIDATION,
 )
 from lendscope.functions.parse import cast_columns
-from lendscope.operators import cluster, features, metrics, models
+from lendscope.operators import cluster, derive, features, grid, metrics, models, subspace, sweep
 from lendscope.operators.columns import feature_columns
 from lendscope.operators.rows import split_frames, stable_split
 from lendscope.plans import curate
 from lendscope.plans.catalog import register
 from lendscope.plans.queries_io import _CURATED_SQL
-from lendscope.session import scratch_path
-from lendscope.sources.fixtures import loans_view, with_loans
+from lendscope.session import materialize, scratch_path
+from lendscope.sources.fixtures import loans_view, sql_is_missing, with_loans
+from lendscope.sources.tables import read_table
 
 CATS = ("grade", "sub_grade", "purpose", "addr_state", "issue_d_year")
 NUMERIC = ("loan_amnt", "int_rate", "annual_inc", "dti", "delinq_2yrs", "emplength_clean",
@@ -69,6 +70,19 @@ def one_hot(spark, sf_dir):
         features.vector_width(c + "_index_onehot").alias(c + "_width"))])
 
 
+@register("guarded_features", with_loans(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(avg(CAST({c} AS DOUBLE)), 4) AS mean FROM typed"
+    for c in ("loan_amnt", "int_rate", "dti", "delinq_2yrs", "annual_inc", "emplength_clean", "term_clean", "tot_coll_amt_clean", "tot_cur_bal_clean")),
+    _CUR, "typed AS (SELECT * REPLACE (coalesce(TRY_CAST(dti AS DOUBLE), 0) AS dti, coalesce(TRY_CAST(delinq_2yrs AS DOUBLE), 0) AS delinq_2yrs) FROM cur)"))
+def guarded_features(spark, sf_dir):
+    """The numeric features of a frame that holds the label twice (``target`` and its copy ``indebt``),
+    with their means: neither of the two is among them."""
+    frame = model_frame(spark, sf_dir).withColumn("indebt", F.col("target").cast("double"))
+    names = features.guard_features(feature_columns(frame, "target", ["id"], CATS, features.LABEL_COPIES))
+    means = frame.agg(*[F.round(F.avg(c), 4).alias(c) for c in names])
+    return means.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("mean")) for c in names])))
+
+
 @register("assemble_scale", with_loans(
     "SELECT id, " + ", ".join(f"round({c} / stddev_samp({c}) OVER (), 6) AS {c}_scaled" for c in SCALE_COLS)
     + " FROM cur", _CUR))
@@ -106,7 +120,9 @@ def _fit_frame(spark, sf_dir, cols=_MODEL_COLS):
     keeps the cache small. Callers fit on it, then unpersist it; the frame they
     return is lazy and reads from the plan again, so no cache outlives the query.
     """
-    return features.persist_for_fit(model_frame(spark, sf_dir).select(*{"id": 0} | dict.fromkeys(cols)))
+    rows = read_table(spark, sf_dir, "orders").count()  # from the files' footers; no loan is without an order
+    return features.persist_for_fit(model_frame(spark, sf_dir).select(*{"id": 0} | dict.fromkeys(cols)),
+                                    partitions=features.partitions_for(rows))
 
 
 def _scaled(frame, cols=NUMERIC):
@@ -114,37 +130,33 @@ def _scaled(frame, cols=NUMERIC):
     return out
 
 
-#: Categories of the clustering vector; the wide ones (sub-grade, state) stay with the models.
-CLUSTER_CATS = ("grade", "purpose", "issue_d_year")
-_CLUSTER_COLS = ("id",) + NUMERIC + CLUSTER_CATS
-#: Boosting rounds the registered queries set; the operator's default is 100.
-GBT_ROUNDS = 20
+_CLUSTER_COLS = ("id",) + NUMERIC + CATS
 
 
 def _vectors(frame):
     """The whole feature vector: one-hot categories and numbers, scaled."""
-    _, out = features.full_features(frame, numeric_features(frame), CLUSTER_CATS)
+    _, out = features.full_features(frame, numeric_features(frame), CATS)
     return out
 
 
 def _vector_sql():
     hot = "".join(f" + CASE WHEN j_{c}.i < j_{c}.k - 1 THEN 1.0 / sqrt(CAST(h_{c}.n AS DOUBLE) * (tot.n - h_{c}.n) "
-                  f"/ (CAST(tot.n AS DOUBLE) * (tot.n - 1))) ELSE 0 END" for c in CLUSTER_CATS)
+                  f"/ (CAST(tot.n AS DOUBLE) * (tot.n - 1))) ELSE 0 END" for c in CATS)
     nonzero = " + ".join([f"CASE WHEN v.{c} <> 0 THEN 1 ELSE 0 END" for c in NUMERIC]
-                         + [f"CASE WHEN j_{c}.i < j_{c}.k - 1 THEN 1 ELSE 0 END" for c in CLUSTER_CATS])
+                         + [f"CASE WHEN j_{c}.i < j_{c}.k - 1 THEN 1 ELSE 0 END" for c in CATS])
     joins = " ".join(f"JOIN idx j_{c} ON j_{c}.c = '{c}' AND j_{c}.v = CAST(v.{c} AS VARCHAR) "
                      f"JOIN (SELECT CAST({c} AS VARCHAR) AS x, count(*) AS n FROM v GROUP BY 1) h_{c} "
-                     f"ON h_{c}.x = CAST(v.{c} AS VARCHAR)" for c in CLUSTER_CATS)
-    known = " AND ".join(f"{c} IS NOT NULL" for c in CLUSTER_CATS)
+                     f"ON h_{c}.x = CAST(v.{c} AS VARCHAR)" for c in CATS)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in CATS)
     typed = ", ".join(f"coalesce(TRY_CAST({c} AS DOUBLE), 0) AS {c}" if c in ("dti", "delinq_2yrs") else c
                       for c in NUMERIC)
     stds = ", ".join(f"stddev_samp({c}) AS {c}" for c in NUMERIC)
     numbers = " + ".join(f"v.{c} / s.{c}" for c in NUMERIC)
-    width = f"{len(NUMERIC)} + " + " + ".join(f"j_{c}.k - 1" for c in CLUSTER_CATS)
+    width = f"{len(NUMERIC)} + " + " + ".join(f"j_{c}.k - 1" for c in CATS)
     return with_loans(
         f"SELECT v.id, CAST({width} AS INTEGER) AS width, {nonzero} AS n_nonzero, round({numbers}{hot}, 4) AS checksum "
         f"FROM v CROSS JOIN s CROSS JOIN tot {joins}",
-        _CUR, *_label_sql(CLUSTER_CATS), f"v AS (SELECT id, {typed}, {', '.join(CLUSTER_CATS)} FROM cur WHERE {known})",
+        _CUR, *_label_sql(CATS), f"v AS (SELECT id, {typed}, {', '.join(CATS)} FROM cur WHERE {known})",
         f"s AS (SELECT {stds} FROM v)", "tot AS (SELECT count(*) AS n FROM v)")
 
 
@@ -161,11 +173,23 @@ def feature_vectors(spark, sf_dir):
 
 @register("elbow")
 def elbow(spark, sf_dir):
-    frame = _fit_frame(spark, sf_dir, _CLUSTER_COLS)
-    try:
-        return cluster.elbow(spark, _vectors(frame), ELBOW_KS)
-    finally:
-        frame.unpersist()
+    """Within-cluster squares for every k, from passes that all of them share."""
+    return sweep.elbow_sweep(spark, _vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS)), ELBOW_KS)
+
+
+def _width_sql():
+    return f"({len(NUMERIC)} + (SELECT sum(k - 1) FROM (SELECT c, count(*) AS k FROM cnt GROUP BY c)))"
+
+
+_KNOWN = " AND ".join(f"{c} IS NOT NULL" for c in CATS)
+
+
+@register("elbow_baseline", with_loans(
+    f"SELECT 1 AS k, round(CAST((count(*) - 1) * {_width_sql()} AS DOUBLE), 2) AS wcss FROM cur WHERE {_KNOWN}", _CUR, *_label_sql(CATS)))
+def elbow_baseline(spark, sf_dir):
+    """The sweep's k = 1: every scaled feature has unit variance, so its squares follow from the counts."""
+    out = sweep.elbow_sweep(spark, _vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS)), [1])
+    return out.withColumn("wcss", F.round("wcss", 2))
 
 
 @register("kmeans_assign")
@@ -180,15 +204,57 @@ def kmeans_assign(spark, sf_dir):
     return fine.transform(coarse.transform(data)).select("id", "cluster", "cluster_20")
 
 
+@register("sweep_assign", with_loans(
+    f"SELECT k, count(*) AS n, 0 AS n_centres_off, TRUE AS same_squares FROM cur, (VALUES (3), (20)) AS t(k) WHERE {_KNOWN} GROUP BY k", _CUR))
+def sweep_assign(spark, sf_dir):
+    """The sweep checked by plain expressions: every row is assigned to its nearest final centre; the
+    squared distances must add up to what the shared passes found, and moving each centre to the
+    mean of its rows must not raise them (centres for which it would: 0)."""
+    rows = sweep.as_arrays(_vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS)), "features_scaled")
+    parts = []
+    for k, (centres, wcss) in sorted(sweep.sweep_kmeans(rows, (3, 20)).items()):
+        near = sweep.assign(rows, centres)
+        per = near.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("cluster_distance").alias("squares"),
+                                          *[F.var_pop(F.col("x")[i]).alias(f"v{i}") for i in range(centres.shape[1])])
+        around_mean = sum((F.col(f"v{i}") for i in range(centres.shape[1])), F.lit(0.0)) * F.col("n")
+        parts.append(per.agg(F.lit(k).alias("k"), F.sum("n").alias("n"),
+                             F.count_if(around_mean > F.col("squares") * (1 + 1e-9) + 1e-9).cast("int").alias("n_centres_off"),
+                             (F.abs(F.sum("squares") - F.lit(wcss)) < 1e-6 * wcss).alias("same_squares")))
+    return parts[0].unionByName(parts[1])
+
+
 @register("pca_project")
 def pca_project(spark, sf_dir):
-    frame = _fit_frame(spark, sf_dir, _CLUSTER_COLS)
-    try:
-        data = _vectors(frame)
-        model = cluster.fit_pca(data, 2)
-    finally:
-        frame.unpersist()
-    return cluster.project(model, data)
+    """The first two components' scores, by block Krylov iteration over sparse rows."""
+    rows, width = _sparse(spark, sf_dir)
+    return subspace.project(rows, subspace.principal_components(rows, width, 2)).withColumnRenamed("key", "id")
+
+
+def _sparse(spark, sf_dir):
+    """The whole scaled vector as sparse rows, and its width."""
+    data = _vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS))
+    width = data.schema["features_scaled"].metadata["ml_attr"]["num_attrs"]
+    return materialize(subspace.sparse_rows(data, "features_scaled"), "pca-rows"), width
+
+
+@register("pca_facts", with_loans(
+    f"SELECT 3 AS k, round(CAST({_width_sql()} AS DOUBLE), 6) AS total_variance, 0 AS n_not_orthonormal, 0 AS n_not_eigen", _CUR, *_label_sql(CATS)))
+def pca_facts(spark, sf_dir):
+    """What principal components must satisfy: the total variance of the scaled vector is its width,
+    the components are orthonormal, and the scatter matrix only stretches them (one more pass)."""
+    rows, width = _sparse(spark, sf_dir)
+    found = subspace.principal_components(rows, width, 3)
+    return subspace.facts(spark, rows, found)
+
+
+@register("explained_variance_subspace", with_loans("""
+SELECT 1 AS component, round((1 + abs(r)) / 2, 6) AS ratio, round((1 + abs(r)) / 2, 6) AS cumulative FROM rr
+UNION ALL
+SELECT 2 AS component, round((1 - abs(r)) / 2, 6) AS ratio, 1.0 AS cumulative FROM rr
+""", _CUR, "rr AS (SELECT corr(loan_amnt, int_rate) AS r FROM cur)"))
+def explained_variance_subspace(spark, sf_dir):
+    scaled = _scaled(model_frame(spark, sf_dir).select("id", "loan_amnt", "int_rate"), ("loan_amnt", "int_rate"))
+    return subspace.explained(spark, subspace.principal_components(subspace.sparse_rows(scaled, "features_scaled"), 2, 2))
 
 
 @register("explained_variance", with_loans("""
@@ -211,7 +277,7 @@ def _gbt(spark, sf_dir):
     frame = _fit_frame(spark, sf_dir)
     try:
         train, _ = split_frames(frame, SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
-        model = models.fit_gbt(models.with_balance_weight(train), numeric_features(train), CATS, rounds=GBT_ROUNDS)
+        model = models.fit_gbt(models.with_balance_weight(train), numeric_features(train), CATS)
     finally:
         frame.unpersist()
     _, test = split_frames(model_frame(spark, sf_dir).select(*_MODEL_COLS), SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
@@ -230,6 +296,26 @@ def feature_importance(spark, sf_dir):
     return models.feature_importance(spark, model)
 
 
+@register("split_counts")
+def split_counts(spark, sf_dir):
+    """How often each feature splits a node, from the saved model's node table."""
+    model, _ = _gbt(spark, sf_dir)
+    return models.split_counts(spark, model, models.save_model(model, scratch_path(spark, "gbt_nodes")))
+
+
+@register("scores_by_nodes", with_loans(
+    f"SELECT count(*) AS n_scored, 0 AS n_differing FROM cur WHERE NOT ({_TRAIN})", _CUR))
+def scores_by_nodes(spark, sf_dir):
+    """The test part scored by joins with the saved node table; rows scored and rows whose score is not
+    the model's."""
+    model, test = _gbt(spark, sf_dir)
+    path = models.save_model(model, scratch_path(spark, "gbt_nodes"))
+    scored = materialize(models.score_column(model.transform(test), name="own").select("id", "features", "own"), "gbt-scored")
+    both = scored.join(models.score_by_nodes(spark, path, scored), "id", "left")
+    return both.agg(F.count(F.lit(1)).alias("n_scored"),
+                    F.count_if(F.col("score").isNull() | (F.abs(F.col("score") - F.col("own")) > 1e-9)).cast("int").alias("n_differing"))
+
+
 @register("model_round_trip", with_loans(
     f"SELECT count(*) AS n_scored, 0 AS n_differing FROM cur WHERE NOT ({_TRAIN})", _CUR))
 def model_round_trip(spark, sf_dir):
@@ -289,32 +375,119 @@ def _lr_parts(frame):
     return split_frames(frame, SPLIT_TRAIN_TEST_VALIDATION, "id", 123, ["train", "test", "validation"])
 
 
-_LR_INPUTS = NUMERIC + CATS
+#: Free text planted beside the curated columns: many values, so it is split into tokens.
+_NOTES = "concat_ws(' ', 'loan for', lower(purpose), 'in', addr_state, CAST(id % 97 AS STRING), purpose)"
+_NOTES_SQL = "'loan for ' || lower(purpose) || ' in ' || addr_state || ' ' || CAST(id % 97 AS VARCHAR) || ' ' || purpose"
+_DERIVED = {"loan_amnt": "double", "int_rate": "double", "grade": "string", "sub_grade": "string", "addr_state": "string", "dti": "string",
+            "delinq_2yrs": "string", "annual_inc": "double", "purpose": "string", "issue_d_year": "int", "emplength_clean": "int",
+            "term_clean": "int", "tot_coll_amt_clean": "double", "tot_cur_bal_clean": "double", "notes": "string"}
+
+
+def _schema_frame(spark, sf_dir):
+    """Curated loans as they are, with a free text; the features follow from the schema."""
+    return curate.curate(loans_view(spark, sf_dir)).selectExpr("id", "target", *[c for c in _DERIVED if c != "notes"], f"{_NOTES} AS notes")
+
+
+_DERIVED_CTE = f"der AS MATERIALIZED (SELECT id, target, {', '.join(c for c in _DERIVED if c != 'notes')}, {_NOTES_SQL} AS notes FROM cur)"
+
+
+def _routes_sql():
+    parts = []
+    for i, (c, t) in enumerate(_DERIVED.items()):
+        x, missing = (f"TRY_CAST({c} AS DOUBLE)" if t == "string" else f"CAST({c} AS DOUBLE)"), sql_is_missing(c, t)
+        text = f"WHEN parsed < {derive.NUMBER_SHARE} * known OR parsed = 0 THEN CASE WHEN n_distinct <= {derive.ONE_HOT_VALUES} THEN 'category' ELSE 'tokens' END"
+        parts.append(f"SELECT {i + 2} AS position, '{c}' AS column_name, CASE WHEN n_distinct < 2 THEN 'none' {text if t == 'string' else ''} "
+                     f"WHEN sd > 0 THEN 'number' ELSE 'none' END AS route, n_distinct, n_missing FROM (SELECT count(DISTINCT {c}) AS n_distinct, "
+                     f"count(*) FILTER ({missing}) AS n_missing, count(*) FILTER (NOT ({missing})) AS known, count({x}) AS parsed, stddev_samp({x}) AS sd FROM der)")
+    return with_loans(" UNION ALL ".join(parts), _CUR, _DERIVED_CTE)
+
+
+@register("feature_routes", _routes_sql())
+def feature_routes(spark, sf_dir):
+    """What each curated column becomes, by its type and its distinct values."""
+    return derive.routes_table(spark, derive.derive_routes(_schema_frame(spark, sf_dir)))
+
+
+def _derived_sql(width=derive.HASHED_FEATURES):
+    """Entries and checksum per row by the routes that ``feature_routes`` confirms."""
+    def hashed(name):
+        return (f"((('0x' || substr(md5({name}), 1, 8))::BIGINT % {width} % 97 + 1) * CASE WHEN substr(md5({name}), 9, 1) >= '8' THEN -1 ELSE 1 END)")
+
+    def fixed(name):
+        slot, sign = derive.slot_and_sign(name, width)
+        return (slot % 97 + 1) * sign
+
+    counts, sums, stds = [], [], []
+    for c, t in _DERIVED.items():
+        missing = sql_is_missing(c, t)
+        if c == "notes":
+            tokens = f"[u FOR u IN string_split_regex(lower({c}), '[^\\p{{L}}\\p{{N}}]+') IF u <> '']"
+            counts.append(f"CASE WHEN {missing} THEN 1 ELSE len(list_distinct({tokens})) END")
+            sums.append(f"CASE WHEN {missing} THEN {fixed(c + '=missing')} ELSE list_sum([{hashed(f"'{c}=' || u")} FOR u IN {tokens}]) END")
+        elif t == "string" and c not in ("dti", "delinq_2yrs"):
+            counts.append("1")
+            sums.append(f"CASE WHEN {missing} THEN {fixed(c + '=missing')} ELSE {hashed(f"'{c}=' || {c}")} END")
+        else:
+            x = f"TRY_CAST({c} AS DOUBLE)"
+            stds.append(f"stddev_samp({x}) AS {c}")
+            counts.append(f"CASE WHEN {x} = 0 THEN 0 ELSE 1 END")
+            sums.append(f"CASE WHEN {x} IS NULL THEN {fixed(c + '=missing')} ELSE {fixed(c)} * {x} / sd.{c}_sd END")
+    stds = [e + "_sd" for e in stds]
+    body = "SELECT id, CAST(" + " + ".join(counts) + " AS INTEGER) AS n_entries, round(" + " + ".join(sums) + ", 4) AS checksum FROM der, sd"
+    return with_loans(body, _CUR, _DERIVED_CTE, f"sd AS (SELECT {', '.join(stds)} FROM der)")
+
+
+@register("derived_features", _derived_sql())
+def derived_features(spark, sf_dir):
+    """Number of entries of each row's derived vector and the sum of its values by weights of the slots."""
+    frame = _schema_frame(spark, sf_dir)
+    out = derive.hashed_features(frame, derive.derive_routes(frame), ["id"])
+    return out.select("id", F.size("at").cast("int").alias("n_entries"), F.round(F.aggregate(
+        F.zip_with("at", "value", lambda a, v: (a % 97 + 1) * v), F.lit(0.0), lambda s, x: s + x), 4).alias("checksum"))
+
+
+def _grid(spark, sf_dir, tol=1e-7):
+    """The grid's models of the training part, and the hashed parts. The routes come from the training
+    part alone."""
+    parts = _lr_parts(_schema_frame(spark, sf_dir))
+    routes = derive.derive_routes(parts[0])
+    train, test, validation = [materialize(derive.hashed_features(p, routes), "grid-part") for p in parts]
+    return grid.fit_grid(train, derive.HASHED_FEATURES, LR_REG_PARAMS, tol=tol), train, test, validation
+
+
+def _leaderboard(fitted, test):
+    scored = materialize(grid.score_grid(test, fitted), "grid-scores")
+    return [(m.reg_param, metrics.auc(scored, "target", f"score_{j}")) for j, m in enumerate(fitted)]
 
 
 @register("lr_grid_leaderboard")
 def lr_grid_leaderboard(spark, sf_dir):
-    frame = _fit_frame(spark, sf_dir)
-    try:
-        train, test, _ = _lr_parts(frame)
-        fitted = models.train_lr_grid(train, _LR_INPUTS, LR_REG_PARAMS)
-        _, board = models.pick_best(spark, fitted, test)
-    finally:
-        frame.unpersist()
-    return board
+    """AUC on the test part for every penalty; the grid is fitted in shared passes."""
+    fitted, _, test, _ = _grid(spark, sf_dir)
+    return spark.createDataFrame(_leaderboard(fitted, test), "reg_param double, auc double")
+
+
+_TRAIN_60 = f"{_BITS.replace(':21', ':123')} < {round((1 << 32) * SPLIT_TRAIN_TEST_VALIDATION[0] / sum(SPLIT_TRAIN_TEST_VALIDATION))}"
+
+
+@register("lr_grid_slopes", with_loans(
+    f"SELECT CAST(r AS DOUBLE) AS reg_param, count(*) AS n, 0 AS n_slopes_off FROM cur, (VALUES {', '.join(f'({r})' for r in LR_REG_PARAMS)}) AS t(r) "
+    f"WHERE {_TRAIN_60} GROUP BY r", _CUR))
+def lr_grid_slopes(spark, sf_dir):
+    """Each penalty's objective is convex, so its minimum is where all slopes vanish: slots and
+    intercepts whose slope at the fitted coefficients, summed over the training part, is not zero (0)."""
+    fitted, train, _, _ = _grid(spark, sf_dir)
+    return grid.slopes_off(spark, train, fitted, 1e-6)
 
 
 @register("best_model_validation")
 def best_model_validation(spark, sf_dir):
-    frame = _fit_frame(spark, sf_dir)
-    try:
-        train, test, validation = _lr_parts(frame)
-        fitted = models.train_lr_grid(train, _LR_INPUTS, LR_REG_PARAMS)
-        best, _ = models.pick_best(spark, fitted, test)
-        scored = models.score_column(best.transform(validation))
-        return metrics.classification_report(scored, "target", "prediction", "score")
-    finally:
-        frame.unpersist()
+    """The report of the best model by test AUC on the validation part."""
+    fitted, _, test, validation = _grid(spark, sf_dir)
+    board = _leaderboard(fitted, test)
+    best = max(range(len(board)), key=lambda j: (board[j][1] is not None, board[j][1] or 0))
+    scored = grid.score_grid(validation, [fitted[best]]).withColumnRenamed("score_0", "score")
+    return metrics.classification_report(scored.withColumn("prediction", (F.col("score") > 0.5).cast("double")), "target", "prediction", "score")
 
 
 @register("leakage_guard_auc")

@@ -21,12 +21,32 @@ def test_oracle_keys_are_queries():
     assert set(oracle_sql()) <= set(queries())
 
 
-def test_scan_prunes_columns(spark):
-    df = queries()["loan_book_by_year"](spark, SF001)
-    plan = _plan(df)
-    # orders scan reads only what the yearly counts and totals need; the medians are a written layer
-    assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderdate" in plan
-    assert "o_orderstatus" not in plan
+def _plans_of(spark, monkeypatch, key):
+    """The plans of all layers a query writes, and its own."""
+    from lendscope import session
+    from lendscope.operators import distribution, explore, quality, quantiles
+    plans = []
+
+    def spy(df, name):
+        plans.append(_plan(df))
+        return session.materialize(df, name)
+    for module in (distribution, explore, quality, quantiles):
+        monkeypatch.setattr(module, "materialize", spy)
+    own = _plan(queries()[key](spark, SF001))
+    return [*plans, own]
+
+
+def test_scan_prunes_columns(spark, monkeypatch):
+    plans = _plans_of(spark, monkeypatch, "loan_book_by_year")
+    # the scan of orders reads only what year, amount and rate need
+    assert sum("ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate" in p for p in plans) == 1
+    assert not any("o_orderstatus" in p for p in plans)
+
+
+@pytest.mark.parametrize("key", ["loan_book_by_year", "box_stats", "box_stats_by", "box_stats_facet", "column_quartiles", "profile_report"])
+def test_the_joined_loans_are_computed_once(spark, monkeypatch, key):
+    scans = [p.count("orders.parquet") for p in _plans_of(spark, monkeypatch, key)]
+    assert sum(scans) == 1
 
 
 def test_filter_pushdown_on_parquet(spark):
@@ -46,7 +66,8 @@ def test_no_python_in_plan(spark, key):
 
 
 @pytest.mark.parametrize("key", ["loan_book_by_year", "defaults_by_state", "box_stats_by", "category_values",
-                                 "column_quartiles", "distinct_estimates", "sub_grade_order"])
+                                 "column_quartiles", "distinct_estimates", "sub_grade_order",
+                                 "replicated_columns", "distinct_counts", "auto_histogram"])
 def test_same_result_any_partition_count(spark, key):
     results = []
     old = spark.conf.get("spark.sql.shuffle.partitions")
