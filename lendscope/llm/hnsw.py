@@ -4,6 +4,11 @@ Each shard's graph is kept as flat neighbour arrays, one per layer, and stored a
 table in the shared folder; query blocks search every shard, and the shards' results are merged.
 Largest inner product becomes smallest distance by one more component that lifts all vectors
 of a shard to equal length. Insertion and search run many points in lockstep on arrays.
+
+Pruning links back can cut a layer into parts (tight clusters do), so the index holds start points of
+the lowest layer, from which every point is one link away at most; a search enters at the nearest of
+them and at what the upper layers find. The beam of a query is doubled until its result stands still, so
+hard queries get the wide beams and easy ones don't pay for them.
 """
 
 from __future__ import annotations
@@ -19,7 +24,8 @@ from lendscope.llm.common import materialize
 
 M = 16  # links a point makes in an upper layer; the lowest layer keeps twice as many
 EF_BUILD = 64
-EF_SEARCH = 128
+EF_SEARCH = 64  # the first beam of a query
+STARTS = 16  # start points a search enters at
 INSERT_AT_ONCE = 1024
 
 
@@ -165,18 +171,47 @@ def build_graph(vectors: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
 
         keep = 2 * M if layer == 0 else M
         index[f"links{layer}"] = _layer(data[:sizes[layer]], entry_of, keep).astype(np.int32)
+    index["starts"] = start_points(index["links0"])
     return index
 
 
-def search_graph(index: dict[str, np.ndarray], queries: np.ndarray, ef: int) -> np.ndarray:
-    """Rows (of the vectors given to ``build_graph``) of the ``ef`` nearest found, -1 padded."""
+def start_points(links: np.ndarray) -> np.ndarray:
+    """Points that cover all: every point is one of them or linked from one of them."""
+    covered, starts = np.zeros(len(links) + 1, dtype=bool), []  # the last entry stands for -1
+    for point in range(len(links)):
+        if not covered[point]:
+            starts.append(point)
+            covered[point] = covered[links[point]] = True
+    return np.array(starts, dtype=np.int64)
+
+
+def search_graph(index: dict[str, np.ndarray], queries: np.ndarray, k: int, ef: int = EF_SEARCH) -> np.ndarray:
+    """Rows (of the vectors given to ``build_graph``) found nearest to each query, nearest first, -1
+    padded: at least ``k``, if there are as many."""
     lifted = np.concatenate([queries, np.zeros((len(queries), 1))], 1).astype(np.float32)
-    data, sizes = index["data"], index["sizes"]
+    data, sizes, starts = index["data"], index["sizes"], index["starts"]
+    links = index["links0"].astype(np.int64)
     at = np.zeros((len(queries), 1), dtype=np.int64)
     for layer in reversed(range(1, len(sizes))):
         at = _beam(data[:sizes[layer]], index[f"links{layer}"].astype(np.int64), lifted, at, 4)[0]
         at[:, 0] = np.maximum(at[:, 0], 0)
-    found = _beam(data, index["links0"].astype(np.int64), lifted, at, ef)[0]
+    apart = (data[starts] ** 2).sum(1) - 2 * lifted @ data[starts].T
+    near = starts[np.argsort(apart, axis=1, kind="stable")[:, :STARTS]]
+    entry = np.concatenate([at, np.where((near[:, :, None] == at[:, None, :]).any(2), -1, near)], 1)
+
+    def beam(some, width):
+        parts = np.array_split(some, -(-len(some) * width // (1 << 20)))  # bounds the beams' arrays
+        return np.concatenate([_beam(data, links, lifted[p], entry[p], width)[0] for p in parts if len(p)])
+
+    ef = min(max(ef, 2 * k), len(data))
+    found = beam(np.arange(len(queries)), ef)
+    todo, width = np.arange(len(queries)), ef
+    while len(todo) and width < len(data):
+        width = min(2 * width, len(data))
+        wider = beam(todo, width)[:, :ef]
+        changed = (wider[:, :k] != found[todo, :k]).any(1)
+        found[todo] = wider
+        todo = todo[changed]
     return np.where(found >= 0, index["perm"][found], -1)
 
 
@@ -238,7 +273,7 @@ def nearest(df: DataFrame, query_step: int = 20, k: int = 20, id_col: str = "vec
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         graph = unpack_arrays(found_index["blob"].iloc[0])
         q = np.stack(asked["embedding"].to_numpy())
-        hit = search_graph(graph, q, max(ef, k + 1))
+        hit = search_graph(graph, q, k + 1, ef)
         at, slot = np.nonzero(hit >= 0)
         point = hit[at, slot]
         score = (q[at] * graph["vectors"][point]).sum(1)
