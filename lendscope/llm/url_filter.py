@@ -74,8 +74,9 @@ def judge_urls(df: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str
     """One row per input row: ``page_id, host, path, rule, verdict, score``.
 
     ``verdict`` is the longest fitting rule's, else block if the trees' probability ``score`` of
-    block is at least 0.5. The trees are fitted on distinct labelled URLs, all of them or a
-    hash sample of about ``fit_rows`` (the documented bound of the fit); suffix statistics
+    block is at least 0.5. The trees are fitted on distinct labelled URLs, of each verdict all or a
+    hash sample of about half of ``fit_rows`` (the documented bound of the fit), weighted by the share
+    of their verdict that the sample holds; suffix statistics
     (smoothed block rate and log count of labelled URLs) cover all labelled rows. If the labels
     show one verdict only, that is the method's verdict; without any labelled URL it is allow. A
     null URL, or one without ``://``, has an empty host and path and is judged by the trees;
@@ -100,16 +101,18 @@ def judge_urls(df: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str
     if rate in (0.0, 1.0):
         return full.select("page_id", "host", "path", "rule", verdict(F.lit(rate)).alias("verdict"), F.lit(rate).alias("score"))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    labelled = full.where("rule IS NOT NULL").dropDuplicates(["url"])
+    labelled = full.where("rule IS NOT NULL").dropDuplicates(["url"]).withColumn("label", blocked)
+    labelled = materialize(labelled.select("url", "label", *FEATURES), "url-labelled")
     parts = 1 << 20
-    keep = math.ceil(parts * min(1.0, fit_rows / n_labelled))
-    sample = (labelled.where(F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(parts)) < keep)
-              .withColumn("label", blocked).repartition(8, "url").sortWithinPartitions("url"))
-    train = materialize(assembler.transform(sample).select("features", "label"), "url-train")
+    keep = {r["label"]: math.ceil(parts * min(1.0, fit_rows / 2 / r["count"])) for r in labelled.groupBy("label").count().collect()}
+    below = F.element_at(F.create_map(*[F.lit(x) for label, n in keep.items() for x in (label, n)]), F.col("label"))
+    sample = (labelled.where(F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(parts)) < below)
+              .withColumn("weight", F.lit(float(parts)) / below).repartition(8, "url").sortWithinPartitions("url"))
+    train = materialize(assembler.transform(sample).select("features", "label", "weight"), "url-train")
     counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     if len(counts) < 2:
         rate = float(bool(counts.get(1.0)))
         return full.select("page_id", "host", "path", "rule", verdict(F.lit(rate)).alias("verdict"), F.lit(rate).alias("score"))
-    model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=seed, subsamplingRate=1.0).fit(train)
+    model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=seed, subsamplingRate=1.0, weightCol="weight").fit(train)
     scored = model.transform(assembler.transform(full)).withColumn("score", vector_to_array("probability")[1])
     return scored.select("page_id", "host", "path", "rule", verdict(F.col("score")).alias("verdict"), "score")
