@@ -176,11 +176,14 @@ def count_huge(docs: DataFrame, path: str, chunk: int = CHUNK_CHARS, overlap: in
         n = splice(list(zip(pdf["end"], pdf["tokens"], pdf["positions"], pdf["before"], strict=True)), int(pdf["n_chars"].iloc[0]))
         return pdf.iloc[:1][["key_id", "key_text"]].assign(n_tokens=-1 if n is None else n)
 
+    # Encoding is work by characters, far more than the bytes suggest: a task for every 16 chunks.
+    characters = docs.agg(F.sum(F.char_length("text").cast("long"))).first()[0] or 0
+    parts = max(1, -(-characters // (16 * chunk)))
     done, todo = None, docs
     while True:
         pieces = todo.mapInArrow(lambda it, c=chunk, o=overlap: _cut(it, c, o),
                                  "key_id long, key_text long, n_chars long, k long, begin long, piece string")
-        encoded = (pieces.repartition("key_id", "key_text", "k")
+        encoded = (pieces.repartition(parts, "key_id", "key_text", "k")
                    .mapInArrow(lambda it, c=chunk, o=overlap: _encode_chunks(it, path, c, o), _ENCODED))
         counted = materialize(encoded.groupBy("key_id", "key_text").applyInPandas(join, "key_id long, key_text long, n_tokens long"),
                               "token-chunks")
