@@ -120,6 +120,26 @@ def elbow_sweep(spark: SparkSession, df: DataFrame, ks: Sequence[int], features:
     return spark.createDataFrame([(int(k), found[k][1]) for k in ks if k in found], "k int, wcss double")
 
 
+def assign_all(rows: DataFrame, runs: dict[str, np.ndarray]) -> DataFrame:
+    """``key`` and, for each of ``runs`` (column name -> centres), the index of the nearest centre
+    (ties: the lower): one pass, by the same products as the fit."""
+    names = list(runs)
+    centres = [runs[c] for c in names]
+    kind = rows.schema["key"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = [[] for _ in names]
+            for x in _batches(iter([batch.select(["x"])]), centres[0].shape[1]):
+                for j, c in enumerate(centres):
+                    middle = c.mean(0)
+                    best[j].append(((c - middle) ** 2).sum(1)[None] - 2 * (x - middle) @ (c - middle).T)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[
+                pa.array(np.concatenate([b.argmin(1) for b in parts]) if parts else np.zeros(0), pa.int32()) for parts in best]], names=["key", *names])
+
+    return rows.select("key", "x").mapInArrow(run, f"key {kind}, " + ", ".join(f"`{c}` int" for c in names))
+
+
 def assign(rows: DataFrame, centres: np.ndarray, name: str = "cluster") -> DataFrame:
     """``rows`` with the index of the nearest centre (ties: the lower) and the squared distance, in
     plain expressions."""

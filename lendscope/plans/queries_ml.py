@@ -194,14 +194,10 @@ def elbow_baseline(spark, sf_dir):
 
 @register("kmeans_assign")
 def kmeans_assign(spark, sf_dir):
-    frame = _fit_frame(spark, sf_dir, _CLUSTER_COLS)
-    try:
-        data = _vectors(frame)
-        coarse = cluster.fit_kmeans(data, 3, seed=2)
-        fine = cluster.fit_kmeans(data, 20, seed=2, prediction="cluster_20")
-    finally:
-        frame.unpersist()
-    return fine.transform(coarse.transform(data)).select("id", "cluster", "cluster_20")
+    """Each loan's cluster among 3 and among 20, both fitted in shared passes."""
+    rows = sweep.as_arrays(_vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS)), "features_scaled")
+    found = sweep.sweep_kmeans(rows, (3, 20))
+    return sweep.assign_all(rows, {"cluster": found[3][0], "cluster_20": found[20][0]}).withColumnRenamed("key", "id")
 
 
 @register("sweep_assign", with_loans(

@@ -46,7 +46,8 @@ def read_loans(spark: SparkSession, path: str, schema: StructType | None = None,
 
     With a declared ``schema`` a line with too many or too few fields, or a
     value that does not fit its type, lands in ``corrupt_col`` (when the schema
-    carries that column). ``infer=True`` reproduces the notebook's inferred read.
+    carries that column). ``infer=True`` reproduces the notebook's inferred read; it scans every file
+    once more to find the types, and one odd value makes a whole column text.
 
     ``keep_empty_strings``: an unquoted empty field is NULL and a quoted one
     (``""``) is the empty string, so NULL and '' survive a write/read round trip

@@ -109,3 +109,12 @@ def test_splittable_read_sends_broken_records_to_corrupt_column(spark, tmp_dir):
     broken = [r[loans_csv.CORRUPT_COL] for r in rows if r[loans_csv.CORRUPT_COL] is not None]
     assert good == {1: "a, b", 3: "plain"}
     assert len(broken) == 2 and any("line one" in b for b in broken)
+
+
+def test_inferred_types(spark, tmp_dir):
+    """Types by inference: a column of numbers with one odd value is text, as with the notebook's read."""
+    rows = [(1, 2.5, "7", "Dec-2015"), (2, None, "n/a", "Jan-2016")]
+    loans_csv.write_layer(spark.createDataFrame(rows, "id int, rate double, dti string, issue_d string"), tmp_dir + "/inferred", fmt="csv")
+    back = loans_csv.read_loans(spark, tmp_dir + "/inferred", infer=True)
+    assert [f.dataType.simpleString() for f in back.schema.fields] == ["int", "double", "string", "string"]
+    assert sorted(map(tuple, back.collect())) == rows

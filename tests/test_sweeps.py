@@ -56,6 +56,8 @@ def test_assignment_by_expressions(spark):
     centres = x[:4]
     got = {r.key: (r.cluster, r.cluster_distance) for r in sweep.assign(rows, centres).collect()}
     apart = ((x[:, None] - centres[None]) ** 2).sum(2)
+    both = {r.key: (r.four, r.two) for r in sweep.assign_all(rows, {"four": centres, "two": centres[:2]}).collect()}
+    assert all(both[i] == (apart[i].argmin(), apart[i, :2].argmin()) for i in range(len(x)))
     assert all(got[i][0] == apart[i].argmin() and got[i][1] == pytest.approx(apart[i].min()) for i in range(len(x)))
 
 
