@@ -1,5 +1,7 @@
 """The registered queries of the operators in this subpackage, with their DuckDB SQL where SQL
-can express them. Each applies its operator with production parameters to its whole table."""
+can express them. Each applies its operator with production parameters to its whole table; what it
+returns for nulls, empty and very long texts, ties, repeated rows, empty tables and further columns is
+stated in its operator's docstring (very long texts are always read whole)."""
 
 from __future__ import annotations
 
