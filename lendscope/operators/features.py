@@ -32,8 +32,8 @@ def guard_features(features: Sequence[str], label: str = "target",
 
 #: Partitions of a fit's input: at least so many, and one for every so many rows. Part of the fit; it
 #: follows from the data, never from the cluster's cores.
-FIT_PARTITIONS = 16
-FIT_PARTITION_ROWS = 1 << 16
+FIT_PARTITIONS = 8
+FIT_PARTITION_ROWS = 1 << 18
 
 
 def partitions_for(rows: int) -> int:

@@ -133,6 +133,11 @@ def _scaled(frame, cols=NUMERIC):
 _CLUSTER_COLS = ("id",) + NUMERIC + CATS
 
 
+def _cluster_frame(spark, sf_dir):
+    """The columns of the clustering vector, computed once for the passes of its scaling."""
+    return materialize(model_frame(spark, sf_dir).select(*_CLUSTER_COLS), "cluster-columns")
+
+
 def _vectors(frame):
     """The whole feature vector: one-hot categories and numbers, scaled."""
     _, out = features.full_features(frame, numeric_features(frame), CATS)
@@ -174,7 +179,7 @@ def feature_vectors(spark, sf_dir):
 @register("elbow")
 def elbow(spark, sf_dir):
     """Within-cluster squares for every k, from passes that all of them share."""
-    return sweep.elbow_sweep(spark, _vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS)), ELBOW_KS)
+    return sweep.elbow_sweep(spark, _vectors(_cluster_frame(spark, sf_dir)), ELBOW_KS)
 
 
 def _width_sql():
@@ -188,14 +193,14 @@ _KNOWN = " AND ".join(f"{c} IS NOT NULL" for c in CATS)
     f"SELECT 1 AS k, round(CAST((count(*) - 1) * {_width_sql()} AS DOUBLE), 2) AS wcss FROM cur WHERE {_KNOWN}", _CUR, *_label_sql(CATS)))
 def elbow_baseline(spark, sf_dir):
     """The sweep's k = 1: every scaled feature has unit variance, so its squares follow from the counts."""
-    out = sweep.elbow_sweep(spark, _vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS)), [1])
+    out = sweep.elbow_sweep(spark, _vectors(_cluster_frame(spark, sf_dir)), [1])
     return out.withColumn("wcss", F.round("wcss", 2))
 
 
 @register("kmeans_assign")
 def kmeans_assign(spark, sf_dir):
     """Each loan's cluster among 3 and among 20, both fitted in shared passes."""
-    rows = sweep.as_arrays(_vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS)), "features_scaled")
+    rows = sweep.as_arrays(_vectors(_cluster_frame(spark, sf_dir)), "features_scaled")
     found = sweep.sweep_kmeans(rows, (3, 20))
     return sweep.assign_all(rows, {"cluster": found[3][0], "cluster_20": found[20][0]}).withColumnRenamed("key", "id")
 
@@ -206,7 +211,7 @@ def sweep_assign(spark, sf_dir):
     """The sweep checked by plain expressions: every row is assigned to its nearest final centre; the
     squared distances must add up to what the shared passes found, and moving each centre to the
     mean of its rows must not raise them (centres for which it would: 0)."""
-    rows = sweep.as_arrays(_vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS)), "features_scaled")
+    rows = sweep.as_arrays(_vectors(_cluster_frame(spark, sf_dir)), "features_scaled")
     parts = []
     for k, (centres, wcss) in sorted(sweep.sweep_kmeans(rows, (3, 20)).items()):
         near = sweep.assign(rows, centres)
@@ -228,7 +233,7 @@ def pca_project(spark, sf_dir):
 
 def _sparse(spark, sf_dir):
     """The whole scaled vector as sparse rows, and its width."""
-    data = _vectors(model_frame(spark, sf_dir).select(*_CLUSTER_COLS))
+    data = _vectors(_cluster_frame(spark, sf_dir))
     width = data.schema["features_scaled"].metadata["ml_attr"]["num_attrs"]
     return materialize(subspace.sparse_rows(data, "features_scaled"), "pca-rows"), width
 
@@ -380,8 +385,9 @@ _DERIVED = {"loan_amnt": "double", "int_rate": "double", "grade": "string", "sub
 
 
 def _schema_frame(spark, sf_dir):
-    """Curated loans as they are, with a free text; the features follow from the schema."""
-    return curate.curate(loans_view(spark, sf_dir)).selectExpr("id", "target", *[c for c in _DERIVED if c != "notes"], f"{_NOTES} AS notes")
+    """Curated loans as they are, with a free text, written once; the features follow from the schema."""
+    frame = curate.curate(loans_view(spark, sf_dir)).selectExpr("id", "target", *[c for c in _DERIVED if c != "notes"], f"{_NOTES} AS notes")
+    return materialize(frame, "derive-columns")
 
 
 _DERIVED_CTE = f"der AS MATERIALIZED (SELECT id, target, {', '.join(c for c in _DERIVED if c != 'notes')}, {_NOTES_SQL} AS notes FROM cur)"

@@ -215,9 +215,9 @@ def test_split_counts_equal_a_walk_over_the_trees(spark, tmp_dir):
 
 
 def test_partitions_follow_the_rows(spark):
-    assert [features.partitions_for(n) for n in (0, 1, 16 << 16, (16 << 16) + 1, 4096 << 16)] == [16, 16, 16, 17, 4096]
+    assert [features.partitions_for(n) for n in (0, 1, 8 << 18, (8 << 18) + 1, 4096 << 18)] == [8, 8, 8, 9, 4096]
     frame = spark.range(3000).withColumn("v", F.col("id") % 7)
-    for parts in (16, 4096):
+    for parts in (8, 4096):
         held = features.persist_for_fit(frame, partitions=parts)
         assert held.rdd.getNumPartitions() == parts and held.count() == 3000
         held.unpersist()
