@@ -24,7 +24,7 @@ from lendscope.llm.common import materialize
 
 M = 16  # links a point makes in an upper layer; the lowest layer keeps twice as many
 EF_BUILD = 64
-EF_SEARCH = 64  # the first beam of a query
+EF_SEARCH = 24  # the first beam of a query, at least
 STARTS = 16  # start points a search enters at
 INSERT_AT_ONCE = 1024
 
@@ -203,7 +203,7 @@ def search_graph(index: dict[str, np.ndarray], queries: np.ndarray, k: int, ef:
         parts = np.array_split(some, -(-len(some) * width // (1 << 20)))  # bounds the beams' arrays
         return np.concatenate([_beam(data, links, lifted[p], entry[p], width)[0] for p in parts if len(p)])
 
-    ef = min(max(ef, 2 * k), len(data))
+    ef = min(max(ef, 2 * k + 6), len(data))
     found = beam(np.arange(len(queries)), ef)
     todo, width = np.arange(len(queries)), ef
     while len(todo) and width < len(data):
@@ -268,12 +268,16 @@ def nearest(df: DataFrame, query_step: int = 20, k: int = 20, id_col: str = "vec
              .groupBy("dim", "shard").applyInPandas(build, "dim int, shard long, blob binary"))
     index = materialize(index, "hnsw-index")
 
+    # Points lie in shards by a hash, so a shard holds its share of a query's nearest, give or take: the
+    # beams of a shard go on until so many of its results stand still.
+    settle = min(k + 1, -(-3 * (k + 1) // (2 * n_shards)) + 6)
+
     def search(found_index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(found_index) or not len(asked):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         graph = unpack_arrays(found_index["blob"].iloc[0])
         q = np.stack(asked["embedding"].to_numpy())
-        hit = search_graph(graph, q, k + 1, ef)
+        hit = search_graph(graph, q, settle, ef)
         at, slot = np.nonzero(hit >= 0)
         point = hit[at, slot]
         score = (q[at] * graph["vectors"][point]).sum(1)
