@@ -120,9 +120,13 @@ def _fit_frame(spark, sf_dir, cols=_MODEL_COLS):
     keeps the cache small. Callers fit on it, then unpersist it; the frame they
     return is lazy and reads from the plan again, so no cache outlives the query.
     """
-    rows = read_table(spark, sf_dir, "orders").count()  # from the files' footers; no loan is without an order
     return features.persist_for_fit(model_frame(spark, sf_dir).select(*{"id": 0} | dict.fromkeys(cols)),
-                                    partitions=features.partitions_for(rows))
+                                    partitions=_partitions(spark, sf_dir))
+
+
+def _partitions(spark, sf_dir):
+    """Partitions of a fit, by the orders in the files' footers: no loan is without an order."""
+    return features.partitions_for(read_table(spark, sf_dir, "orders").count())
 
 
 def _scaled(frame, cols=NUMERIC):
@@ -134,8 +138,8 @@ _CLUSTER_COLS = ("id",) + NUMERIC + CATS
 
 
 def _cluster_frame(spark, sf_dir):
-    """The columns of the clustering vector, computed once for the passes of its scaling."""
-    return materialize(model_frame(spark, sf_dir).select(*_CLUSTER_COLS), "cluster-columns")
+    """The columns of the clustering vector, computed once for the passes of its scaling and the fits."""
+    return materialize(model_frame(spark, sf_dir).select(*_CLUSTER_COLS).repartition(_partitions(spark, sf_dir), "id"), "cluster-columns")
 
 
 def _vectors(frame):
@@ -387,7 +391,7 @@ _DERIVED = {"loan_amnt": "double", "int_rate": "double", "grade": "string", "sub
 def _schema_frame(spark, sf_dir):
     """Curated loans as they are, with a free text, written once; the features follow from the schema."""
     frame = curate.curate(loans_view(spark, sf_dir)).selectExpr("id", "target", *[c for c in _DERIVED if c != "notes"], f"{_NOTES} AS notes")
-    return materialize(frame, "derive-columns")
+    return materialize(frame.repartition(_partitions(spark, sf_dir), "id"), "derive-columns")
 
 
 _DERIVED_CTE = f"der AS MATERIALIZED (SELECT id, target, {', '.join(c for c in _DERIVED if c != 'notes')}, {_NOTES_SQL} AS notes FROM cur)"
@@ -448,7 +452,7 @@ def derived_features(spark, sf_dir):
         F.zip_with("at", "value", lambda a, v: (a % 97 + 1) * v), F.lit(0.0), lambda s, x: s + x), 4).alias("checksum"))
 
 
-def _grid(spark, sf_dir, tol=1e-7):
+def _grid(spark, sf_dir, tol=1e-5):
     """The grid's models of the training part, and the hashed parts. The routes come from the training
     part alone."""
     parts = _lr_parts(_schema_frame(spark, sf_dir))
@@ -478,7 +482,7 @@ _TRAIN_60 = f"{_BITS.replace(':21', ':123')} < {round((1 << 32) * SPLIT_TRAIN_TE
 def lr_grid_slopes(spark, sf_dir):
     """Each penalty's objective is convex, so its minimum is where all slopes vanish: slots and
     intercepts whose slope at the fitted coefficients, summed over the training part, is not zero (0)."""
-    fitted, train, _, _ = _grid(spark, sf_dir)
+    fitted, train, _, _ = _grid(spark, sf_dir, 1e-7)
     return grid.slopes_off(spark, train, fitted, 1e-6)
 
 
