@@ -124,9 +124,9 @@ def _fit_frame(spark, sf_dir, cols=_MODEL_COLS):
                                     partitions=_partitions(spark, sf_dir))
 
 
-def _partitions(spark, sf_dir):
+def _partitions(spark, sf_dir, rows_each=features.FIT_PARTITION_ROWS):
     """Partitions of a fit, by the orders in the files' footers: no loan is without an order."""
-    return features.partitions_for(read_table(spark, sf_dir, "orders").count())
+    return features.partitions_for(read_table(spark, sf_dir, "orders").count(), rows_each)
 
 
 def _scaled(frame, cols=NUMERIC):
@@ -278,14 +278,14 @@ def explained_variance(spark, sf_dir):
 
 def _gbt(spark, sf_dir):
     """The model of the training part, weighted by that part's balance, and the test part as a plan
-    of its own, without the fit's repartition."""
-    frame = _fit_frame(spark, sf_dir)
+    of its own, without the fit's repartition. Only the training part is persisted: the fit's own
+    passes neither split the rows again nor share their memory with the test part."""
+    train, test = split_frames(model_frame(spark, sf_dir).select(*_MODEL_COLS), SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
+    train = features.persist_for_fit(train, partitions=_partitions(spark, sf_dir, features.BOOST_PARTITION_ROWS))
     try:
-        train, _ = split_frames(frame, SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
         model = models.fit_gbt(models.with_balance_weight(train), numeric_features(train), CATS)
     finally:
-        frame.unpersist()
-    _, test = split_frames(model_frame(spark, sf_dir).select(*_MODEL_COLS), SPLIT_TRAIN_TEST, "id", 21, ["train", "test"])
+        train.unpersist()
     return model, test
 
 

@@ -84,6 +84,19 @@ def share_package_path(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+#: Bytes of a generated method beyond which HotSpot leaves it interpreted.
+HUGE_METHOD_BYTES = 8000
+
+
+def keep_methods_small(spark: SparkSession) -> None:
+    """Let Spark generate code operator by operator for stages whose one method HotSpot would leave
+    interpreted, unless the session sets that limit itself. The loan rules make such stages
+    (measured: the curated chain takes a third of the time); results are the same."""
+    name, unset = "spark.sql.codegen.hugeMethodLimit", "65535"
+    if spark.conf.get(name, unset) == unset:
+        spark.conf.set(name, str(HUGE_METHOD_BYTES))
+
+
 def layers_path(spark: SparkSession) -> str:
     """The folder of this application's written layers, in the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), "layers", spark.sparkContext.applicationId)

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendscope.session import keep_methods_small
 from lendscope.sources.tables import read_table
 
 _STATUS_BY_K20 = [
@@ -83,6 +84,7 @@ def loans_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def loans_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep_methods_small(spark)
     return loans_from(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"))
 
 

@@ -246,3 +246,38 @@ def test_scores_by_the_node_table(spark, tmp_dir):
     both = scored.join(models.score_by_nodes(spark, path, scored), "id")
     assert both.count() == frame.count()
     assert both.agg(F.max(F.abs(F.col("own") - F.col("score")))).first()[0] < 1e-12
+
+
+def test_boosted_trees_take_fewer_larger_partitions():
+    rows = features.BOOST_PARTITION_ROWS
+    assert [features.partitions_for(n, rows) for n in (0, 8 << 20, (8 << 20) + 1, 54_000_000)] == [8, 8, 9, 52]
+
+
+def test_boosting_persists_the_training_part_alone(spark, monkeypatch):
+    held = []
+
+    def hold(df, *args, **kwargs):
+        held.append((df, kwargs["partitions"]))
+        return df.persist()
+
+    monkeypatch.setattr(queries_ml.features, "persist_for_fit", hold)
+    monkeypatch.setattr(queries_ml.models, "fit_gbt", lambda *args: None)
+    _, test = queries_ml._gbt(spark, SF001)
+    frame = queries_ml.model_frame(spark, SF001)
+    train, rest = split_frames(frame, [0.7, 0.3], "id", 21, ["train", "test"])
+    assert [(df.count(), n) for df, n in held] == [(train.count(), 8)] and test.count() == rest.count() > 0
+    assert set(held[0][0].columns) == set(queries_ml._MODEL_COLS)
+
+
+def test_loan_rules_are_compiled_in_pieces_unless_the_session_says_otherwise(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        queries_ml.loans_view(spark, SF001)
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "5000")
+        queries_ml.loans_view(spark, SF001)
+        assert spark.conf.get(name) == "5000"
+    finally:
+        spark.conf.set(name, before)
