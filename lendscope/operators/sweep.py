@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from lendscope.operators.rows import hash_bits
 from lendscope.session import materialize
@@ -141,10 +142,65 @@ def assign_all(rows: DataFrame, runs: dict[str, np.ndarray]) -> DataFrame:
 
 
 def assign(rows: DataFrame, centres: np.ndarray, name: str = "cluster") -> DataFrame:
-    """``rows`` with the index of the nearest centre (ties: the lower) and the squared distance, in
-    plain expressions."""
-    table = ", ".join("array(" + ", ".join(f"{float(v)!r}D" for v in c) + ")" for c in centres)
-    measured = rows.withColumn("_apart", F.expr(
-        f"transform(array({table}), c -> aggregate(zip_with(x, c, (a, b) -> (a - b) * (a - b)), 0D, (s, d) -> s + d))"))
-    return (measured.withColumn(f"{name}_distance", F.array_min("_apart"))
-            .withColumn(name, (F.array_position("_apart", F.col(f"{name}_distance")) - 1).cast("int")).drop("_apart"))
+    """``rows`` with the index of the nearest centre (ties: the lower) and the squared distance, by
+    plain differences: each distance adds up its squares dimension by dimension."""
+    columns = rows.columns
+    of = columns.index("x")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best, least = [], []
+            for x in _batches(iter([batch.select([of])]), centres.shape[1]):
+                apart = np.zeros((len(centres), len(x)))
+                for at, c in zip(np.ascontiguousarray(x.T), centres.T, strict=True):
+                    apart += (at - c[:, None]) ** 2
+                near = apart.argmin(0)
+                best.append(near)
+                least.append(apart[near, np.arange(len(x))])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(least or [np.zeros(0)])),
+                                              pa.array(np.concatenate(best or [np.zeros(0)]), pa.int32())],
+                                             names=[*columns, f"{name}_distance", name])
+
+    schema = StructType([*rows.schema.fields, StructField(f"{name}_distance", DoubleType()), StructField(name, IntegerType())])
+    return rows.mapInArrow(run, schema)
+
+
+def spread(assigned: DataFrame, centres: np.ndarray, name: str = "cluster") -> DataFrame:
+    """Per centre of :func:`assign`'s rows: ``cluster, n, squares`` (the squared distances to it in all)
+    and ``around_mean`` (those to the mean of its rows).
+
+    Each chunk of rows gives its count, its means (from the centre) and the squares around them; parts
+    of a centre are then joined by the usual update, so no small difference of large sums is taken."""
+    width = centres.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, squares, inner = (np.zeros(len(centres)) for _ in range(3))
+        means = np.zeros((len(centres), width))
+        for batch in batches:
+            best, least = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for begin, x in zip(range(0, batch.num_rows, _CHUNK), _batches(iter([batch]), width), strict=True):
+                own, far = best[begin:begin + _CHUNK], least[begin:begin + _CHUNK]
+                order = np.argsort(own, kind="stable")
+                first = np.flatnonzero(np.r_[True, np.diff(own[order]) > 0])
+                some, y = own[order][first], x[order] - centres[own[order]]
+                count = np.diff(np.r_[first, len(x)])
+                mean = np.add.reduceat(y, first, axis=0) / count[:, None]
+                inside = np.add.reduceat(((y - np.repeat(mean, count, axis=0)) ** 2).sum(1), first)
+                gap, both = mean - means[some], n[some] + count
+                inner[some] += inside + (gap ** 2).sum(1) * n[some] * count / both
+                means[some] += gap * (count / both)[:, None]
+                n[some] = both
+                squares += np.bincount(own, weights=far, minlength=len(centres))
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some].astype(np.int64)), pa.array(squares[some]), pa.array(inner[some]),
+                                          pa.array(list(means[some]), pa.list_(pa.float64()))], names=[name, "n", "squares", "inner", "means"])
+
+    parts = materialize(assigned.select("x", name, f"{name}_distance")
+                        .mapInArrow(run, f"{name} int, n long, squares double, inner double, means array<double>"), "sweep-spread")
+    # At most (tasks) x (centres) rows; the squares between the parts' means, by dimension.
+    between = (parts.select(name, "n", F.posexplode("means").alias("at", "mean")).groupBy(name, "at")
+               .agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("mean")).alias("first"),
+                    F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("second"))
+               .groupBy(name).agg(F.sum(F.col("second") - F.col("first") * F.col("first") / F.col("all")).alias("between")))
+    whole = parts.groupBy(name).agg(F.sum("n").alias("n"), F.sum("squares").alias("squares"), F.sum("inner").alias("inner"))
+    return whole.join(between, name).select(name, "n", "squares", (F.col("inner") + F.col("between")).alias("around_mean"))

@@ -212,18 +212,15 @@ def kmeans_assign(spark, sf_dir):
 @register("sweep_assign", with_loans(
     f"SELECT k, count(*) AS n, 0 AS n_centres_off, TRUE AS same_squares FROM cur, (VALUES (3), (20)) AS t(k) WHERE {_KNOWN} GROUP BY k", _CUR))
 def sweep_assign(spark, sf_dir):
-    """The sweep checked by plain expressions: every row is assigned to its nearest final centre; the
+    """The sweep checked by plain differences: every row is assigned to its nearest final centre; the
     squared distances must add up to what the shared passes found, and moving each centre to the
     mean of its rows must not raise them (centres for which it would: 0)."""
     rows = sweep.as_arrays(_vectors(_cluster_frame(spark, sf_dir)), "features_scaled")
     parts = []
     for k, (centres, wcss) in sorted(sweep.sweep_kmeans(rows, (3, 20)).items()):
-        near = sweep.assign(rows, centres)
-        per = near.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("cluster_distance").alias("squares"),
-                                          *[F.var_pop(F.col("x")[i]).alias(f"v{i}") for i in range(centres.shape[1])])
-        around_mean = sum((F.col(f"v{i}") for i in range(centres.shape[1])), F.lit(0.0)) * F.col("n")
+        per = sweep.spread(sweep.assign(rows, centres), centres)
         parts.append(per.agg(F.lit(k).alias("k"), F.sum("n").alias("n"),
-                             F.count_if(around_mean > F.col("squares") * (1 + 1e-9) + 1e-9).cast("int").alias("n_centres_off"),
+                             F.count_if(F.col("around_mean") > F.col("squares") * (1 + 1e-9) + 1e-9).cast("int").alias("n_centres_off"),
                              (F.abs(F.sum("squares") - F.lit(wcss)) < 1e-6 * wcss).alias("same_squares")))
     return parts[0].unionByName(parts[1])
 

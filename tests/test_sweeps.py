@@ -281,3 +281,18 @@ def test_loan_rules_are_compiled_in_pieces_unless_the_session_says_otherwise(spa
         assert spark.conf.get(name) == "5000"
     finally:
         spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_spread_around_centres_and_means(spark, parts):
+    x, rows = blobs(spark, n=6000, parts=parts)
+    centres = np.vstack([x[:4], np.full(x.shape[1], 1e6)])  # nobody is near the last one
+    apart = ((x[:, None] - centres[None]) ** 2).sum(2)
+    best = apart.argmin(1)
+    got = {r.cluster: r for r in sweep.spread(sweep.assign(rows, centres), centres).collect()}
+    assert sorted(got) == [0, 1, 2, 3]
+    for j, r in got.items():
+        own = x[best == j]
+        assert r.n == len(own) and r.squares == pytest.approx(apart[best == j, j].sum())
+        assert r.around_mean == pytest.approx(((own - own.mean(0)) ** 2).sum())
+    assert sweep.spread(sweep.assign(rows.where("key < 0"), centres), centres).count() == 0
