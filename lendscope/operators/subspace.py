@@ -78,6 +78,10 @@ def _moments(rows: DataFrame, width: int) -> tuple[int, np.ndarray, np.ndarray]:
     return int(sums[-1]), sums[:width], sums[width:-1]
 
 
+#: Chunks of vectors of at most this width are multiplied as a dense matrix.
+_DENSE_WIDTH = 512
+
+
 def _scatter_times(rows: DataFrame, block: np.ndarray) -> np.ndarray:
     """``X'X block`` for the rows X: at most features x block width rows come back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,6 +91,10 @@ def _scatter_times(rows: DataFrame, block: np.ndarray) -> np.ndarray:
                 row, at, value = _csr(batch.slice(lo, 2048))
                 if not len(row):
                     continue
+                if len(block) <= _DENSE_WIDTH:
+                    x = np.bincount(row * len(block) + at, weights=value, minlength=(row[-1] + 1) * len(block)).reshape(-1, len(block))
+                    total += x.T @ (x @ block)
+                    continue
                 first = np.flatnonzero(np.r_[True, np.diff(row) > 0])
                 scaled = value[:, None] * block[at]
                 product = np.add.reduceat(scaled, first, axis=0)

@@ -296,3 +296,14 @@ def test_spread_around_centres_and_means(spark, parts):
         assert r.n == len(own) and r.squares == pytest.approx(apart[best == j, j].sum())
         assert r.around_mean == pytest.approx(((own - own.mean(0)) ** 2).sum())
     assert sweep.spread(sweep.assign(rows.where("key < 0"), centres), centres).count() == 0
+
+
+def test_dense_chunks_give_the_sparse_products(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 12))
+    x[rng.random(x.shape) < 0.4] = 0
+    x[7] = 0
+    rows, block = subspace.sparse_rows(dense(spark, x), "features"), rng.normal(size=(12, 5))
+    found = subspace._scatter_times(rows, block)
+    monkeypatch.setattr(subspace, "_DENSE_WIDTH", 0)
+    assert np.allclose(found, x.T @ x @ block, rtol=1e-10) and np.allclose(found, subspace._scatter_times(rows, block), rtol=1e-10)
