@@ -98,9 +98,8 @@ def slot_and_sign(name: str, width: int = HASHED_FEATURES) -> tuple[int, int]:
     return int(digest[:8], 16) % width, -1 if int(digest[8], 16) >= 8 else 1
 
 
-def _entry(name: Column, width: int, value: Column | None = None) -> Column:
-    """:func:`slot_and_sign` of a name that differs by row, as an (at, value) struct."""
-    digest = F.md5(name)
+def _entry(digest: Column, width: int, value: Column | None = None) -> Column:
+    """:func:`slot_and_sign` of a name that differs by row, by its md5, as an (at, value) struct."""
     sign = F.when(F.substring(digest, 9, 1) >= "8", F.lit(-1.0)).otherwise(F.lit(1.0))
     return F.struct((F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % width).cast("int").alias("at"),
                     (sign if value is None else sign * value).alias("value"))
@@ -120,6 +119,12 @@ def hashed_features(df: DataFrame, routes: Sequence[Route], keep: Sequence[str]
     """
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     parts, none = [], F.array().cast("array<struct<at:int,value:double>>")
+    # The tokens are a column of their own: inside the count they would be split again for every token.
+    stem = "_tokens"
+    while any(c.lower().startswith(stem) for c in df.columns):
+        stem = "_" + stem
+    split = {r.column: f"{stem}_{r.position}" for r in routes if r.kind == "tokens"}
+    df = df.withColumns({name: F.filter(F.split(F.lower(F.col(sql_name(c))), TOKEN_GAP), lambda t: t != "") for c, name in split.items()})
     for r in routes:
         c = F.col(sql_name(r.column))
         missing = F.array(_fixed(f"{r.column}=missing", width, F.lit(1.0)))
@@ -128,11 +133,12 @@ def hashed_features(df: DataFrame, routes: Sequence[Route], keep: Sequence[str]
             parts.append(F.when(x.isNull(), missing).when(x == 0, none).otherwise(F.array(_fixed(r.column, width, x * F.lit(r.scale)))))
         elif r.kind == "category":
             text = F.concat(F.lit(r.column + "="), c.cast("string"))
-            parts.append(F.when(is_missing(sql_name(r.column), dtypes[r.column]), missing).otherwise(F.array(_entry(text, width))))
+            parts.append(F.when(is_missing(sql_name(r.column), dtypes[r.column]), missing).otherwise(F.array(_entry(F.md5(text), width))))
         elif r.kind == "tokens":
-            tokens = F.filter(F.split(F.lower(c), TOKEN_GAP), lambda t: t != "")
-            counted = F.transform(F.array_distinct(tokens), lambda t: _entry(
-                F.concat(F.lit(r.column + "="), t), width, F.size(F.filter(tokens, lambda u: u == t)).cast("double")))
+            tokens = F.col(split[r.column])
+            named = F.transform(F.array_distinct(tokens), lambda t: F.struct(
+                F.md5(F.concat(F.lit(r.column + "="), t)).alias("digest"), F.size(F.filter(tokens, lambda u: u == t)).cast("double").alias("n")))
+            counted = F.transform(named, lambda e: _entry(e["digest"], width, e["n"]))
             parts.append(F.when(is_missing(sql_name(r.column), dtypes[r.column]), missing).otherwise(counted))
     entries = F.concat(*parts) if parts else none
     return df.select(*keep, entries.alias("_e")).select(*keep, F.col("_e.at").alias("at"), F.col("_e.value").alias("value"))

@@ -36,10 +36,9 @@ class Logistic:
 
 
 def _margins(row, at, value, table, bias, n_rows):
-    out = np.zeros((n_rows, table.shape[1]))
-    if len(row):
-        first = np.flatnonzero(np.r_[True, np.diff(row) > 0])
-        out[row[first]] = np.add.reduceat(value[:, None] * table[at], first, axis=0)
+    out = np.empty((n_rows, table.shape[1]))
+    for j in range(table.shape[1]):
+        out[:, j] = np.bincount(row, weights=value * table[at, j], minlength=n_rows)
     return out + bias
 
 
@@ -60,10 +59,8 @@ def losses_and_slopes(rows: DataFrame, table: np.ndarray) -> tuple[float, np.nda
                 error = 0.5 * (1 + np.tanh(margin / 2)) - label
                 n += part.num_rows
                 slopes[-1] += error.sum(0)
-                if len(row):
-                    order = np.argsort(at, kind="stable")
-                    edges = np.flatnonzero(np.r_[True, np.diff(at[order]) > 0])
-                    slopes[at[order][edges]] += np.add.reduceat((value[:, None] * error[row])[order], edges, axis=0)
+                for j in range(models):
+                    slopes[:-1, j] += np.bincount(at, weights=value * error[row, j], minlength=width)
         yield _slots(np.r_[n, loss, slopes.ravel()])
 
     flat = _collect_slots(rows.select("at", "value", "label").mapInArrow(run, "slot long, value double"), 1 + models + table.size)

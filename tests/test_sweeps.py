@@ -307,3 +307,13 @@ def test_dense_chunks_give_the_sparse_products(spark, monkeypatch):
     found = subspace._scatter_times(rows, block)
     monkeypatch.setattr(subspace, "_DENSE_WIDTH", 0)
     assert np.allclose(found, x.T @ x @ block, rtol=1e-10) and np.allclose(found, subspace._scatter_times(rows, block), rtol=1e-10)
+
+
+def test_tokens_are_split_once_a_row(spark):
+    df = spark.createDataFrame([(1, 0, " ".join(f"w{i % 7}" for i in range(j))) for j in range(70)], "id int, target int, notes string")
+    routes = derive.derive_routes(df)
+    assert [r.kind for r in routes] == ["tokens"]
+    out = derive.hashed_features(df, routes)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    longest = max(out.collect(), key=lambda r: sum(abs(v) for v in r.value))
+    assert sorted(map(abs, longest.value)) == [9.0] * 1 + [10.0] * 6 and out.columns == ["id", "target", "at", "value"]
