@@ -59,20 +59,46 @@ def encode_words(path: str, texts: list[str | None]) -> tuple[list[bytes], np.nd
             counts[i] = len(own)
             words += own
     ids = list(map(cache.get, words))
-    if None in ids:
-        new = list({w for w, got in zip(words, ids, strict=True) if got is None})
+    missing = [i for i, got in enumerate(ids) if got is None]
+    if missing:
+        new = list({words[i] for i in missing})
         fresh: dict[bytes, bytes] = {}
         for begin in range(0, len(new), 4096):
             part = new[begin:begin + 4096]
-            done = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            fresh.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, done, strict=True))
-        ids = [got if got is not None else fresh[w] for w, got in zip(words, ids, strict=True)]
+            fresh.update(zip(part, _ids_of(tokenizer, part), strict=True))
+        for i in missing:
+            ids[i] = fresh[words[i]]
         room = CACHE_WORDS - len(cache)
         if room > 0:
             cache.update(list(fresh.items())[:room])
     return ids, counts
 
 
+#: A word that stands between others when they are encoded as one text.
+_MARK = b"|"
+
+
+def _ids_of(tokenizer, words: list[bytes]) -> list[bytes]:
+    """The ids of each word. Words without the mark are encoded as one text with marks between them,
+    and cut at the mark's id; where the mark is no single id or the cuts don't come out even, and for
+    words that hold the mark, each word is a text of its own."""
+    plain = [w for w in words if _MARK not in w]
+    done: dict[bytes, bytes] = {}
+    mark = tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
+    if len(mark) == 1 and len(plain) > 1:
+        text = (b" " + _MARK + b" ").join(plain).decode()
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        at = np.flatnonzero(ids == mark[0])
+        if len(at) == len(plain) - 1:
+            raw = ids.tobytes()
+            begins, ends = np.r_[0, 4 * at + 4].tolist(), np.r_[4 * at, len(raw)].tolist()
+            done = {w: raw[b:e] for w, b, e in zip(plain, begins, ends, strict=True)}
+    rest = [w for w in words if w not in done]
+    alone = tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False) if rest else []
+    done.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(rest, alone, strict=True))
+    return [done[w] for w in words]
+
+
 def document_ids(path: str, texts: list[str | None]) -> Iterator[bytes]:
     """The token ids of each text as little-endian unsigned 32-bit bytes."""
     ids, counts = encode_words(path, texts)

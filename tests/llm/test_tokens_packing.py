@@ -114,3 +114,21 @@ def test_pack_documents(spark):
     n = check_packed(rows, texts, packing.WINDOW_TOKENS)
     total = sum(r.length for r in rows)
     assert n * packing.WINDOW_TOKENS <= total * 1.02 + packing.WINDOW_TOKENS
+
+
+def test_words_encoded_together_are_cut_where_they_were_joined():
+    tokenizer, _ = tokens.load(tokenizer_path())
+    calls = []
+
+    class Counting:
+        encode = staticmethod(tokenizer.encode)
+
+        @staticmethod
+        def encode_batch_fast(texts, **kwargs):
+            calls.append(len(texts))
+            return tokenizer.encode_batch_fast(texts, **kwargs)
+
+    words = [w.encode() for w in ("a", "|", "b|c", "<|endoftext|>", "%%%", "́x", "K", "café", "你好", " ", "\U0001f600", "A" * 300, "'s", "x's")]
+    alone = [np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes() for w in words]
+    assert tokens._ids_of(Counting, words) == alone and calls == [1, 3]
+    assert [tokens._ids_of(tokenizer, [w]) for w in words] == [[i] for i in alone] and tokens._ids_of(tokenizer, []) == []
