@@ -1,14 +1,15 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
 Each shard's graph is kept as flat neighbour arrays, one per layer, and stored as one row of a
-table in the shared folder; query blocks search every shard, and the shards' results are merged.
+table in the shared folder; query blocks search every shard, and the shards' results are merged. As a
+table grows, its shards grow and not their number, until one fills the memory it may take.
 Largest inner product becomes smallest distance by one more component that lifts all vectors
 of a shard to equal length. Insertion and search run many points in lockstep on arrays.
 
 Pruning links back can cut a layer into parts (tight clusters do), so the index holds start points of
 the lowest layer, from which every point is one link away at most; a search enters at the nearest of
 them and at what the upper layers find. The beam of a query is doubled until its result stands still, so
-hard queries get the wide beams and easy ones don't pay for them.
+hard queries get the wide beams and easy ones don't pay for them; a wider beam goes on where the last ended.
 """
 
 from __future__ import annotations
@@ -27,56 +28,110 @@ EF_BUILD = 64
 EF_SEARCH = 24  # the first beam of a query, at least
 STARTS = 16  # start points a search enters at
 INSERT_AT_ONCE = 1024
+LINKED_AT_ONCE = 256
+SEARCH_AT_ONCE = 1024
+PIECE = 1 << 16  # vector components gathered at once
+SEEN_AT_ONCE = 1 << 25  # bytes that mark the points met
+SHARDS = 8  # more only if their vectors would not fit SHARD_COMPONENTS
+SHARD_COMPONENTS = 1 << 22  # vector components of the largest shard, which bounds a task's memory
+BLOCK_COMPONENTS = 1 << 22  # those of the queries that go to a shard together
+
+
+class _Beams:
+    """Beam searches in one layer for many queries in lockstep, from ``entry``: start points of each
+    query, -1 for none. ``pool`` holds the nearest points met, sorted, each as one number: squared
+    distance, point, and in the lowest bit whether its links were followed; ``NONE`` pads."""
+
+    NONE = np.uint64(2**64 - 1)
+
+    def __init__(self, data, norms, links, queries, entry, width):
+        self.data, self.norms, self.links, self.queries = data, norms, links, queries
+        self.own = (queries * queries).sum(1)
+        self.seen = np.zeros((len(queries), len(data) + 1), dtype=bool)  # the first column stands for -1
+        self.seen[:, 0] = True
+        self.pool = np.full((len(queries), width), self.NONE)
+        rows = np.arange(len(queries))
+        self._merge(rows, np.concatenate([self._fresh(rows, entry[:, c:c + 1]) for c in range(entry.shape[1])], 1))
+
+    def _fresh(self, at, points):
+        """``points`` with those that the queries ``at`` met before as -1."""
+        seen = self.seen.reshape(-1)
+        place = (at * self.seen.shape[1] + 1)[:, None] + points
+        points = np.where(seen[place], -1, points)
+        seen[place] = True
+        return points
 
-
-def _beam(data, links, queries, entry, ef, expand=4):
-    """Beam search in one layer for all queries at once: (ids, squared distances), nearest first,
-    padded with -1 and infinity. ``entry``: start points of each query, -1 for none."""
-    n_queries, n = len(queries), len(data)
-    rows = np.arange(n_queries)
-    norms = (data * data).sum(1)
-    own = (queries * queries).sum(1)
-    seen = np.zeros((n_queries, n + 1), dtype=bool)  # the last column stands for -1
-    seen[:, n] = True
-    ids = np.full((n_queries, ef), -1, dtype=np.int64)
-    dist = np.full((n_queries, ef), np.inf, dtype=np.float32)
-    done = np.zeros((n_queries, ef), dtype=bool)
-
-    def merge(at, found):
-        """Take new points ``found`` (-1 padded) of the queries ``at`` into their beams."""
+    def _merge(self, at, found):
+        """Take new points ``found`` (-1 padded) of the queries ``at`` into their pools."""
         i, j = np.nonzero(found >= 0)
-        new = np.full(found.shape, np.inf, dtype=np.float32)
         p, q = found[i, j], at[i]
-        new[i, j] = norms[p] + own[q] - 2 * np.einsum("ij,ij->i", data[p], queries[q])
-        all_d, all_i = np.concatenate([dist[at], new], 1), np.concatenate([ids[at], found], 1)
-        all_e = np.concatenate([done[at], np.zeros(found.shape, dtype=bool)], 1)
-        best = np.argsort(all_d, axis=1, kind="stable")[:, :ef]
-        dist[at], ids[at], done[at] = (np.take_along_axis(x, best, 1) for x in (all_d, all_i, all_e))
-        ids[at] = np.where(np.isinf(dist[at]), -1, ids[at])
-
-    def fresh(at, points):
-        points = np.where(seen[at[:, None], points], -1, points)
-        seen[at[:, None], points] = True
-        return points
-
-    start = np.concatenate([fresh(rows, entry[:, c:c + 1]) for c in range(entry.shape[1])], 1)
-    merge(rows, start)
-    active = rows
-    while len(active):
-        open_ = np.where(done[active] | (ids[active] < 0), np.inf, dist[active])
-        nearest = np.argsort(open_, axis=1, kind="stable")[:, :expand]
-        can = ~np.isinf(np.take_along_axis(open_, nearest, 1))
-        go = can[:, 0]
-        active, nearest, can = active[go], nearest[go], can[go]
-        if not len(active):
-            break
-        found = []
-        for c in range(nearest.shape[1]):
-            point = np.where(can[:, c], ids[active, nearest[:, c]], -1)
-            done[active, nearest[:, c]] |= can[:, c]
-            found.append(fresh(active, np.where(point[:, None] >= 0, links[point], -1)))
-        merge(active, np.concatenate(found, 1))
-    return ids, dist
+        dist = self.norms[p] + self.own[q] - 2 * self._products(p, q)
+        dist = np.maximum(dist, 0).astype(np.float32)  # the bits of floats from 0 on sort as the floats do
+        number = dist.view(np.uint32).astype(np.uint64) << np.uint64(32) | p.astype(np.uint64) << np.uint64(1)
+        better = number < self.pool[q, -1]
+        i, number = i[better], number[better]
+        if len(i):
+            count = np.bincount(i, minlength=len(at))
+            new = np.full((len(at), count.max()), self.NONE)
+            new[i, np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)] = number
+            self.pool[at] = np.sort(np.concatenate([self.pool[at], new], 1), axis=1)[:, :self.pool.shape[1]]
+
+    def _products(self, p, q):
+        """Inner products of points ``p`` and queries ``q``, by pieces that fit the cache."""
+        out, step = np.empty(len(p), dtype=np.float32), max(1, PIECE // self.data.shape[1])
+        for lo in range(0, len(p), step):
+            piece = slice(lo, lo + step)
+            out[piece] = np.einsum("ij,ij->i", self.data[p[piece]], self.queries[q[piece]])
+        return out
+
+    def run(self, ef):
+        """Follow links until those of each query's ``ef`` nearest points met are all followed."""
+        active, expand = np.arange(len(self.pool)), max(4, ef // 8)
+        while len(active):
+            open_ = self.pool[active, :ef] & np.uint64(1) == 0
+            go = open_.any(1)
+            active, open_ = active[go], open_[go]
+            if not len(active):
+                break
+            turn = np.cumsum(open_, axis=1)
+            i, j = np.nonzero(open_ & (turn <= expand))
+            points = np.full((len(active), expand), -1, dtype=np.int64)
+            points[i, turn[i, j] - 1] = self.points(self.pool[active[i], j])
+            self.pool[active[i], j] |= np.uint64(1)
+            self._merge(active, np.concatenate(
+                [self._fresh(active, np.where(c[:, None] >= 0, self.links[c], -1)) for c in points.T], 1))
+        return self
+
+    def widen(self, some, ef):
+        """Go on for the queries ``some`` alone, with beams of ``ef``."""
+        self.queries, self.own, self.seen = self.queries[some], self.own[some], self.seen[some]
+        more = np.full((len(some), max(0, 2 * ef - self.pool.shape[1])), self.NONE)
+        self.pool = np.concatenate([self.pool[some], more], 1)
+        return self.run(ef)
+
+    @staticmethod
+    def points(pool):
+        return (np.where(pool == _Beams.NONE, 0, (pool >> np.uint64(1)) & np.uint64(2**31 - 1)).astype(np.int64)
+                - (pool == _Beams.NONE))
+
+    def result(self, ef):
+        """(points, squared distances), nearest first, padded with -1 and infinity."""
+        best = self.pool[:, :ef]
+        dist = (best >> np.uint64(32)).astype(np.uint32).view(np.float32)
+        return self.points(best), np.where(best == self.NONE, np.float32(np.inf), dist)
+
+
+def _parts(n_queries, n):
+    """Slices of queries searched in lockstep among ``n`` points, which bounds the working arrays."""
+    step = max(1, min(SEARCH_AT_ONCE, SEEN_AT_ONCE // (n + 1)))
+    return [slice(lo, lo + step) for lo in range(0, n_queries, step)]
+
+
+def _beam(data, norms, links, queries, entry, ef):
+    """(points, squared distances) that beam searches of the queries find, see ``_Beams``."""
+    found = [_Beams(data, norms, links, queries[part], entry[part], ef).run(ef).result(ef)
+             for part in _parts(len(queries), len(data))]
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
 def _diverse(data, points, candidates, dist, keep):
@@ -105,12 +160,12 @@ def _layer(data, entry_of, keep):
     among those inserted before (the first point is always one)."""
     n = len(data)
     links = np.full((n, keep), -1, dtype=np.int64)
+    lengths = (data * data).sum(1)
     begin = 0
     while begin < n:
         stop = min(n, begin + min(INSERT_AT_ONCE, max(256, begin)))
         batch = np.arange(begin, stop)
-        own = data[batch]
-        norms = (own * own).sum(1)
+        own, norms = data[batch], lengths[batch]
         mutual = norms[:, None] + norms[None, :] - 2 * own @ own.T
         np.fill_diagonal(mutual, np.inf)
         width = min(EF_BUILD, len(batch))
@@ -118,23 +173,24 @@ def _layer(data, entry_of, keep):
         near_d = np.take_along_axis(mutual, near, 1)
         cand, cand_d = np.where(np.isinf(near_d), -1, near + begin), near_d
         if begin:
-            got, got_d = _beam(data[:begin], links[:begin], own, entry_of(batch, begin), EF_BUILD)
+            got, got_d = _beam(data[:begin], lengths[:begin], links[:begin], own, entry_of(batch, begin), EF_BUILD)
             cand, cand_d = np.concatenate([got, cand], 1), np.concatenate([got_d, cand_d], 1)
         order = np.argsort(cand_d, axis=1, kind="stable")[:, :EF_BUILD]
         cand, cand_d = np.take_along_axis(cand, order, 1), np.take_along_axis(cand_d, order, 1)
         links[batch] = _diverse(data, batch, cand, cand_d, keep)
-        # Links back: the points linked to choose again among what they have and the new ones.
+        # Links back: the points linked to choose again among what they have and the new ones. Those
+        # with as many new ones go together, so that a few much linked points don't widen all arrays.
         source, slot = np.nonzero(links[batch] >= 0)
         target, source = links[batch][source, slot], batch[source]
         order = np.argsort(target, kind="stable")
         target, source = target[order], source[order]
         touched, first, n_new = np.unique(target, return_index=True, return_counts=True)
-        place = np.arange(len(target)) - np.repeat(first, n_new)
-        for lo in range(0, len(touched), INSERT_AT_ONCE):
-            some = touched[lo:lo + INSERT_AT_ONCE]
-            mine = (target >= some[0]) & (target <= some[-1])
-            extra = np.full((len(some), int(n_new[lo:lo + INSERT_AT_ONCE].max())), -1, dtype=np.int64)
-            extra[np.searchsorted(some, target[mine]), place[mine]] = source[mine]
+        by_count = np.argsort(n_new, kind="stable")
+        touched, first, n_new = touched[by_count], first[by_count], n_new[by_count]
+        for lo in range(0, len(touched), LINKED_AT_ONCE):
+            some, count = touched[lo:lo + LINKED_AT_ONCE], n_new[lo:lo + LINKED_AT_ONCE]
+            place = np.arange(count.max())
+            extra = np.where(place < count[:, None], source[np.minimum(first[lo:lo + LINKED_AT_ONCE, None] + place, len(source) - 1)], -1)
             extra = np.where((extra[:, :, None] == links[some][:, None, :]).any(2), -1, extra)
             cand = np.concatenate([links[some], extra], 1)
             diff = data[cand] - data[some][:, None, :]
@@ -157,6 +213,7 @@ def build_graph(vectors: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
     data, level = data[perm], level[perm]
     sizes = [int((level >= top).sum()) for top in range(int(level.max()) + 1)]  # points of layer 0, 1, ...
     index = {"data": data, "perm": perm, "sizes": np.array(sizes)}
+    lengths = (data * data).sum(1)
     for layer in reversed(range(len(sizes))):
         above = range(len(sizes) - 1, layer, -1)
 
@@ -165,7 +222,7 @@ def build_graph(vectors: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
             for upper in above:
                 size = min(sizes[upper], inserted)
                 links = index[f"links{upper}"][:size].astype(np.int64)
-                at = _beam(data[:size], np.where(links < size, links, -1), data[points], at, 4)[0][:, :1]
+                at = _beam(data[:size], lengths[:size], np.where(links < size, links, -1), data[points], at, 4)[0][:, :1]
                 at = np.maximum(at, 0)
             return at
 
@@ -190,28 +247,30 @@ def search_graph(index: dict[str, np.ndarray], queries: np.ndarray, k: int, ef:
     padded: at least ``k``, if there are as many."""
     lifted = np.concatenate([queries, np.zeros((len(queries), 1))], 1).astype(np.float32)
     data, sizes, starts = index["data"], index["sizes"], index["starts"]
-    links = index["links0"].astype(np.int64)
-    at = np.zeros((len(queries), 1), dtype=np.int64)
-    for layer in reversed(range(1, len(sizes))):
-        at = _beam(data[:sizes[layer]], index[f"links{layer}"].astype(np.int64), lifted, at, 4)[0]
-        at[:, 0] = np.maximum(at[:, 0], 0)
-    apart = (data[starts] ** 2).sum(1) - 2 * lifted @ data[starts].T
-    near = starts[np.argsort(apart, axis=1, kind="stable")[:, :STARTS]]
-    entry = np.concatenate([at, np.where((near[:, :, None] == at[:, None, :]).any(2), -1, near)], 1)
-
-    def beam(some, width):
-        parts = np.array_split(some, -(-len(some) * width // (1 << 20)))  # bounds the beams' arrays
-        return np.concatenate([_beam(data, links, lifted[p], entry[p], width)[0] for p in parts if len(p)])
-
+    lengths = (data * data).sum(1)
+    links = [index[f"links{layer}"].astype(np.int64) for layer in range(len(sizes))]
     ef = min(max(ef, 2 * k + 6), len(data))
-    found = beam(np.arange(len(queries)), ef)
-    todo, width = np.arange(len(queries)), ef
-    while len(todo) and width < len(data):
-        width = min(2 * width, len(data))
-        wider = beam(todo, width)[:, :ef]
-        changed = (wider[:, :k] != found[todo, :k]).any(1)
-        found[todo] = wider
-        todo = todo[changed]
+
+    def search(asked):
+        at = np.zeros((len(asked), 1), dtype=np.int64)
+        for layer in reversed(range(1, len(sizes))):
+            at = _beam(data[:sizes[layer]], lengths[:sizes[layer]], links[layer], asked, at, 4)[0]
+            at[:, 0] = np.maximum(at[:, 0], 0)
+        apart = lengths[starts] - 2 * asked @ data[starts].T
+        near = starts[np.argpartition(apart, min(STARTS, len(starts)) - 1, axis=1)[:, :STARTS]]
+        entry = np.concatenate([at, np.where((near[:, :, None] == at[:, None, :]).any(2), -1, near)], 1)
+        beams = _Beams(data, lengths, links[0], asked, entry, 2 * ef).run(ef)
+        found, todo, width = beams.result(ef)[0], np.arange(len(asked)), ef
+        changed = todo
+        while len(changed) and width < len(data):
+            width = min(2 * width, len(data))
+            wider = beams.widen(changed, width).result(ef)[0]
+            todo = todo[changed]
+            changed = np.flatnonzero((wider[:, :k] != found[todo, :k]).any(1))
+            found[todo] = wider
+        return found
+
+    found = np.concatenate([search(lifted[part]) for part in _parts(len(lifted), len(data))])
     return np.where(found >= 0, index["perm"][found], -1)
 
 
@@ -232,6 +291,12 @@ def usable(vectors: DataFrame) -> DataFrame:
                          & F.coalesce(finite, F.lit(False)) & F.exists("embedding", lambda x: x != 0))
 
 
+def shard_count(n_points: int, components: int, shard_rows: int) -> int:
+    """Shards of about ``shard_rows`` points up to ``SHARDS`` of them, then larger ones: every query
+    searches every shard, and a graph of twice the size costs a search little more."""
+    return max(1, min(-(-n_points // shard_rows), SHARDS), -(-components // SHARD_COMPONENTS))
+
+
 def nearest(df: DataFrame, query_step: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
             shard_rows: int = 8192, query_rows: int = 2048, ef: int = EF_SEARCH) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible by ``query_step`` the
@@ -252,9 +317,12 @@ def nearest(df: DataFrame, query_step: int = 20, k: int = 20, id_col: str = "vec
               .groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
               .withColumn("dim", F.size("embedding")))
     points = materialize(points, "hnsw-points")
-    n_shards = max(1, -(-points.count() // shard_rows))
+    count_size = [F.count(F.lit(1)), F.coalesce(F.sum(F.col("dim").cast("long")), F.lit(0))]
+    n_points, components = points.agg(*count_size).first()
+    n_shards = shard_count(n_points, components, shard_rows)
     queries = materialize(rows.where(F.col("vec_id") % query_step == 0).withColumn("dim", F.size("embedding")), "hnsw-queries")
-    n_blocks = max(1, -(-queries.count() // query_rows))
+    # Each block of queries gets its own copy of a shard's graph: as few blocks as memory allows.
+    n_blocks = max(1, -(-queries.agg(*count_size).first()[1] // BLOCK_COMPONENTS))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ids", key=lambda s: s.map(lambda x: x[0]), ignore_index=True)
@@ -269,13 +337,18 @@ def nearest(df: DataFrame, query_step: int = 20, k: int = 20, id_col: str = "vec
     index = materialize(index, "hnsw-index")
 
     # Points lie in shards by a hash, so a shard holds its share of a query's nearest, give or take: the
-    # beams of a shard go on until so many of its results stand still.
-    settle = min(k + 1, -(-3 * (k + 1) // (2 * n_shards)) + 6)
+    # beams of a shard go on until so many of its results stand still; more of them in larger graphs.
+    doubled = int(np.ceil(np.log2(max(1, n_points / (n_shards * shard_rows)))))
+    settle = min(k + 1, -(-3 * (k + 1) // (2 * n_shards)) + 6 + 3 * doubled)
 
     def search(found_index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(found_index) or not len(asked):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         graph = unpack_arrays(found_index["blob"].iloc[0])
+        asked = asked.sort_values("vec_id", kind="stable")
+        return pd.concat([search_some(graph, asked.iloc[lo:lo + query_rows]) for lo in range(0, len(asked), query_rows)])
+
+    def search_some(graph: dict[str, np.ndarray], asked: pd.DataFrame) -> pd.DataFrame:
         q = np.stack(asked["embedding"].to_numpy())
         hit = search_graph(graph, q, settle, ef)
         at, slot = np.nonzero(hit >= 0)
